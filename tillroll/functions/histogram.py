@@ -6,60 +6,46 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.onerow import with_one_row
 
-def histograms(df: DataFrame, values: dict[str, Column], bins: int = 50) -> DataFrame:
+
+def histograms(df: DataFrame, values: dict[str, str], bins: int = 50) -> DataFrame:
     """Counts in ``bins`` equal bins between minimum and maximum, per series.
 
-    ``values`` maps a series name to its column; a null leaves the row out.
+    ``values`` maps a series name to a SQL expression; a null leaves the row out.
     One pass finds all ranges, one counts; the highest value falls in the last
     bin.  Empty bins are reported with 0.
     """
-    names = list(values)
+    named = list(enumerate(values.items()))
     stats = df.agg(
         *[
-            F.struct(
-                F.min(values[s].cast("double")).alias("lo"), F.max(values[s].cast("double")).alias("hi")
-            ).alias(f"r{i}")
-            for i, s in enumerate(names)
+            F.expr(f"named_struct('lo', min(CAST({x} AS DOUBLE)), 'hi', max(CAST({x} AS DOUBLE))) AS r{i}")
+            for i, (_, x) in named
         ]
     )
-    ranges = stats.select(F.struct(*stats.columns).alias("s"))
-    spec = ranges.scalar()
 
-    def binned(i: int, s: str):
-        x = values[s].cast("double")
-        lo, hi = spec.getField(f"r{i}").getField("lo"), spec.getField(f"r{i}").getField("hi")
-        width = (hi - lo) / bins
-        slot = F.when(width > 0, F.least(F.floor((x - lo) / width), F.lit(bins - 1))).otherwise(0)
-        return F.struct(F.lit(s).alias("series"), F.when(x.isNotNull(), slot.cast("int")).alias("bin"))
+    def binned(i: int, series: str, x: str) -> str:
+        lo, width = f"spec.r{i}.lo", f"((spec.r{i}.hi - spec.r{i}.lo) / {bins})"
+        slot = f"if({width} > 0, least(floor((CAST({x} AS DOUBLE) - {lo}) / {width}), {bins - 1}), 0)"
+        return f"named_struct('series', '{series}', 'bin', CAST(if(({x}) IS NULL, NULL, {slot}) AS INT))"
 
+    rows = ", ".join(binned(i, series, x) for i, (series, x) in named)
     counts = (
-        df.select(F.inline(F.array(*[binned(i, s) for i, s in enumerate(names)])))
-        .filter(F.col("bin").isNotNull())
+        with_one_row(df, stats, "spec")
+        .selectExpr(f"inline(array({rows}))")
+        .filter("bin IS NOT NULL")
         .groupBy("series", "bin")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(*) AS n"))
     )
-    edges = stats.select(
-        F.inline(
-            F.array(*[F.struct(F.lit(s).alias("series"), f"r{i}.lo", f"r{i}.hi") for i, s in enumerate(names)])
-        )
+    edges = ", ".join(f"named_struct('series', '{s}', 'lo', r{i}.lo, 'hi', r{i}.hi)" for i, (s, _) in named)
+    frame = stats.selectExpr(f"inline(array({edges}))").selectExpr(
+        "series", f"explode(sequence(0, {bins - 1})) AS bin", "lo", f"(hi - lo) / {bins} AS width"
     )
-    frame = edges.select(
-        "series",
-        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
-        "lo",
-        "hi",
-    )
-    width = (F.col("hi") - F.col("lo")) / bins
-    return frame.join(counts, ["series", "bin"], "left").select(
-        "series",
-        "bin",
-        (F.col("lo") + F.col("bin") * width).alias("bin_start"),
-        (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_end"),
-        F.coalesce("n", F.lit(0).cast("bigint")).alias("n"),
+    return frame.join(counts, ["series", "bin"], "left").selectExpr(
+        "series", "bin", "lo + bin * width AS bin_start", "lo + (bin + 1) * width AS bin_end", "coalesce(n, 0L) AS n"
     )
 
 

@@ -11,7 +11,7 @@ def newton_batched(
     values_at: Callable[[np.ndarray], np.ndarray],
     start: np.ndarray,
     steps: int = 60,
-    tolerance: float = 1e-9,
+    tolerance: float = 1e-8,
     h: float = 1e-4,
 ) -> np.ndarray:
     """Damped Newton search; ``values_at`` maps an (n, d) array of points to n values.
@@ -24,7 +24,7 @@ def newton_batched(
     d = len(x)
     eye = np.eye(d) * h
     upper = [(i, j) for i in range(d) for j in range(i + 1, d)]
-    lengths = np.array([2.0, 1.0, 0.5, 0.25, 0.1, 0.03, 0.01])
+    lengths = np.array([4.0, 2.0, 1.0, 0.5, 0.25, 0.1, 0.03, 0.01])
     for _ in range(steps):
         stencil = [x, *(x + eye), *(x - eye)]
         for i, j in upper:
@@ -40,8 +40,8 @@ def newton_batched(
         w = np.maximum(np.abs(w), 1e-5)
         direction = -v @ ((v.T @ gradient) / w)
         reach = np.linalg.norm(direction)
-        if reach > 1.0:
-            direction /= reach
+        if reach > 2.0:
+            direction *= 2.0 / reach
         tried = values_at(x + lengths[:, None] * direction)
         best = int(np.nanargmin(tried))
         gain = f0 - tried[best]

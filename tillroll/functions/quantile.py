@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,63 +24,50 @@ def exact_percentiles(
     targets = [(c, q) for c, qs in wanted.items() for q in qs]
     margin = 3.0 / accuracy
 
-    def bounds(c: str, q: float, i: int):
-        x = F.col(c).cast("double")
-        n = F.count(x)
-        edges = F.percentile_approx(x, [max(q - margin, 0.0), min(q + margin, 1.0)], accuracy)
-        small = n <= accuracy
-        return F.struct(
-            n.alias("n"),
-            F.when(small | F.lit(q <= margin), F.min(x)).otherwise(edges[0]).alias("lo"),
-            F.when(small | F.lit(q >= 1 - margin), F.max(x)).otherwise(edges[1]).alias("hi"),
-        ).alias(f"t{i}")
-
-    stats = df.agg(*[bounds(c, q, i) for i, (c, q) in enumerate(targets)])
-    stats = stats.select(F.struct(*[f"t{i}" for i in range(len(targets))]).alias("s"))
-    spec = stats.scalar()
+    def sketch(c: str) -> str:
+        edges = ", ".join(f"{min(max(q + side, 0.0), 1.0)!r}D" for q in wanted[c] for side in (-margin, margin))
+        x = f"CAST(`{c}` AS DOUBLE)"
+        return (
+            f"named_struct('n', count({x}), 'min', min({x}), 'max', max({x}), "
+            f"'edges', percentile_approx({x}, array({edges}), {accuracy})) AS `{c}`"
+        )
 
-    def probe(c: str, i: int):
-        x = F.col(c).cast("double")
-        lo, hi = spec.getField(f"t{i}").getField("lo"), spec.getField(f"t{i}").getField("hi")
-        return F.struct(
-            F.lit(i).alias("target"),
-            F.when(x >= lo, x).alias("v"),
-            (x.isNotNull() & (x <= hi)).alias("wanted"),
+    def bracket(i: int, c: str, q: float) -> str:
+        at = 2 * wanted[c].index(q)
+        lo = f"`{c}`.min" if q <= margin else f"if(`{c}`.n <= {accuracy}, `{c}`.min, `{c}`.edges[{at}])"
+        hi = f"`{c}`.max" if q >= 1 - margin else f"if(`{c}`.n <= {accuracy}, `{c}`.max, `{c}`.edges[{at + 1}])"
+        return (
+            f"named_struct('target', {i}, 'column', '{c}', 'q', {float(q)!r}D, 'last', `{c}`.n, 'lo', {lo}, 'hi', {hi})"
         )
 
+    # one sketch per column answers all its ranks; one row per target after that
+    sketched = df.agg(*[F.expr(sketch(c)) for c in wanted])
+    listed = ", ".join(bracket(i, c, q) for i, (c, q) in enumerate(targets))
+    brackets = F.broadcast(sketched.selectExpr(f"inline(array({listed}))"))
+    probes = ", ".join(f"named_struct('target', {i}, 'x', CAST(`{c}` AS DOUBLE))" for i, (c, _) in enumerate(targets))
     counted = (
-        df.select(F.inline(F.array(*[probe(c, i) for i, (c, _) in enumerate(targets)])))
-        .filter("wanted")
-        .groupBy("target", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
+        df.selectExpr(f"inline(array({probes}))")
+        .join(brackets.select("target", "lo", "hi"), "target")
+        .filter("x <= hi")
+        .groupBy("target", F.expr("CASE WHEN x >= lo THEN x END").alias("v"))
+        .agg(F.expr("count(*) AS n"))
     )
     running = Window.partitionBy("target").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    ranked = counted.withColumn("upto", F.sum("n").over(running))
-
-    def of_target(build):
-        pick = reduce(
-            lambda acc, iq: acc.when(F.col("target") == iq[0], build(iq[0], iq[1][1])),
-            list(enumerate(targets))[1:],
-            F.when(F.col("target") == 0, build(0, targets[0][1])),
-        )
-        return pick
-
-    place = of_target(lambda i, q: (spec.getField(f"t{i}").getField("n") - 1) * F.lit(float(q)))
-    last = of_target(lambda i, q: spec.getField(f"t{i}").getField("n"))
-    located = ranked.withColumn("place", place).withColumn("k", F.floor(place)).withColumn("last", last)
-    picked = located.groupBy("target").agg(
-        F.max("place").alias("place"),
-        F.max("k").alias("k"),
-        F.min(F.when(F.col("upto") >= F.col("k") + 1, F.struct("upto", "v"))).alias("a"),
-        F.min(F.when(F.col("upto") >= F.least(F.col("k") + 2, F.col("last")), F.struct("upto", "v"))).alias("b"),
+    located = (
+        counted.withColumn("upto", F.sum("n").over(running))
+        .join(brackets.select("target", "column", "q", "last"), "target")
+        .selectExpr("column", "q", "upto", "v", "last", "(last - 1) * q AS place", "floor((last - 1) * q) AS k")
+    )
+    picked = located.groupBy("column", "q").agg(
+        F.expr("max(place - k) AS part"),
+        F.expr("min(CASE WHEN upto >= k + 1 THEN struct(upto, v) END) AS a"),
+        F.expr("min(CASE WHEN upto >= least(k + 2, last) THEN struct(upto, v) END) AS b"),
     )
-    low, high = F.col("a.v"), F.col("b.v")
-    value = low + (high - low) * (F.col("place") - F.col("k"))
-    missed = F.raise_error(F.lit("percentile bracket missed its rank")).cast("double")
-    return picked.select(
-        of_target(lambda i, q: F.lit(targets[i][0])).alias("column"),
-        of_target(lambda i, q: F.lit(float(q))).alias("q"),
-        F.when(low.isNotNull() & high.isNotNull(), value).otherwise(missed).alias("value"),
+    return picked.selectExpr(
+        "column",
+        "q",
+        """CASE WHEN a.v IS NOT NULL AND b.v IS NOT NULL THEN a.v + (b.v - a.v) * part
+            ELSE CAST(raise_error('percentile bracket missed its rank') AS DOUBLE) END AS value""",
     )

@@ -27,19 +27,25 @@ WHITE_SPACE = (
 )
 
 
+def sql_text(value: str) -> str:
+    """``value`` as a SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def tidy_description(text: Column) -> Column:
     """Upper-case and strip all Unicode white space; null becomes ``NAN``."""
     return F.btrim(F.upper(F.coalesce(text, F.lit("nan"))), F.lit(WHITE_SPACE))
 
 
-def contains_any(text: Column, literals: list[str]) -> Column:
+def contains_any(text: str, literals: list[str]) -> Column:
     """Case-insensitive test for any of the literal substrings.
 
-    One pattern of quoted literals, so an expression behind ``text`` is
-    evaluated once per row and not once per literal.
+    ``text`` is a column name or SQL expression.  It is bound once as an array element, so that the expression behind
+    it is evaluated per row and not per literal; plain substring search is
+    several times faster than one pattern of all literals.
     """
-    quoted = "|".join(r"\Q" + k.replace(r"\E", r"\E\\E\Q") + r"\E" for k in literals)
-    return F.rlike(text, F.lit(f"(?iu){quoted}"))
+    tests = " OR ".join(f"contains(t, {sql_text(k.upper())})" for k in literals)
+    return F.expr(f"exists(array(upper({text})), t -> {tests})")
 
 
 def parse_mixed_timestamp(text: Column, formats: list[str] = DATE_FORMATS) -> Column:

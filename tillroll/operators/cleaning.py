@@ -52,7 +52,7 @@ def is_admin_code(codes: list[str] = ADMIN_STOCK_CODES, prefix: str = GIFT_PREFI
 
 def is_admin_text(keywords: list[str] = ADMIN_KEYWORDS) -> Column:
     """Literal, case-insensitive substring test on the description."""
-    return _true(contains_any(F.col("description"), keywords))
+    return _true(contains_any("description", keywords))
 
 
 def is_cancelled() -> Column:
@@ -77,7 +77,7 @@ def add_line_amount(lines: DataFrame) -> DataFrame:
 
 def parse_dates(lines: DataFrame) -> DataFrame:
     """Timestamps from text in mixed formats; text that fits none fails the job."""
-    if isinstance(lines.schema["invoice_date"].dataType, T.TimestampType):
+    if isinstance(lines.schema["invoice_date"].dataType, (T.TimestampType, T.TimestampNTZType)):
         return lines
     return lines.withColumn("invoice_date", parse_mixed_timestamp(F.col("invoice_date")))
 
@@ -154,20 +154,16 @@ def profile_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     cuts = exact_percentiles(df, {c: quarters for c in columns})
     basic = df.agg(
         *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(F.col(c)).alias("non_null"),
-                F.count_if(F.col(c).isNull()).alias("nulls"),
-                F.avg(F.col(c).cast("double")).alias("mean"),
-                F.stddev_samp(F.col(c).cast("double")).alias("std"),
-                F.min(F.col(c).cast("double")).alias("min"),
-                F.max(F.col(c).cast("double")).alias("max"),
-            ).alias(c)
+            F.expr(
+                f"""named_struct('column', '{c}', 'non_null', count(`{c}`), 'nulls', count_if(`{c}` IS NULL),
+                'mean', avg(CAST(`{c}` AS DOUBLE)), 'std', stddev_samp(CAST(`{c}` AS DOUBLE)),
+                'min', min(CAST(`{c}` AS DOUBLE)), 'max', max(CAST(`{c}` AS DOUBLE))) AS `{c}`"""
+            )
             for c in columns
         ]
     ).select(F.inline(F.array(*columns)))
     wide = cuts.groupBy("column").agg(
-        *[F.max(F.when(F.col("q") == q, F.col("value"))).alias(f"p{int(q * 100)}") for q in quarters]
+        *[F.expr(f"max(CASE WHEN q = {q!r}D THEN value END) AS p{int(q * 100)}") for q in quarters]
     )
     return basic.join(wide, "column", "left").select(
         "column", "non_null", "nulls", "mean", "std", "min", "p25", "p50", "p75", "max"

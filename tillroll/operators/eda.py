@@ -43,27 +43,23 @@ def top_products_by_revenue(lines: DataFrame, n: int = 10) -> DataFrame:
 
 
 def unit_price_histogram(lines: DataFrame, limit: float = 15.0) -> DataFrame:
-    price = F.col("unit_price")
-    return histograms(lines, {"unit_price": F.when(price <= limit, price)})
+    return histograms(lines, {"unit_price": f"CASE WHEN unit_price <= {limit} THEN unit_price END"})
 
 
 def quantity_histogram(lines: DataFrame, limit: int = 50) -> DataFrame:
-    quantity = F.col("quantity")
-    return histograms(lines, {"quantity": F.when(quantity <= limit, quantity)})
+    return histograms(lines, {"quantity": f"CASE WHEN quantity <= {limit} THEN quantity END"})
 
 
 def line_value_histogram(lines: DataFrame, limit: float | None = None) -> DataFrame:
     """Values of lines with positive quantity, over their full range or up to ``limit``."""
-    value = F.when(F.col("quantity") > 0, F.col("total_amount"))
-    if limit is not None:
-        value = F.when(value <= limit, value)
-    return histograms(lines, {"line_value": value})
+    kept = "quantity > 0" if limit is None else f"quantity > 0 AND total_amount <= {limit}"
+    return histograms(lines, {"line_value": f"CASE WHEN {kept} THEN total_amount END"})
 
 
 def rfm_histograms(rfm: DataFrame) -> DataFrame:
     """Histograms of recency, frequency, monetary value and their log1p."""
-    series = {c: F.col(c) for c in RFM}
-    series.update({f"log_{c}": F.log1p(F.col(c).cast("double")) for c in RFM})
+    series = {c: c for c in RFM}
+    series.update({f"log_{c}": f"log1p({c})" for c in RFM})
     return histograms(rfm, series)
 
 

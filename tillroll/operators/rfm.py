@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.onerow import with_one_row
 from tillroll.functions.quantile import exact_percentiles
 
 RFM = ["recency", "frequency", "monetary"]
@@ -65,7 +66,6 @@ def cap_upper(df: DataFrame, columns: list[str] = RFM, q: float = 0.995) -> Data
     Reads ``df`` three times: pass a stored table when it is costly to compute.
     """
     cuts = exact_percentiles(df, {c: [q] for c in columns})
-    caps = cuts.agg(
-        F.struct(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns]).alias("caps")
-    ).scalar()
-    return df.withColumns({c: F.least(F.col(c).cast("double"), caps.getField(c)) for c in columns})
+    caps = cuts.agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns])
+    capped = {c: F.least(F.col(c).cast("double"), F.col(f"caps.{c}")) for c in columns}
+    return with_one_row(df, caps, "caps").withColumns(capped).drop("caps")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tillroll.functions.onerow import with_one_row
 from tillroll.functions.sampling import sample_exact
 from tillroll.operators.rfm import RFM
 from tillroll.schema import SEGMENT_NOTES
@@ -47,15 +48,12 @@ def scaling(rfm: DataFrame) -> DataFrame:
 
 def scale_rfm(rfm: DataFrame) -> DataFrame:
     """Standardised log1p columns ``z_*``; a constant column becomes 0."""
-    stats = scaling(rfm)
-    s = stats.select(F.struct(*stats.columns)).scalar()
-    return rfm.withColumns(
-        {
-            f"z_{c}": (_log(c) - s.getField(f"mean_{c}"))
-            / F.when(s.getField(f"std_{c}") == 0, 1.0).otherwise(s.getField(f"std_{c}"))
-            for c in RFM
-        }
-    )
+    z = {
+        f"z_{c}": (_log(c) - F.col(f"s.mean_{c}"))
+        / F.when(F.col(f"s.std_{c}") == 0, 1.0).otherwise(F.col(f"s.std_{c}"))
+        for c in RFM
+    }
+    return with_one_row(rfm, scaling(rfm), "s").withColumns(z).drop("s")
 
 
 def _distance(centre: list[float], columns: list[Column]) -> Column:

@@ -53,12 +53,11 @@ def query(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
 
 def settled(df: DataFrame, *skip: str) -> DataFrame:
     """Doubles rounded to 6 decimals, except the columns in ``skip``."""
-    return df.withColumns(
-        {
-            f.name: F.round(f.name, 6)
+    return df.selectExpr(
+        *[
+            f"round(`{f.name}`, 6) AS `{f.name}`" if isinstance(f.dataType, T.DoubleType) and f.name not in skip else f"`{f.name}`"
             for f in df.schema
-            if isinstance(f.dataType, T.DoubleType) and f.name not in skip
-        }
+        ]
     )
 
 

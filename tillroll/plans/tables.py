@@ -20,6 +20,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._sources: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
 
     @classmethod
@@ -36,11 +37,13 @@ class Tables:
         return self._stored[name]
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._sources[name]
 
     @property
     def raw(self) -> DataFrame:
-        return sales_view(self.spark, self.sf_dir)
+        return sales_view(self.source)
 
     @property
     def cleaned(self) -> DataFrame:

@@ -20,6 +20,8 @@ def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
+        # recording a stack trace for every column expression slows building plans
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,8 +76,8 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return normalize_types(spark.read.parquet(path))
 
 
-def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw invoice lines derived from the order tables in ``sf_dir``.
+def sales_view(table: Callable[[str], DataFrame]) -> DataFrame:
+    """Raw invoice lines derived from order tables; ``table`` reads one by name.
 
     The derivation gives every cleaning branch some work: cancelled and
     returned lines, charge codes, vouchers, missing descriptions and customers,
@@ -83,44 +85,26 @@ def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned once).
     """
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    customers = (
-        table("customer")
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", "n_name")
-    )
+    customers = table("customer").join(table("nation"), F.expr("c_nationkey = n_nationkey")).select("c_custkey", "n_name")
     joined = (
         table("lineitem")
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    )
-    part, order = F.col("l_partkey"), F.col("o_orderkey")
-    cancelled = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
-    quantity = F.col("l_quantity").cast("int")
-    text = F.concat(
-        F.lit("  "), F.col("p_name"), F.lit(" "), F.col("p_brand"), F.lit(" "), F.col("p_type"), F.lit("\t")
+        .join(table("part"), F.expr("l_partkey = p_partkey"))
+        .join(table("orders"), F.expr("l_orderkey = o_orderkey"))
+        .join(customers, F.expr("o_custkey = c_custkey"))
     )
-    return joined.select(
-        F.concat(F.when(cancelled, "C").otherwise(""), F.col("l_orderkey").cast("string")).alias("invoice_no"),
-        F.when(part % 50 == 0, "POST")
-        .when(part % 50 == 1, F.concat(F.lit("gift_"), part.cast("string")))
-        .otherwise(part.cast("string"))
-        .alias("stock_code"),
-        F.when(part % 61 == 0, F.lit(None).cast("string"))
-        .when(part % 67 == 0, F.concat(F.col("p_name"), F.lit(" damaged??")))
-        .otherwise(text)
-        .alias("description"),
-        F.when(cancelled | (F.col("l_orderkey") % 97 == 0), -quantity).otherwise(quantity).alias("quantity"),
-        (
-            F.col("o_orderdate") + F.make_dt_interval(hours=6 + order % 14, mins=order % 60)
-        ).alias("invoice_date"),
-        F.when(part % 101 == 0, F.lit(0.0))
-        .otherwise(F.col("l_extendedprice") / F.col("l_quantity") / 1000)
-        .alias("unit_price"),
-        F.when(order % 20 != 0, F.col("o_custkey").cast("double")).alias("customer_id"),
-        F.col("n_name").alias("country"),
-        F.explode(F.array_repeat(F.lit(1), F.when(order % 40 == 10, 2).otherwise(1))).alias("copy"),
+    # keys of the table a column comes from, so filters on it reach that table's scan
+    cancelled = "l_returnflag = 'R' AND l_linestatus = 'F'"
+    return joined.selectExpr(
+        f"concat(CASE WHEN {cancelled} THEN 'C' ELSE '' END, CAST(l_orderkey AS STRING)) AS invoice_no",
+        """CASE p_partkey % 50 WHEN 0 THEN 'POST' WHEN 1 THEN concat('gift_', CAST(p_partkey AS STRING))
+            ELSE CAST(p_partkey AS STRING) END AS stock_code""",
+        r"""CASE WHEN p_partkey % 61 = 0 THEN NULL WHEN p_partkey % 67 = 0 THEN concat(p_name, ' damaged??')
+            ELSE concat('  ', p_name, ' ', p_brand, ' ', p_type, '\t') END AS description""",
+        f"""CAST(CASE WHEN ({cancelled}) OR l_orderkey % 97 = 0 THEN -l_quantity ELSE l_quantity END AS INT) AS quantity""",
+        """CAST(o_orderdate AS TIMESTAMP) + make_dt_interval(0, CAST(6 + o_orderkey % 14 AS INT), CAST(o_orderkey % 60 AS INT))
+            AS invoice_date""",
+        "CASE WHEN p_partkey % 101 = 0 THEN 0D ELSE l_extendedprice / l_quantity / 1000 END AS unit_price",
+        "CASE WHEN o_orderkey % 20 != 0 THEN CAST(o_custkey AS DOUBLE) END AS customer_id",
+        "n_name AS country",
+        "explode(array_repeat(1, CASE WHEN o_orderkey % 40 = 10 THEN 2 ELSE 1 END)) AS copy",
     ).select(*LINE_COLUMNS)
