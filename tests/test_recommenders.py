@@ -27,7 +27,7 @@ def sets(rows, key, value):
     return out
 
 
-CUTTINGS = [{}, {"large_group": 5, "block_items": 7, "slab_groups": 4}, {"large_group": 0}]
+CUTTINGS = [{}, {"large_group": 5, "block_items": 300, "slab_groups": 16}, {"large_group": 0}]
 
 
 @pytest.mark.parametrize("cutting", CUTTINGS)

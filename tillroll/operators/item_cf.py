@@ -11,39 +11,42 @@ from tillroll.operators.interactions import keep_popular
 from tillroll.operators.pairs import both_ways, co_occurrence
 
 
-def _cosine(counts: DataFrame, weighted: bool, **cutting) -> DataFrame:
-    """Cosine similarity of all item pairs with a common customer (each pair once)."""
-    w = F.col("n_lines").cast("double") if weighted else F.lit(1.0)
-    rows = counts.select("description", "customer_id", w.alias("weight"))
-    items = with_integer_ids(
-        rows.groupBy("description").agg(F.sum(F.col("weight") * F.col("weight")).alias("square")),
-        "description",
-        "item",
+def _cosine(counts: DataFrame, weighted: bool, **cutting) -> tuple[DataFrame, DataFrame]:
+    """Cosine similarity of all item pairs with a common customer, each pair once.
+
+    Returns ``(a, b, together, similarity)`` by item number, and the items
+    ``(description, square, item)``.
+    """
+    rows = counts.selectExpr(
+        "description", "customer_id", ("CAST(n_lines AS DOUBLE)" if weighted else "1D") + " AS weight"
     )
-    members = rows.join(items.select("description", "item"), "description").select(
-        F.col("customer_id").alias("grp"), "item", "weight"
+    items = with_integer_ids(
+        rows.groupBy("description").agg(F.expr("sum(weight * weight) AS square")), "description", "item"
     )
-    named = lambda side: items.select(
-        F.col("item").alias(side), F.col("description").alias(f"item_{side}"), F.col("square").alias(f"square_{side}")
+    members = rows.join(items.select("description", "item"), "description").selectExpr("customer_id AS grp", "item", "weight")
+    pairs = (
+        co_occurrence(members, **cutting)
+        .join(items.selectExpr("item AS a", "square AS square_a"), "a")
+        .join(items.selectExpr("item AS b", "square AS square_b"), "b")
+        .selectExpr("a", "b", "together", "together / sqrt(square_a * square_b) AS similarity")
     )
+    return pairs, items
+
+
+def _named(pairs: DataFrame, items: DataFrame) -> DataFrame:
+    """Descriptions in place of item numbers."""
     return (
-        co_occurrence(members, **cutting)
-        .join(named("a"), "a")
-        .join(named("b"), "b")
-        .select(
-            "item_a",
-            "item_b",
-            F.col("together").alias("common"),
-            (F.col("together") / F.sqrt(F.col("square_a") * F.col("square_b"))).alias("similarity"),
-        )
+        pairs.join(items.selectExpr("item AS a", "description AS item_a"), "a")
+        .join(items.selectExpr("item AS b", "description AS item_b"), "b")
+        .drop("a", "b")
     )
 
 
 def item_cosine(counts: DataFrame, min_purchases: int = 5, **cutting) -> DataFrame:
     """Similarity of popular items by the customers they share, both ways round."""
-    pairs = _cosine(keep_popular(counts, min_purchases), weighted=False, **cutting)
-    pairs = pairs.withColumn("common", F.col("common").cast("bigint"))
-    return both_ways(pairs, [("item_a", "item_b")], ["common", "similarity"])
+    pairs, items = _cosine(keep_popular(counts, min_purchases), weighted=False, **cutting)
+    named = _named(pairs, items).withColumn("common", F.expr("CAST(together AS BIGINT)"))
+    return both_ways(named, [("item_a", "item_b")], ["common", "similarity"])
 
 
 def _top(similar: DataFrame, n: int) -> DataFrame:
@@ -51,15 +54,30 @@ def _top(similar: DataFrame, n: int) -> DataFrame:
     return (
         similar.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= n)
-        .select(
-            F.col("item_a").alias("description"), "rank", F.col("item_b").alias("item"), F.col("similarity").alias("score")
-        )
+        .selectExpr("item_a AS description", "rank", "item_b AS item", "similarity AS score")
+    )
+
+
+def _top_of_pairs(pairs: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """The best ``n`` of each item.
+
+    A first cut by number keeps everything that ties with the n-th, so only
+    those few rows are given names, which settle the ties.
+    """
+    by_number = Window.partitionBy("a").orderBy(F.desc("similarity"))
+    leaders = (
+        both_ways(pairs, [("a", "b")], ["similarity"])
+        .withColumn("place", F.rank().over(by_number))
+        .filter(F.col("place") <= n)
+        .drop("place")
     )
+    return _top(_named(leaders, items), n)
 
 
 def similar_items(counts: DataFrame, n: int = 5, min_purchases: int = 5, **cutting) -> DataFrame:
     """The ``n`` most similar items of each popular item."""
-    return _top(item_cosine(counts, min_purchases, **cutting), n)
+    pairs, items = _cosine(keep_popular(counts, min_purchases), weighted=False, **cutting)
+    return _top_of_pairs(pairs, items, n)
 
 
 def similar_items_weighted(
@@ -71,8 +89,8 @@ def similar_items_weighted(
     target are looked at.
     """
     if targets is None:
-        pairs = _cosine(counts, weighted=True, **cutting)
-        return _top(both_ways(pairs, [("item_a", "item_b")], ["similarity"]), n)
+        pairs, items = _cosine(counts, weighted=True, **cutting)
+        return _top_of_pairs(pairs, items, n)
     squares = counts.groupBy("description").agg(
         F.sum(F.col("n_lines").cast("double") * F.col("n_lines")).alias("square")
     )

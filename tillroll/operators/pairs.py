@@ -116,9 +116,11 @@ def co_occurrence(
 
 def both_ways(pairs: DataFrame, swap: list[tuple[str, str]], same: list[str]) -> DataFrame:
     """Each unordered pair as two rows; ``swap`` names the columns that trade places."""
-    forth = F.struct(*[F.col(x).alias(x) for pair in swap for x in pair], *same)
-    back = F.struct(*[F.col(y).alias(x) for p, q in swap for x, y in ((p, q), (q, p))], *same)
-    return pairs.select(F.inline(F.array(forth, back)))
+    kept = [(c, c) for c in same]
+    forth = [(x, x) for pair in swap for x in pair] + kept
+    back = [(x, y) for p, q in swap for x, y in ((p, q), (q, p))] + kept
+    forth, back = (", ".join(f"'{name}', {column}" for name, column in part) for part in (forth, back))
+    return pairs.selectExpr(f"inline(array(named_struct({forth}), named_struct({back})))")
 
 
 def _best_of_cell(n: int, output_columns: list[str]):
