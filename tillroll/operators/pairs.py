@@ -76,7 +76,10 @@ def co_occurrence(
     sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     large = sizes.filter(F.col("n") > large_group).select("grp")
 
-    small_rows = members.join(large, "grp", "left_anti")
+    # a set number of partitions: AQE would merge them by the bytes going in, but far
+    # more rows come out of the join
+    partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    small_rows = members.join(large, "grp", "left_anti").repartition(partitions, "grp")
     left = small_rows.select("grp", F.col("item").alias("a"), F.col("weight").alias("wa"))
     right = small_rows.select("grp", F.col("item").alias("b"), F.col("weight").alias("wb"))
     from_small = (
