@@ -10,8 +10,10 @@ groups of equal tokens.
 
 from __future__ import annotations
 
+import os
 import unicodedata
 import zlib
+from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import text_or_empty
+from tillroll.llm.memory import Memory, groups_of
 
 WINDOW = 2048
 #: Lengths of sequences that need no padding, each a power of two; shorter rests are padded to the longest.
@@ -30,32 +33,12 @@ END_ID = 1
 WAITING = 4096
 #: Tokens of a step group.
 STEP_TOKENS = 64 * WINDOW
-#: Words whose ids are remembered: two generations of so many.
-REMEMBERED = 250_000
-
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
     "tier long, step_group long"
 )
 
 
-class Remembered(dict):
-    """A bounded memory of a function: two generations, the older is dropped when the younger is full."""
-
-    def __init__(self, make, most: int = REMEMBERED):
-        self.make, self.most, self.old = make, most, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
 class WordEncoder:
     """Ids of whole texts by the tokenizer, as little-endian unsigned 32-bit bytes.
 
@@ -67,24 +50,42 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words = Remembered(self._whole)
+        self.words = Memory(self._encoded)
 
-    def _whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(texts), 1000):
+            for one in self.tokenizer.encode_batch_fast(texts[at : at + 1000], add_special_tokens=False):
+                yield array("I", one.ids).tobytes()
 
-    def __call__(self, text: str) -> bytes:
-        plain = (
-            not any(token in text for token in self.special)
+    def _plain(self, text: str) -> bool:
+        return (
+            not any([token in text for token in self.special])
             and "Σ" not in text
-            and not any(c in text for c in "\x1c\x1d\x1e\x1f")
+            and not any([c in text for c in "\x1c\x1d\x1e\x1f"])
             and unicodedata.is_normalized("NFC", text)
         )
-        return b"".join(map(self.words.__getitem__, text.split())) if plain else self._whole(text)
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        words = [text.lower().split() if self._plain(text) else None for text in texts]
+        lookup = self.words.fill(set().union(*[w for w in words if w]))
+        return [
+            next(self._encoded([text])) if own is None else b"".join(map(lookup, own)) for text, own in zip(texts, words)
+        ]
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of a file, made once in each process; what it remembers serves the process's next tasks."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 class Packer:
@@ -194,22 +195,21 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, tiers=TIERS, wai
     tiers, waiting = tuple(tiers), int(waiting)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, closing = WordEncoder(tokenizer), end_id.to_bytes(4, "little")
+        encode, closing = word_encoder(tokenizer), end_id.to_bytes(4, "little")
         packer = Packer(TaskContext.get().partitionId() << 40, tiers, waiting)
         names = [f.split()[0] for f in SCHEMA.split(", ")]
 
         def batch(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
 
-        rows: list[tuple] = []
         for one in batches:
-            for doc, text in zip(one.column(0).to_pylist(), one.column(1).to_pylist()):
-                rows += packer.add(doc, encode(text) + closing)
-            if len(rows) >= 10_000:
-                yield batch(rows)
-                rows = []
-        rows += packer.finish()
-        if rows:
+            for group in groups_of(zip(one.column(0).to_pylist(), one.column(1).to_pylist())):
+                rows: list[tuple] = []
+                for (doc, _), ids in zip(group, encode([text for _, text in group])):
+                    rows += packer.add(doc, ids + closing)
+                if rows:
+                    yield batch(rows)
+        if rows := list(packer.finish()):
             yield batch(rows)
 
     return docs.select(F.col("doc_id").cast("long"), text_or_empty("text").alias("text")).mapInArrow(run, SCHEMA)
