@@ -1,6 +1,40 @@
 """SQL of the corpus queries that SQL can express."""
 
 ORACLES = {
+    "op2_quality_rules": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        w AS (
+            SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+                   list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+            FROM d
+        ),
+        windows AS (
+            SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS win
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) >= 3)
+        ),
+        repeated AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+        covered AS (
+            SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, i + unnest([0, 1, 2]) AS place FROM repeated) GROUP BY doc_id
+        ),
+        c AS (
+            SELECT w.doc_id, text, words, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+                   len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
+                   len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+            FROM w LEFT JOIN covered ON w.doc_id = covered.doc_id
+        ),
+        b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed
+                    OR n_symbols > 0.1 * n_words
+                    OR n_dup_lines > 0.3 * n_lines
+                    OR 4 * n_repeat_words > n_words
+                    OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+                    OR 10 * len(list_distinct(words)) < n_words
+                    OR length(regexp_replace(text, '[^\p{Lu}]+', '', 'g')) > 0.4 * word_chars
+                    OR 5 * len(regexp_extract_all(text, '!')) > 2 * n_words
+                    OR 2 * length(regexp_replace(text, '[^\p{L}]+', '', 'g')) < word_chars) AS kept
+        FROM b
+    """,
     "op4_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
         ranked AS (

@@ -9,6 +9,7 @@ from tillroll.llm.bpe import round_trip
 from tillroll.llm.common import table
 from tillroll.llm.exact_dedup import exact_dedup
 from tillroll.llm.packing import pack
+from tillroll.llm.quality import quality
 from tillroll.llm.secrets import secrets
 from tillroll.llm.toxicity import toxicity
 
@@ -20,6 +21,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -44,6 +49,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_toxicity": op6_toxicity,
