@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.bpe import round_trip
 from tillroll.llm.common import table
 from tillroll.llm.exact_dedup import exact_dedup
+from tillroll.llm.minhash import near_duplicates
 from tillroll.llm.packing import pack
 from tillroll.llm.quality import quality
 from tillroll.llm.secrets import secrets
@@ -37,6 +38,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -53,6 +58,7 @@ QUERIES = {
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_toxicity": op6_toxicity,
+    "op8_minhash": op8_minhash,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
 }
