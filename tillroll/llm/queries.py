@@ -10,6 +10,7 @@ from tillroll.llm.common import table
 from tillroll.llm.exact_dedup import exact_dedup
 from tillroll.llm.minhash import near_duplicates
 from tillroll.llm.packing import pack
+from tillroll.llm.pii import personal_data
 from tillroll.llm.quality import quality
 from tillroll.llm.secrets import secrets
 from tillroll.llm.toxicity import toxicity
@@ -34,6 +35,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents"))
+    base = F.sha2("base_spans", 256).alias("base_sha256")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", base, "spans", "n_term")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,6 +64,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_personal_data": op5_personal_data,
     "op6_toxicity": op6_toxicity,
     "op8_minhash": op8_minhash,
     "op9_packing": op9_packing,
