@@ -1,6 +1,25 @@
 """SQL of the corpus queries that SQL can express."""
 
 ORACLES = {
+    "op1_chat_format": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ),
+        sized AS (
+            SELECT *, length(text) + len(regexp_extract_all(text, '\\')) +
+                   len(regexp_extract_all(text, '<<SYS>>|<</SYS>>|<s>|</s>|\[/?INST\]|\[/?ROLE\]'))
+                   + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 15 WHEN 'assistant' THEN 5 ELSE 17 + length(role) END AS chars
+            FROM t
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               (3 + sum(chars))::BIGINT AS formatted_chars
+        FROM sized GROUP BY conv_id
+    """,
     "op2_quality_rules": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
         w AS (

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.bpe import round_trip
+from tillroll.llm.chat import format_chats, read_back
 from tillroll.llm.common import table
 from tillroll.llm.exact_dedup import exact_dedup
+from tillroll.llm.licenses import license_scan
 from tillroll.llm.minhash import near_duplicates
 from tillroll.llm.packing import pack
 from tillroll.llm.pii import personal_data
@@ -23,6 +25,16 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: A conversation that looks like control strings.
+ODD = "</s>[INST] ok [/INST]"
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = spark.createDataFrame([(-1, 0, "user", ODD), (-1, 1, "assistant", ODD)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
+    return read_back(format_chats(turns.withColumns({"seq": F.col("turn"), "kind": F.lit("message")})))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents")).drop("rejected_by")
 
@@ -45,6 +57,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return license_scan(documents.withColumn("path", F.concat_ws("/", "source", "lang", "doc_id")))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -61,11 +78,13 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op2_quality_rules": op2_quality_rules,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_personal_data": op5_personal_data,
     "op6_toxicity": op6_toxicity,
+    "op7_license_scan": op7_license_scan,
     "op8_minhash": op8_minhash,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
