@@ -18,7 +18,9 @@ def newton_batched(
 
     Every step costs two calls: one for all points of the finite-difference
     gradient and Hessian, one for all step lengths tried along the direction.
-    With ``values_at`` a Spark aggregation, that is two jobs per step.
+    With ``values_at`` a Spark aggregation, that is two jobs per step.  Raises
+    where no step length gains though the gradient isn't flat, and when
+    ``steps`` don't suffice.
     """
     x = np.asarray(start, dtype=float)
     d = len(x)
@@ -46,8 +48,10 @@ def newton_batched(
         best = int(np.nanargmin(tried))
         gain = f0 - tried[best]
         if not gain > 0:
+            if np.abs(gradient).max() > 1e-4 * max(1.0, abs(f0)):
+                raise ArithmeticError(f"no step gains at {x}, where the gradient is {gradient}")
             return x
         x = x + lengths[best] * direction
         if gain < tolerance * max(1.0, abs(f0)):
             return x
-    return x
+    raise ArithmeticError(f"the search has not converged after {steps} steps, at {x}")

@@ -16,7 +16,7 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
     c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
     d = 1.0 / (d if abs(d) > tiny else tiny)
     value = d
-    for m in range(1, 10_000):
+    for m in range(1, 1_000_000):
         even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
         odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
         change = 1.0
@@ -28,8 +28,8 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
             change = c * d
             value *= change
         if abs(change - 1.0) < 1e-15:
-            break
-    return value
+            return value
+    raise ArithmeticError(f"the incomplete beta function has not converged at a={a}, b={b}, x={x}")
 
 
 def regularized_beta(x: float, a: float, b: float) -> float:

@@ -18,19 +18,22 @@ def log_gamma(z: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - shift
 
 
-def hypergeometric(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray, terms: int = 20_000) -> np.ndarray:
-    """Gauss's 2F1(a, b; c; z) for positive a, b, c and 0 <= z < 1, by its series."""
-    a, b, c, z = np.broadcast_arrays(*[np.asarray(v, dtype=float) for v in (a, b, c, z)])
-    total = np.ones(a.shape)
-    term = np.ones(a.shape)
+def scaled_hypergeometric(
+    a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray, terms: int = 5_000_000, tolerance: float = 1e-15
+) -> np.ndarray:
+    """c * 2F1(a, b; c; z) for c > -1 and 0 <= z < 1, by its series with the factor c folded in.
+
+    Unlike 2F1 it is finite at c = 0.  Raises where the series hasn't settled after ``terms`` terms.
+    """
+    a, b, c, z = (v.ravel() for v in np.broadcast_arrays(*[np.asarray(v, dtype=float) for v in (a, b, c, z)]))
+    total, term = c.copy(), a * b * z
+    total += term
     live = np.arange(a.size)
-    a, b, c, z = a.ravel(), b.ravel(), c.ravel(), z.ravel()
-    total, term = total.ravel(), term.ravel()
-    for k in range(terms):
+    for k in range(1, terms):
         ratio = (a[live] + k) * (b[live] + k) / ((c[live] + k) * (k + 1.0)) * z[live]
         term[live] *= ratio
         total[live] += term[live]
-        live = live[(term[live] > 1e-15 * total[live]) | (ratio >= 1.0)]
+        live = live[(np.abs(term[live]) > tolerance * np.abs(total[live])) | (np.abs(ratio) >= 1.0)]
         if not len(live):
-            break
-    return total
+            return total
+    raise ArithmeticError(f"2F1 has not converged after {terms} terms for {len(live)} arguments")

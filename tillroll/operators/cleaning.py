@@ -144,6 +144,16 @@ def clean_audit(raw: DataFrame) -> DataFrame:
     )
 
 
+def profile_all(lines: DataFrame) -> DataFrame:
+    """Type, rows with a value and rows without one of every column, in one pass: ``(column, type, non_null, nulls)``."""
+    counts = lines.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n_{c}") for c in lines.columns])
+    entries = ", ".join(
+        f"struct('{f.name}' AS column, '{f.dataType.simpleString()}' AS type, n_{f.name} AS non_null, rows - n_{f.name} AS nulls)"
+        for f in lines.schema
+    )
+    return counts.selectExpr(f"inline(array({entries}))")
+
+
 def profile_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per numeric column: counts, nulls, mean, deviation, extremes and quartiles.
 

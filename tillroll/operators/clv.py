@@ -14,10 +14,9 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillroll.functions.minimize import newton_batched
-from tillroll.functions.special import hypergeometric, log_gamma
+from tillroll.functions.special import log_gamma, scaled_hypergeometric
 from tillroll.session import durable
 
 DAYS_PER_UNIT = 30.0
@@ -157,10 +156,13 @@ def fit_purchase_model(
 
 
 def fit_value_model(summary: DataFrame, penalizer: float = 0.05) -> ValueModel:
-    """Fit Gamma-Gamma to the customers with repeat purchases."""
+    """Fit Gamma-Gamma to the customers with repeat purchases; their mean values must be positive."""
+    repeat = summary.filter(F.col("x") > 0)
+    bad = repeat.filter(~(F.col("monetary_value") > 0) | F.col("monetary_value").isNull()).count()
+    if bad:
+        raise ValueError(f"{bad} customers with repeat purchases have no positive mean value")
     histories = (
-        summary.filter((F.col("x") > 0) & (F.col("monetary_value") > 0))
-        .groupBy("x", "monetary_value")
+        repeat.groupBy("x", "monetary_value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     p, q, v = _fit(histories, ["x", "monetary_value"], value_log_likelihood, 3, penalizer)
@@ -170,48 +172,34 @@ def fit_value_model(summary: DataFrame, penalizer: float = 0.05) -> ValueModel:
 def _expected(model: PurchaseModel, horizon: float, x, tx, t) -> np.ndarray:
     a = model.a + 1e-9 if model.a == 1.0 else model.a
     r, alpha, b = model.r, model.alpha, model.b
-    z = horizon / (alpha + t + horizon)
-    series = hypergeometric(r + x, b + x, a + b + x - 1, z)
     before, after = alpha + t, alpha + t + horizon
-    top = (a + b + x - 1) / (a - 1) * (1 - series * (before / after) ** (r + x))
+    c, z, stay = a + b + x - 1, horizon / after, before / after
+    # near z = 1 the series is slow; Euler's form of the same function is not
+    near = z > 0.9
+    series = np.empty(np.shape(x))
+    series[~near] = stay[~near] ** (r + x[~near]) * scaled_hypergeometric(r + x[~near], b + x[~near], c[~near], z[~near])
+    series[near] = stay[near] ** (a - 1) * scaled_hypergeometric(a + b - 1 - r, a - 1, c[near], z[near])
+    top = (c - series) / (a - 1)
     gone = np.where(x > 0, a / (b + np.maximum(x, 1) - 1) * (before / (alpha + tx)) ** (r + x), 0.0)
     return top / (1 + gone)
 
 
-def expected_purchases(model: PurchaseModel, x: Column, tx: Column, t: Column, horizon: float = 1.0) -> Column:
-    """Purchases expected in the next ``horizon`` time units, given the history."""
-
-    @F.pandas_udf(T.DoubleType())
-    def run(x: pd.Series, tx: pd.Series, t: pd.Series) -> pd.Series:
-        return pd.Series(_expected(model, horizon, *[s.to_numpy(dtype=float) for s in (x, tx, t)]))
-
-    return run(x, tx, t)
-
-
-def lifetime_value(
-    model: PurchaseModel,
-    value: ValueModel,
-    x: Column,
-    tx: Column,
-    t: Column,
-    m: Column,
-    months: int = 3,
-    discount_rate: float = 0.01,
+def purchase_flow(
+    model: PurchaseModel, x: Column, tx: Column, t: Column, months: int = 3, discount_rate: float = 0.01
 ) -> Column:
-    """Discounted value of the purchases expected in each of the coming months."""
+    """Purchases expected in the next time unit, and the discounted sum of those of ``months`` units, as one struct."""
 
-    @F.pandas_udf(T.DoubleType())
-    def purchases(x: pd.Series, tx: pd.Series, t: pd.Series) -> pd.Series:
+    @F.pandas_udf("next double, discounted double")
+    def run(x: pd.Series, tx: pd.Series, t: pd.Series) -> pd.DataFrame:
         data = [s.to_numpy(dtype=float) for s in (x, tx, t)]
-        total, before = np.zeros(len(x)), np.zeros(len(x))
+        total, before, first = np.zeros(len(x)), np.zeros(len(x)), _expected(model, 1.0, *data)
         for month in range(1, months + 1):
-            upto = _expected(model, float(month), *data)
+            upto = first if month == 1 else _expected(model, float(month), *data)
             total += (upto - before) / (1 + discount_rate) ** month
             before = upto
-        return pd.Series(total)
+        return pd.DataFrame({"next": first, "discounted": total})
 
-    mean_value = (x * m + value.v) * value.p / (x * value.p + (value.q - 1))
-    return F.coalesce(F.nanvl(purchases(x, tx, t) * mean_value, F.lit(0.0)), F.lit(0.0))
+    return run(x, tx, t)
 
 
 def add_lifetime_value(
@@ -222,13 +210,11 @@ def add_lifetime_value(
     discount_rate: float = 0.01,
 ) -> DataFrame:
     """``expected_purchases`` (next 30 days) and ``predicted_clv`` per customer."""
-    x, tx, t, m = (F.col(c) for c in ("x", "tx", "t", "monetary_value"))
-    return summary.withColumns(
-        {
-            "expected_purchases": expected_purchases(model, x, tx, t),
-            "predicted_clv": lifetime_value(model, value, x, tx, t, m, months, discount_rate),
-        }
-    )
+    x, m = F.col("x"), F.col("monetary_value")
+    mean_value = (x * m + value.v) * value.p / (x * value.p + (value.q - 1))
+    worth = F.coalesce(F.nanvl(F.col("flow.discounted") * mean_value, F.lit(0.0)), F.lit(0.0))
+    flowing = summary.withColumn("flow", purchase_flow(model, x, F.col("tx"), F.col("t"), months, discount_rate))
+    return flowing.withColumns({"expected_purchases": F.col("flow.next"), "predicted_clv": worth}).drop("flow")
 
 
 def attach_lifetime_value(customers: DataFrame, valued: DataFrame) -> DataFrame:

@@ -71,19 +71,14 @@ def anova(df: DataFrame, value: str, group: Column, alpha: float = ALPHA) -> Dat
             F.var_pop(value).alias("v"),
         )
     )
-    # the spread of the group means is their variance weighted by group size
-    s = groups.agg(
-        F.count(F.lit(1)).cast("double").alias("k"),
-        F.sum("n").alias("n"),
-        F.sum(F.col("n") * F.col("v")).alias("within"),
-        F.sum(F.col("n") * F.col("m")).alias("total"),
-        F.sum(F.col("n") * F.col("m") * F.col("m")).alias("squares"),
-    )
-    s = s.select(
-        (F.col("k") - 1).alias("df_between"),
-        (F.col("n") - F.col("k")).alias("df_within"),
-        (F.col("squares") - F.col("total") * F.col("total") / F.col("n")).alias("ss_between"),
-        F.col("within").alias("ss_within"),
+    # group means are taken from one of them first, then from the grand mean: squares of large means would cancel
+    listed = groups.agg(F.collect_list(F.struct("n", "m", "v")).alias("g"), F.min("m").alias("m0"), F.sum("n").alias("n"))
+    total = "aggregate(g, 0D, (s, e) -> s + e.n * (e.m - m0)) / n"
+    s = listed.selectExpr("g", "n", "m0", f"{total} AS grand").selectExpr(
+        "cast(size(g) - 1 AS double) AS df_between",
+        "n - size(g) AS df_within",
+        "aggregate(g, 0D, (s, e) -> s + e.n * (e.m - m0 - grand) * (e.m - m0 - grand)) AS ss_between",
+        "aggregate(g, 0D, (s, e) -> s + e.n * e.v) AS ss_within",
     )
     s = s.withColumn(
         "f",

@@ -77,6 +77,11 @@ def catalog(lines: DataFrame) -> DataFrame:
     return lines.select("description").distinct().orderBy("description")
 
 
+def listed_items(recommendations: DataFrame) -> DataFrame:
+    """Descriptions that have a list of recommendations, sorted."""
+    return recommendations.select("description").distinct().orderBy("description")
+
+
 def customer_list(lines: DataFrame) -> DataFrame:
     """All customer numbers, sorted."""
     return lines.select("customer_id").filter(F.col("customer_id").isNotNull()).distinct().orderBy("customer_id")

@@ -118,6 +118,20 @@ def inertia(assigned: DataFrame, centres: list[list[float]]) -> DataFrame:
     return assigned.agg(F.sum(F.least(*[_distance(c, columns) for c in centres])).alias("inertia"))
 
 
+def refine_centres(scaled: DataFrame, centres: list[list[float]], steps: int) -> DataFrame:
+    """Centres after ``steps`` rounds of assignment and averaging from ``centres``: cluster, customers and a column per feature.
+
+    A round is one aggregation to k rows; a cluster that loses all its rows is dropped.
+    """
+    for _ in range(steps):
+        means = assign_clusters(scaled, centres).groupBy("cluster").agg(
+            F.count(F.lit(1)).alias("customers"), *[F.avg(c).alias(c) for c in SCALED]
+        ).orderBy("cluster").collect()  # k rows
+        centres = [[row[c] for c in SCALED] for row in means]
+    rows = [(i, row["customers"], *centre) for i, (row, centre) in enumerate(zip(means, centres))]
+    return scaled.sparkSession.createDataFrame(rows, "cluster int, customers bigint, " + ", ".join(f"{c} double" for c in SCALED))
+
+
 def elbow_curve(rfm: DataFrame, ks: range = range(1, 11), seed: int = 42, n_init: int = 10, parallel: int = 8) -> DataFrame:
     """Smallest inertia for each number of clusters: ``(k, inertia)``.
 
@@ -160,9 +174,11 @@ def label_clusters(profiles: DataFrame, k: int = 4) -> DataFrame:
         F.col("recency"),
         F.lead("recency").over(by_value).alias("above"),
         F.lag("recency").over(by_value).alias("below"),
+        F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))).alias("profiles"),
     )
     segment = (
-        F.when(F.col("place") == 4, "High-Value")
+        F.when(F.col("profiles") != 4, F.raise_error(F.concat(F.lit("segment names need four profiles, not "), "profiles")))
+        .when(F.col("place") == 4, "High-Value")
         .when(F.col("place") == 3, "Regular")
         .when(F.col("place") == 2, F.when(F.col("below") > F.col("recency"), "Occasional").otherwise("At-Risk"))
         .otherwise(F.when(F.col("recency") > F.col("above"), "At-Risk").otherwise("Occasional"))
@@ -198,13 +214,11 @@ def _silhouettes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     numbers, own = np.unique(rows["cluster"].to_numpy(), return_inverse=True)
     counts = np.bincount(own)
     member = np.eye(len(numbers))[own]
-    squares = (x * x).sum(axis=1)
     out = np.zeros(len(x))
-    for start in range(0, len(x), 512):
-        part = slice(start, min(start + 512, len(x)))
-        gap = np.sqrt(((x[part, None, :] - x[None, :, :]) ** 2).sum(axis=2)) if len(x) <= 4096 else np.sqrt(
-            np.maximum(squares[part, None] + squares[None, :] - 2 * x[part] @ x.T, 0)
-        )
+    step = max(1, 1_000_000 // max(1, len(x)))
+    for start in range(0, len(x), step):
+        part = slice(start, min(start + step, len(x)))
+        gap = np.sqrt(((x[part, None, :] - x[None, :, :]) ** 2).sum(axis=2))
         totals = gap @ member
         mine = own[part]
         at = np.arange(len(mine))

@@ -71,7 +71,25 @@ def expected(horizon: int) -> str:
     return f"({c_} / ({g.a} - 1) * (1 - {series} * pow({stay}, {a_})) / (1 + {gone}))"
 
 
-def clv_value() -> str:
+def expected_integrated(horizon: int) -> str:
+    """Expected purchases up to ``horizon`` by integrating over the dropout probability p, for a and b near 0.
+
+    Given that a customer is active, p is Beta(a, b + x) and the purchase rate is Gamma; with p = 1 / (1 + exp(-s)) the
+    trapezoid rule in s is exact to many digits.
+    """
+    g = q.LOW_DROPOUT
+    p, rest = "(1 / (1 + exp(-s)))", "(1 / (1 + exp(s)))"
+    u = f"({p} * {horizon} / ({g.alpha} + t))"
+    power = f"(({g.r} + x) * CASE WHEN {u} < 1e-6 THEN {u} * (1 - {u} / 2) ELSE ln(1 + {u}) END)"
+    bought = f"(CASE WHEN {power} < 1e-9 THEN {power} ELSE 1 - exp(-{power}) END / {p})"
+    weight = f"(pow({p}, {g.a}) * pow({rest}, {g.b} + x))"
+    area = f"(0.1 * list_sum(list_transform(range(-1000, 1001), lambda k: list_transform([k * 0.1], lambda s: {weight} * {bought})[1])))"
+    norm = f"exp(lgamma({g.a}) + lgamma({g.b} + x) - lgamma({g.a} + {g.b} + x))"
+    gone = f"(CASE WHEN x > 0 THEN {g.a} / ({g.b} + greatest(x, 1) - 1) * pow(({g.alpha} + t) / ({g.alpha} + tx), {g.r} + x) ELSE 0 END)"
+    return f"({area} / {norm} / (1 + {gone}))"
+
+
+def clv_value(expected=expected) -> str:
     v = q.GIVEN_VALUE
     flow = " + ".join(
         f"({expected(i)} - {expected(i - 1) if i > 1 else '0'}) / pow(1.01, {i})" for i in (1, 2, 3)
@@ -430,8 +448,20 @@ def scored() -> str:
     )
 
 
-def loglik_purchases() -> str:
-    g = q.GIVEN_PURCHASE
+def refined() -> str:
+    """Rounds of assignment and averaging, one named part each."""
+    body, centres = "", [tuple(map(str, c)) for c in q.GIVEN_CENTRES]
+    for step in range(q.REFINE_STEPS):
+        gaps = [distance(c, Z) for c in centres]
+        whens = " ".join(f"WHEN {e} = least({', '.join(gaps)}) THEN {i}" for i, e in enumerate(gaps))
+        means = ", ".join(f"avg({c}) AS m_{c}" for c in Z)
+        body += f", step{step} AS (SELECT cluster, count(*) AS customers, {means} FROM (SELECT *, CASE {whens} END AS cluster FROM scaled) GROUP BY cluster)"
+        centres = [tuple(f"(SELECT m_{c} FROM step{step} WHERE cluster = {i})" for c in Z) for i in range(len(centres))]
+    shown = ", ".join(f"round(m_{c}, 6) AS {c}" for c in Z)
+    return sql("scaled", f"{body} SELECT cluster::INTEGER AS cluster, customers, {shown} FROM step{q.REFINE_STEPS - 1}".lstrip())
+
+
+def loglik_purchases(g=q.GIVEN_PURCHASE) -> str:
     gone = f"ln({g.a}) - ln({g.b} + greatest(x, 1) - 1) - ({g.r} + x) * ln({g.alpha} + tx)"
     alive = f"-({g.r} + x) * ln({g.alpha} + t)"
     mix = f"CASE WHEN x > 0 THEN greatest({alive}, {gone}) + ln(1 + exp(-abs(({alive}) - ({gone})))) ELSE {alive} END"
@@ -442,8 +472,8 @@ def loglik_purchases() -> str:
     return sql("summary", f"SELECT round(avg({ll}), 6) AS mean_log_likelihood FROM summary")
 
 
-def loglik_values() -> str:
-    g, m = q.GIVEN_VALUE, "monetary_value"
+def loglik_values(g=q.GIVEN_VALUE) -> str:
+    m = "monetary_value"
     ll = (
         f"lgamma({g.p} * x + {g.q}) - lgamma({g.p} * x) - lgamma({g.q}) + {g.q} * ln({g.v}) + ({g.p} * x - 1) * ln({m}) "
         f"+ {g.p} * x * ln(x) - ({g.p} * x + {g.q}) * ln(x * {m} + {g.v})"
@@ -456,16 +486,16 @@ def score_inputs() -> str:
         greatest(frequency - 1, 0.0) + recency / 30 AS t, monetary / greatest(frequency, 1.0) AS monetary_value FROM capped"""
     return sql(
         "capped",
-        f"""SELECT customer_id, {rounded('x tx t')}, round(monetary_value + 1e-9, 6) AS monetary_value, round({expected(1)}, 6) AS expected_purchases,
+        f"""SELECT customer_id, {rounded('x tx t')}, monetary_value::FLOAT::DOUBLE AS monetary_value, round({expected(1)}, 6) AS expected_purchases,
         CASE WHEN x > 0 THEN round({clv_value()}, 6) ELSE 0.0 END AS predicted_clv FROM ({inputs})""",
     )
 
 
-def silhouette() -> str:
+def silhouette(n: int = 500) -> str:
     gap = "sqrt(" + " + ".join(f"pow(a.{c} - b.{c}, 2)" for c in Z) + ")"
     return sql(
         "assigned",
-        f""", s AS (SELECT * FROM assigned ORDER BY md5(concat_ws('|', customer_id::VARCHAR, '42')), customer_id LIMIT 500),
+        f""", s AS (SELECT * FROM assigned ORDER BY md5(concat_ws('|', customer_id::VARCHAR, '42')), customer_id LIMIT {n}),
         m AS (SELECT a.customer_id, a.cluster AS own, b.cluster AS other, sum({gap}) AS total, count(*) AS n
               FROM s a, s b GROUP BY ALL),
         v AS (SELECT customer_id, max(n) FILTER (own = other) AS size,
@@ -514,6 +544,13 @@ AUDIT = f"""SELECT list_position(['copies', 'no_customer', 'admin_code', 'admin_
 
 LINES_OF = "SELECT {columns} FROM {source}"
 
+COLUMN_TYPES = {
+    "invoice_no": "string", "stock_code": "string", "description": "string", "quantity": "int",
+    "invoice_date": "timestamp", "unit_price": "double", "customer_id": "double", "country": "string",
+}
+BOTH_KNOWN = """SELECT customer_id::BIGINT::VARCHAR AS who, x, tx, t, monetary_value FROM summary
+    UNION ALL SELECT 'new ' || customer_id::BIGINT::VARCHAR, 0, 0, t, monetary_value FROM summary"""
+
 ORACLES: dict[str, str] = {
     "scan_csv_roundtrip": sql("sales", f"SELECT {SHOWN} FROM sales"),
     "normalize_types": sql(
@@ -551,6 +588,13 @@ ORACLES: dict[str, str] = {
     "clean_retail": sql("cleaned", f"SELECT {SHOWN}, total_amount FROM cleaned"),
     "clean_audit": sql("sales", AUDIT),
     "profile_columns": profile("sales", "sales", ["quantity", "unit_price", "customer_id"]),
+    "profile_all_columns": sql(
+        "sales",
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column, '{kind}' AS type, count({c}) AS non_null, count(*) - count({c}) AS nulls FROM sales"
+            for c, kind in COLUMN_TYPES.items()
+        ),
+    ),
     "profile_rfm": profile("capped", "capped", [*RFM, "return_ratio"]),
     "rfm_base": sql("rfm", "SELECT customer_id, recency, frequency, round(monetary, 6) AS monetary FROM rfm"),
     "return_ratio": sql("ratio", "SELECT customer_id, round(return_ratio, 6) AS return_ratio FROM ratio"),
@@ -568,6 +612,8 @@ ORACLES: dict[str, str] = {
         "SELECT round(sum(least(" + ", ".join(distance(c, Z) for c in q.GIVEN_CENTRES) + ")), 6) AS inertia FROM scaled",
     ),
     "silhouette_sample": silhouette(),
+    "silhouette_sample_10000": silhouette(10_000),
+    "kmeans_refined": refined(),
     "cluster_profiles": sql("profiles", "SELECT cluster, " + rounded("recency frequency monetary return_ratio") + " FROM profiles"),
     "segment_labels": sql("labels", "SELECT cluster, segment FROM labels"),
     "segmented_customers": sql(
@@ -607,20 +653,43 @@ ORACLES: dict[str, str] = {
         + ", ".join(f"({text(a)}, {text(b)}, {text(c)})" for a, b, c in SEGMENT_NOTES)
         + ") n(segment, profile, action) USING (segment)",
     ),
-    "clv_summary": sql("summary", "SELECT customer_id, x, " + rounded("tx t") + ", round(monetary_value + 1e-9, 6) AS monetary_value FROM summary"),
+    "clv_summary": sql("summary", "SELECT customer_id, x, " + rounded("tx t") + ", monetary_value::FLOAT::DOUBLE AS monetary_value FROM summary"),
     "bgnbd_loglik": loglik_purchases(),
     "gammagamma_loglik": loglik_values(),
     "expected_purchases": sql("valued", "SELECT customer_id, round(expected_purchases, 6) AS expected_purchases FROM valued"),
     "predicted_clv": sql("valued", "SELECT customer_id, round(predicted_clv, 6) AS predicted_clv FROM valued"),
     "score_clv_inputs": score_inputs(),
+    "expected_purchases_low_dropout": sql(
+        "summary", f"SELECT who, round({expected_integrated(1)}, 6) AS expected_purchases FROM ({BOTH_KNOWN})"
+    ),
+    "predicted_clv_low_dropout": sql(
+        "summary", f"SELECT who, round({clv_value(expected_integrated)}, 4) AS predicted_clv FROM ({BOTH_KNOWN}) WHERE x > 0"
+    ),
+    "bgnbd_loglik_low_dropout": loglik_purchases(q.LOW_DROPOUT),
+    "gammagamma_loglik_low_spread": loglik_values(q.LOW_SPREAD),
     "popular_items": sql(
         "item_lines", f"SELECT description, n_lines FROM item_lines WHERE n_lines >= {q.POPULAR_LINES}"
     ),
     "interactions_binary": sql(
+        "purchases item_lines",
+        f"""SELECT DISTINCT description, customer_id FROM purchases
+        WHERE description IN (SELECT description FROM item_lines WHERE n_lines >= 5)""",
+    ),
+    "interactions_binary_popular": sql(
         "purchases item_lines",
         f"""SELECT DISTINCT description, customer_id FROM purchases
         WHERE description IN (SELECT description FROM item_lines WHERE n_lines >= {q.POPULAR_LINES})""",
     ),
+    "catalog_listed": sql("item_recs", "SELECT DISTINCT description FROM item_recs"),
+    "rules_lookup_fallback": sql(
+        "cleaned rules best",
+        """, asked AS (SELECT p_name AS description FROM part UNION SELECT description FROM cleaned),
+        top AS (SELECT item_a AS description, item_b AS item, lift, confidence,
+                row_number() OVER (PARTITION BY item_a ORDER BY lift DESC, confidence DESC, item_b) AS rank FROM rules QUALIFY rank <= 5)
+        SELECT description, false AS is_fallback, rank, item, round(lift, 6) AS lift, round(confidence, 6) AS confidence
+        FROM asked JOIN top USING (description)
+        UNION ALL SELECT description, true, rank, item, 1.0, 1.0 FROM asked, best WHERE description NOT IN (SELECT description FROM top)""".lstrip(),
+    ),
     "item_cosine": sql("cosine", "SELECT item_a, item_b, common, round(similarity, 6) AS similarity FROM cosine"),
     "item_cf_topn": sql("item_recs", "SELECT description, rank, item, round(score, 6) AS score FROM item_recs"),
     "item_cosine_weighted": sql("cleaned", TOP_WEIGHTED),
@@ -647,6 +716,14 @@ ORACLES: dict[str, str] = {
         "neighbors", "SELECT customer_id, neighbor, round(similarity, 6) AS similarity, rank FROM neighbors"
     ),
     "user_cf_recs": sql("user_recs", "SELECT customer_id, rank, item, score FROM user_recs"),
+    "user_neighbors_for": sql(
+        "neighbors", "SELECT customer_id, neighbor, round(similarity, 6) AS similarity, rank FROM neighbors WHERE customer_id % 50 = 0"
+    ),
+    "user_cf_recs_for": sql("user_recs", "SELECT customer_id, rank, item, score FROM user_recs WHERE customer_id % 50 = 0"),
+    "content_similar_for": sql(
+        "desc_near purchases",
+        "SELECT * FROM desc_near WHERE description IN (SELECT description FROM purchases WHERE try_cast(stock_code AS INTEGER) % 50 = 2)",
+    ),
     "user_cf_fallback": sql(
         "user_recs best",
         """SELECT c_custkey AS customer_id, false AS is_fallback, rank, item, score
@@ -679,6 +756,7 @@ ORACLES: dict[str, str] = {
         "capped", "capped", {**{c: (c, "true") for c in RFM}, **{f"log_{c}": (f"ln(1 + {c})", "true") for c in RFM}}
     ),
     "kde_rfm": density("capped", "capped", RFM),
+    "kde_rfm_log": density("capped", f"(SELECT {', '.join(f'ln(1 + {c}) AS log_{c}' for c in RFM)} FROM capped)", [f"log_{c}" for c in RFM]),
     "kde_unit_price": density("cleaned", "(SELECT * FROM cleaned WHERE unit_price <= 15)", ["unit_price"]),
     "monthly_revenue": sql(
         "cleaned", f"SELECT {MONTH} AS month, round(sum(total_amount), 6) AS revenue FROM cleaned WHERE quantity > 0 GROUP BY ALL"

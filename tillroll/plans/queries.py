@@ -27,12 +27,18 @@ GIVEN_CENTRES = [[0.58, -1.68, -1.7], [-1.62, 0.42, 0.39], [0.43, -0.28, -0.22],
 GIVEN_SCALING = {"means": [5.0, 2.25, 7.25], "stds": [1.25, 0.325, 0.44]}
 GIVEN_SEGMENTS = {0: "At-Risk", 1: "Regular", 3: "High-Value"}
 GIVEN_PURCHASE = clv.PurchaseModel(r=1.4, alpha=10.8, a=0.6, b=2.5)
+# Nearly all customers stay: a + b < 1, which customers without repeats feel most.
+LOW_DROPOUT = clv.PurchaseModel(r=1.4, alpha=10.8, a=0.3, b=0.5)
 GIVEN_VALUE = clv.ValueModel(p=1.5, q=3.2, v=50.0)
+LOW_SPREAD = clv.ValueModel(p=0.4, q=0.7, v=5.0)
 # Share of invoices for the target rules; the operator's own default is 0.01.
 TARGET_SUPPORT = 0.0002
 # Popularity limit of the popular-items report; every item here passes the default of 5.
 POPULAR_LINES = 20
 
+# Steps of the refinement of given centres.
+REFINE_STEPS = 3
+
 UK = "NATION_0"  # the home country in these tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,9 +67,9 @@ def settled(df: DataFrame, *skip: str) -> DataFrame:
     )
 
 
-def nudged(df: DataFrame, name: str) -> DataFrame:
-    """Means of money end in an exact half of the last digit shown now and then; move off it."""
-    return df.withColumn(name, F.round(F.col(name) + 1e-9, 6))
+def single(df: DataFrame, name: str) -> DataFrame:
+    """``name`` in single precision: means of money are often an exact half of a last decimal, which rounding may turn either way."""
+    return df.withColumn(name, F.col(name).cast("float").cast("double"))
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -171,6 +177,11 @@ def profile_columns(t: Tables) -> DataFrame:
     return settled(cleaning.profile_columns(t.raw, ["quantity", "unit_price", "customer_id"]))
 
 
+@query
+def profile_all_columns(t: Tables) -> DataFrame:
+    return cleaning.profile_all(t.raw)
+
+
 @query
 def profile_rfm(t: Tables) -> DataFrame:
     return settled(cleaning.profile_columns(t.customers, [*rfm.RFM, "return_ratio"]))
@@ -241,6 +252,16 @@ def silhouette_sample(t: Tables) -> DataFrame:
     return settled(segments.silhouette_sample(_assigned(t)))
 
 
+@query
+def silhouette_sample_10000(t: Tables) -> DataFrame:
+    return settled(segments.silhouette_sample(_assigned(t), n=10_000))
+
+
+@query
+def kmeans_refined(t: Tables) -> DataFrame:
+    return settled(segments.refine_centres(segments.scale_rfm(t.customers), GIVEN_CENTRES, steps=REFINE_STEPS))
+
+
 @query
 def cluster_profiles(t: Tables) -> DataFrame:
     return settled(segments.cluster_profiles(_assigned(t)))
@@ -258,7 +279,7 @@ def segmented_customers(t: Tables) -> DataFrame:
 
 @query
 def elbow_curve(t: Tables) -> DataFrame:
-    return settled(segments.elbow_curve(t.customers, n_init=3))
+    return settled(segments.elbow_curve(t.customers))
 
 
 @query
@@ -308,21 +329,17 @@ def segment_actions(t: Tables) -> DataFrame:
 
 @query
 def clv_summary(t: Tables) -> DataFrame:
-    return settled(nudged(clv.repeat_summary(t.purchases), "monetary_value"))
+    return settled(single(clv.repeat_summary(t.purchases), "monetary_value"), "monetary_value")
 
 
-@query
-def bgnbd_loglik(t: Tables) -> DataFrame:
-    g = GIVEN_PURCHASE
+def _purchase_loglik(t: Tables, g: clv.PurchaseModel) -> DataFrame:
     histories = clv.repeat_summary(t.purchases).groupBy("x", "tx", "t").agg(F.count(F.lit(1)).alias("n"))
     points = np.array([[g.r, g.alpha, g.a, g.b]])
     sums = clv.log_likelihood_sums(histories, ["x", "tx", "t"], clv.purchase_log_likelihood, points)
     return sums.select(F.round(F.col("log_likelihood") / F.col("weight"), 6).alias("mean_log_likelihood"))
 
 
-@query
-def gammagamma_loglik(t: Tables) -> DataFrame:
-    g = GIVEN_VALUE
+def _value_loglik(t: Tables, g: clv.ValueModel) -> DataFrame:
     repeat = clv.repeat_summary(t.purchases).filter("x > 0").withColumn("n", F.lit(1))
     sums = clv.log_likelihood_sums(
         repeat, ["x", "monetary_value"], clv.value_log_likelihood, np.array([[g.p, g.q, g.v]])
@@ -330,6 +347,16 @@ def gammagamma_loglik(t: Tables) -> DataFrame:
     return sums.select(F.round(F.col("log_likelihood") / F.col("weight"), 6).alias("mean_log_likelihood"))
 
 
+@query
+def bgnbd_loglik(t: Tables) -> DataFrame:
+    return _purchase_loglik(t, GIVEN_PURCHASE)
+
+
+@query
+def gammagamma_loglik(t: Tables) -> DataFrame:
+    return _value_loglik(t, GIVEN_VALUE)
+
+
 @query
 def bgnbd_fit(t: Tables) -> DataFrame:
     m = clv.fit_purchase_model(durable(clv.repeat_summary(t.purchases), "summary"))
@@ -362,12 +389,42 @@ def customer_360(t: Tables) -> DataFrame:
 
 @query
 def score_clv_inputs(t: Tables) -> DataFrame:
-    scored = nudged(clv.score_lifetime_value(t.customers, GIVEN_PURCHASE, GIVEN_VALUE), "monetary_value")
+    scored = single(clv.score_lifetime_value(t.customers, GIVEN_PURCHASE, GIVEN_VALUE), "monetary_value")
     return settled(
-        scored.select("customer_id", "x", "tx", "t", "monetary_value", "expected_purchases", "predicted_clv")
+        scored.select("customer_id", "x", "tx", "t", "monetary_value", "expected_purchases", "predicted_clv"),
+        "monetary_value",
     )
 
 
+def _low_dropout(t: Tables) -> DataFrame:
+    """Each customer as known, and the same one as if only the first purchase were known."""
+    known = clv.repeat_summary(t.purchases)
+    new = known.select(F.concat(F.lit("new "), "customer_id").alias("who"), *[F.lit(0).cast(known.schema[c].dataType).alias(c) for c in ("x", "tx")], "t", "monetary_value")
+    both = known.select(F.col("customer_id").cast("string").alias("who"), "x", "tx", "t", "monetary_value").unionByName(new)
+    return clv.add_lifetime_value(both, LOW_DROPOUT, GIVEN_VALUE)
+
+
+@query
+def expected_purchases_low_dropout(t: Tables) -> DataFrame:
+    return settled(_low_dropout(t).select("who", "expected_purchases"))
+
+
+@query
+def predicted_clv_low_dropout(t: Tables) -> DataFrame:
+    # the SQL integrates, which agrees to eight digits
+    return _low_dropout(t).filter("x > 0").select("who", F.round("predicted_clv", 4).alias("predicted_clv"))
+
+
+@query
+def bgnbd_loglik_low_dropout(t: Tables) -> DataFrame:
+    return _purchase_loglik(t, LOW_DROPOUT)
+
+
+@query
+def gammagamma_loglik_low_spread(t: Tables) -> DataFrame:
+    return _value_loglik(t, LOW_SPREAD)
+
+
 # recommendations
 
 
@@ -378,6 +435,11 @@ def popular_items(t: Tables) -> DataFrame:
 
 @query
 def interactions_binary(t: Tables) -> DataFrame:
+    return interactions.binary_interactions(interactions.stored_counts(t.purchases))
+
+
+@query
+def interactions_binary_popular(t: Tables) -> DataFrame:
     return interactions.binary_interactions(interactions.stored_counts(t.purchases), POPULAR_LINES)
 
 
@@ -406,6 +468,19 @@ def catalog(t: Tables) -> DataFrame:
     return interactions.catalog(t.purchases)
 
 
+@query
+def catalog_listed(t: Tables) -> DataFrame:
+    return interactions.listed_items(item_cf.similar_items(interactions.stored_counts(t.purchases)))
+
+
+@query
+def rules_lookup_fallback(t: Tables) -> DataFrame:
+    asked = t.source("part").select(F.col("p_name").alias("description")).unionByName(interactions.catalog(t.cleaned)).distinct()
+    rules = basket.top_rules(basket.association_rules(interactions.stored_counts(t.purchases, "invoice_no")))
+    values = ["item", "lift", "confidence"]
+    return settled(interactions.lookup_or_fallback(asked, rules, basket.rules_fallback(t.purchases), "description", values))
+
+
 @query
 def basket_pairs(t: Tables) -> DataFrame:
     return basket.basket_pairs(interactions.stored_counts(t.purchases, "invoice_no"))
@@ -460,6 +535,28 @@ def user_cf_fallback(t: Tables) -> DataFrame:
     )
 
 
+def _asking(t: Tables) -> DataFrame:
+    """The customers that ask: every 50th of the customer table."""
+    return t.source("customer").filter("c_custkey % 50 = 0").select(F.col("c_custkey").alias("customer_id"))
+
+
+@query
+def user_neighbors_for(t: Tables) -> DataFrame:
+    return settled(user_cf.nearest_customers(interactions.stored_counts(t.purchases), targets=_asking(t)))
+
+
+@query
+def user_cf_recs_for(t: Tables) -> DataFrame:
+    counts = interactions.stored_counts(t.purchases)
+    return user_cf.recommend_from_neighbors(counts, user_cf.nearest_customers(counts, targets=_asking(t)))
+
+
+@query
+def content_similar_for(t: Tables) -> DataFrame:
+    asked = t.purchases.filter("try_cast(stock_code AS int) % 50 = 2").select("description").distinct()
+    return content.similar_texts(content.description_tfidf(t.purchases), "description", targets=asked)
+
+
 @query
 def tfidf_weights(t: Tables) -> DataFrame:
     return settled(content.description_tfidf(t.purchases))
@@ -544,6 +641,12 @@ def kde_rfm(t: Tables) -> DataFrame:
     return settled(kernel_density(t.customers, rfm.RFM))
 
 
+@query
+def kde_rfm_log(t: Tables) -> DataFrame:
+    logs = t.customers.select(*[F.log1p(c).alias(f"log_{c}") for c in rfm.RFM])
+    return settled(kernel_density(logs, [f"log_{c}" for c in rfm.RFM]))
+
+
 @query
 def kde_unit_price(t: Tables) -> DataFrame:
     return settled(kernel_density(t.cleaned.filter(F.col("unit_price") <= 15), ["unit_price"]))
