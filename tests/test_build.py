@@ -1,4 +1,10 @@
+from pathlib import Path
+
+import pytest
+
+from tillroll.operators import cleaning
 from tillroll.plans.build import build, recommend
+from tillroll.session import durable, shared_dir, stored_tables
 from tillroll.sources.artifacts import load_artifacts
 
 
@@ -31,3 +37,29 @@ def test_missing_model_is_fitted_again(spark, tables, tmp_path):
     found = load_artifacts(spark, out)
     assert found.segments is not None and found.tables["recommendations"] is None and found.purchases is None
     assert found.segments.inertia > 0
+
+
+def stored_now(spark):
+    folder = Path(shared_dir(spark).removeprefix("file://"), "tillroll", spark.sparkContext.applicationId)
+    return {p.name for p in folder.iterdir()} if folder.exists() else set()
+
+
+def test_stored_tables_end_with_their_owner(spark, tables, tmp_path):
+    tables.raw.count()
+    before = stored_now(spark)
+    build(tables.raw, str(tmp_path / "out"))
+    assert stored_now(spark) == before
+    with pytest.raises(ZeroDivisionError), stored_tables(spark):
+        durable(spark.range(3), "numbers")
+        assert len(stored_now(spark)) == len(before) + 1
+        1 / 0
+    assert stored_now(spark) == before
+    kept = durable(spark.range(3), "numbers")
+    assert kept.count() == 3 and len(stored_now(spark)) == len(before) + 1
+
+
+def test_history_is_deduplicated_once(tables):
+    cleaned = cleaning.clean_lines(tables.raw, before=tables.deduplicated)[0]
+    for table in (cleaned, tables.before):
+        text = table._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in text and "pre_cancellation" in table.inputFiles()[0]

@@ -95,9 +95,14 @@ def clean_lines(
     codes: list[str] = ADMIN_STOCK_CODES,
     keywords: list[str] = ADMIN_KEYWORDS,
     drop_null_description: bool = False,
+    before: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The whole chain: ``(cleaned, purchases, pre_cancellation)``, all lazy."""
-    before = pre_cancellation(raw)
+    """The whole chain: ``(cleaned, purchases, pre_cancellation)``, all lazy.
+
+    Pass ``before``, a stored ``pre_cancellation`` of ``raw``, where it is read
+    for more than the cleaned lines: the history is then deduplicated once.
+    """
+    before = pre_cancellation(raw) if before is None else before
     kept = before.filter(F.col("description").isNotNull()) if drop_null_description else before
     kept = clean_description(kept)
     kept = drop_cancelled(drop_admin_texts(drop_admin_codes(kept, codes), keywords))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.text import words
 from tillroll.operators.pairs import nearest_rows
+from tillroll.session import durable
 
 
 def english_stop_words() -> list[str]:
@@ -18,22 +19,27 @@ def english_stop_words() -> list[str]:
 def tfidf(texts: DataFrame, key: str, text: str, stop_words: list[str] | None = None) -> DataFrame:
     """TF-IDF weights of unit length per text: ``(key, token, tf, df, weight)``.
 
-    ``idf = ln((1 + texts) / (1 + df)) + 1``.  ``key`` must be unique.
+    ``idf = ln((1 + texts) / (1 + df)) + 1``.  ``key`` must be unique.  Texts are
+    cut into words once; the counts are stored.
     """
     stop = english_stop_words() if stop_words is None else stop_words
     total = texts.filter(F.col(text).isNotNull()).agg(F.count(F.lit(1)).cast("double")).scalar()
-    tf = (
+    tf = durable(
         texts.select(F.col(key), F.explode(words(F.col(text))).alias("token"))
         .filter(~F.col("token").isin(stop))
         .groupBy(key, "token")
-        .agg(F.count(F.lit(1)).alias("tf"))
+        .agg(F.count(F.lit(1)).alias("tf")),
+        "tf",
     )
     df = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     raw = tf.join(df, "token").withColumn(
         "raw", F.col("tf") * (F.ln((total + 1) / (F.col("df") + 1)) + 1)
     )
-    lengths = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
-    return raw.join(lengths, key).select(
+    # a text's words travel once, with what its length is made of
+    packed = raw.groupBy(key).agg(
+        F.collect_list(F.struct("token", "tf", "df", "raw")).alias("w"), F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length")
+    )
+    return packed.select(key, "length", F.inline("w")).select(
         key, "token", "tf", "df", (F.col("raw") / F.col("length")).alias("weight")
     )
 

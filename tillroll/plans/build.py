@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators import basket, cleaning, clv, interactions, item_cf, rfm, segments
-from tillroll.session import durable, ship_package
+from tillroll.session import durable, ship_package, stored_tables
 from tillroll.sources import artifacts
 from tillroll.sources.lines import scan_csv
 
@@ -27,12 +27,20 @@ def build(
 ) -> artifacts.Artifacts:
     """Clean, segment, value and recommend; write every result under ``directory``.
 
-    The raw lines are read for the cleaned table and for the return ratio; each
-    later step reads the smallest stored table that serves it.
+    The raw lines are read and deduplicated once; each later step reads the
+    smallest stored table that serves it.  Tables stored on the way are removed
+    when the build ends, also by an error.
     """
+    with stored_tables(raw.sparkSession):
+        return _build(raw, directory, n_clusters, min_purchases, top_n, clv_months, clv_discount_rate)
+
+
+def _build(
+    raw: DataFrame, directory: str, n_clusters: int, min_purchases: int, top_n: int, clv_months: int, clv_discount_rate: float
+) -> artifacts.Artifacts:
     spark = raw.sparkSession
     ship_package(spark)
-    cleaned, _, before = cleaning.clean_lines(raw)
+    cleaned, _, before = cleaning.clean_lines(raw, before=durable(cleaning.pre_cancellation(raw), "pre_cancellation"))
     cleaned = artifacts.write_table(cleaned, directory, "cleaned_dataset")
     purchases = cleaning.purchases_only(cleaned)
 

@@ -47,7 +47,12 @@ class Tables:
 
     @property
     def cleaned(self) -> DataFrame:
-        return self._store("cleaned", lambda: cleaning.clean_lines(self.raw)[0])
+        return self._store("cleaned", lambda: cleaning.clean_lines(self.raw, before=self.deduplicated)[0])
+
+    @property
+    def deduplicated(self) -> DataFrame:
+        """What the cleaned lines and the return ratio both start from: the history without copies."""
+        return self._store("pre_cancellation", lambda: cleaning.pre_cancellation(self.raw))
 
     @property
     def purchases(self) -> DataFrame:
@@ -55,10 +60,7 @@ class Tables:
 
     @property
     def before(self) -> DataFrame:
-        return self._store(
-            "pre_cancellation",
-            lambda: cleaning.pre_cancellation(self.raw).select("customer_id", "invoice_no", "quantity"),
-        )
+        return self.deduplicated.select("customer_id", "invoice_no", "quantity")
 
     def capped_rfm(self) -> DataFrame:
         """Uncapped features stored, then capped; computed anew on each call."""

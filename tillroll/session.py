@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,9 +74,42 @@ def durable(df: DataFrame, name: str) -> DataFrame:
 
     Used for customer-level tables that several later passes or an iterative
     fit read: the upstream scan, joins and shuffles run once and a lost
-    executor costs a re-read of Parquet, not a re-run of the history.
+    executor costs a re-read of Parquet, not a re-run of the history.  The
+    tables of an application lie in one folder, which is removed when Python
+    exits; ``stored_tables`` removes them earlier.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tillroll/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/tillroll/{spark.sparkContext.applicationId}"
+    if folder not in _written:
+        atexit.register(_remove, spark, folder)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(folder, []).append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_written: dict[str, list[str]] = {}
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored table; what can't be deleted, as after the session has ended, stays for the folder's owner."""
+    with contextlib.suppress(Exception):
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextlib.contextmanager
+def stored_tables(spark: SparkSession) -> Iterator[None]:
+    """Owns the tables that ``durable`` stores inside the block, and removes them at its end or error.
+
+    For work whose results don't read them any more, as when these are written
+    elsewhere.
+    """
+    folder = f"{shared_dir(spark)}/tillroll/{spark.sparkContext.applicationId}"
+    before = len(_written.get(folder, []))
+    try:
+        yield
+    finally:
+        for path in _written.get(folder, [])[before:]:
+            _remove(spark, path)
+        del _written.get(folder, [])[before:]
