@@ -44,7 +44,9 @@ RULES = (
 def counted(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) with words, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words.
 
-    A step's columns are used several times by the next, so each is a projection of its own.
+    A step's columns are used several times by the next, so each is a projection of its own.  Lambdas read only their
+    own elements: a filter on a count puts the steps' expressions into one another, and a column that a lambda reads
+    from outside would be computed anew for each element.
     """
     step = docs.selectExpr("cast(doc_id AS long) AS doc_id", "coalesce(text, '') AS text")
     step = step.selectExpr("*", f"trim(BOTH {SPACE} FROM text) AS bare")
@@ -63,8 +65,8 @@ def counted(docs: DataFrame) -> DataFrame:
         "regexp_count(text, '[#*$%&|<>]') AS n_symbols",
         "size(lines) AS n_lines",
         "size(lines) - size(array_distinct(lines)) AS n_dup_lines",
-        "if(size(words) < 3, cast(array() AS array<string>), transform(slice(words, 1, greatest(0, size(words) - 2)), "
-        "(w, i) -> concat(w, ' ', words[i + 1], ' ', words[i + 2]))) AS windows",
+        "if(size(words) < 3, cast(array() AS array<string>), transform(slice(arrays_zip(words, slice(words, 2, size(words)), "
+        "slice(words, 3, size(words))), 1, greatest(0, size(words) - 2)), z -> concat_ws(' ', z.words, z.`1`, z.`2`))) AS windows",
     )
     kept = [c for c in step.columns if c != "windows"]
     # only texts in which a window comes twice have their windows sorted
@@ -75,8 +77,10 @@ def counted(docs: DataFrame) -> DataFrame:
     )
     step = step.selectExpr(
         *kept,
-        "sort_array(transform(filter(ordered, (x, j) -> get(ordered, j - 1).w <=> x.w OR get(ordered, j + 1).w <=> x.w), "
-        "x -> x.i)) AS places",
+        # each window beside the one before and the one after it in order
+        "sort_array(transform(filter(arrays_zip(concat(array(named_struct('w', cast(NULL AS string), 'i', -1)), ordered), ordered, "
+        "slice(ordered, 2, size(ordered))), z -> z.ordered IS NOT NULL AND (z.`0`.w <=> z.ordered.w OR z.`2`.w <=> z.ordered.w)), "
+        "z -> z.ordered.i)) AS places",
     )
     return step.selectExpr(
         *kept,
@@ -93,7 +97,7 @@ def cascade_order(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int =
     rows = docs.count()
     if not rows:
         return list(rules)
-    held = stored(counted(docs.sample(min(1.0, sample / rows), seed=7)).filter(f"NOT ({BASE_FAILED})"), "quality-sample")
+    held = stored(counted(docs.sample(min(1.0, sample / rows), seed=7)), "quality-sample").filter(f"NOT ({BASE_FAILED})")
 
     def measured(reject: str) -> tuple[int, float]:
         began = time.perf_counter()
