@@ -23,12 +23,9 @@ def _cosine(counts: DataFrame, weighted: bool, **cutting) -> tuple[DataFrame, Da
     items = with_integer_ids(
         rows.groupBy("description").agg(F.expr("sum(weight * weight) AS square")), "description", "item"
     )
-    members = rows.join(items.select("description", "item"), "description").selectExpr("customer_id AS grp", "item", "weight")
-    pairs = (
-        co_occurrence(members, **cutting)
-        .join(items.selectExpr("item AS a", "square AS square_a"), "a")
-        .join(items.selectExpr("item AS b", "square AS square_b"), "b")
-        .selectExpr("a", "b", "together", "together / sqrt(square_a * square_b) AS similarity")
+    members = rows.join(items, "description").selectExpr("customer_id AS grp", "item", "weight", "square")
+    pairs = co_occurrence(members, **cutting).selectExpr(
+        "a", "b", "together", "together / sqrt(square_a * square_b) AS similarity"
     )
     return pairs, items
 

@@ -32,22 +32,27 @@ def _block_counts(cell: pd.DataFrame) -> pd.DataFrame:
     item = np.concatenate(cell["items"].to_numpy())
     weight = np.concatenate(cell["weights"].to_numpy())
     block = np.repeat(cell["block"].to_numpy(), sizes)
+    square = np.concatenate(cell["squares"].to_numpy()) if "squares" in cell else None
 
     def side(b: int):
         mine = block == b
-        ids, row = np.unique(item[mine], return_inverse=True)
-        return ids, (row, dim[mine], weight[mine])
+        ids, at, row = np.unique(item[mine], return_index=True, return_inverse=True)
+        return ids, (row, dim[mine], weight[mine]), None if square is None else square[mine][at]
 
-    left_ids, left = side(i)
-    right_ids, right = side(j) if j != i else (left_ids, left)
+    left_ids, left, left_squares = side(i)
+    right_ids, right, right_squares = side(j) if j != i else (left_ids, left, left_squares)
     found = []
     for first, strip in row_strips(left, right, len(left_ids), len(right_ids)):
         r, c = np.nonzero(strip)
         a, b = left_ids[r + first], right_ids[c]
         keep = a < b
-        found.append(pd.DataFrame({"a": a[keep], "b": b[keep], "together": strip[r, c][keep]}))
+        pairs = {"a": a[keep], "b": b[keep], "together": strip[r, c][keep]}
+        if square is not None:
+            pairs |= {"square_a": left_squares[r + first][keep], "square_b": right_squares[c][keep]}
+        found.append(pd.DataFrame(pairs))
     if not found:
-        return pd.DataFrame({"a": [], "b": [], "together": []}).astype({"a": "int64", "b": "int64"})
+        names = ["a", "b", "together", *(["square_a", "square_b"] if square is not None else [])]
+        return pd.DataFrame({n: [] for n in names}).astype({"a": "int64", "b": "int64"})
     return pd.concat(found, ignore_index=True)
 
 
@@ -70,6 +75,10 @@ def co_occurrence(
       a task gets two blocks of one slab, multiplies them, and returns one
       row per item pair, however many groups the slab holds.
 
+    A column ``square`` that belongs to the item travels along, and comes back
+    as ``square_a`` and ``square_b``: the pairs, the largest table here, then
+    need no join for it.
+
     ``members`` is read by several branches, so it is stored first.
     """
     members = durable(members, "members")
@@ -80,12 +89,16 @@ def co_occurrence(
     # more rows come out of the join
     partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     small_rows = members.join(large, "grp", "left_anti").repartition(partitions, "grp")
-    left = small_rows.select("grp", F.col("item").alias("a"), F.col("weight").alias("wa"))
-    right = small_rows.select("grp", F.col("item").alias("b"), F.col("weight").alias("wb"))
+    carried = ["square"] if "square" in members.columns else []
+    ends = ["square_a", "square_b"] if carried else []
+    left, right = (
+        small_rows.select("grp", F.col("item").alias(s), F.col("weight").alias(f"w{s}"), *[F.col(c).alias(f"{c}_{s}") for c in carried])
+        for s in "ab"
+    )
     from_small = (
         left.join(right, "grp")
         .filter(F.col("a") < F.col("b"))
-        .select("a", "b", (F.col("wa") * F.col("wb")).alias("together"))
+        .select("a", "b", (F.col("wa") * F.col("wb")).alias("together"), *ends)
     )
 
     block = F.floor(F.col("item") / block_items).cast("int")
@@ -94,13 +107,14 @@ def co_occurrence(
     last_block = members.agg(F.max(block)).scalar()
     packed = (
         large_rows.groupBy("grp", "block")
-        .agg(F.collect_list(F.struct("item", "weight")).alias("m"))
+        .agg(F.collect_list(F.struct("item", "weight", *carried)).alias("m"))
         .select(
             F.pmod(F.xxhash64("grp"), slabs).alias("slab"),
             "grp",
             "block",
             F.col("m.item").alias("items"),
             F.col("m.weight").alias("weights"),
+            *[F.col(f"m.{c}").alias(f"{c}s") for c in carried],
             F.explode(F.sequence(F.lit(0), last_block)).alias("other"),
         )
         .withColumn("i", F.least("block", "other"))
@@ -108,11 +122,11 @@ def co_occurrence(
         .drop("other")
     )
     from_large = packed.groupBy("slab", "i", "j").applyInPandas(
-        _block_counts, "a bigint, b bigint, together double"
+        _block_counts, ", ".join(["a bigint, b bigint, together double", *[f"{e} double" for e in ends]])
     )
     return (
         from_small.unionByName(from_large)
-        .groupBy("a", "b")
+        .groupBy("a", "b", *ends)
         .agg(F.sum("together").alias("together"))
     )
 
