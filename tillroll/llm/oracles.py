@@ -45,7 +45,7 @@ ORACLES = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT (base_failed
                     OR n_symbols > 0.1 * n_words
-                    OR n_dup_lines > 0.3 * n_lines
+                    OR (n_dup_lines > 2 AND n_dup_lines > 0.3 * n_lines)
                     OR 4 * n_repeat_words > n_words
                     OR word_chars < 2 * n_words OR word_chars > 15 * n_words
                     OR 10 * len(list_distinct(words)) < n_words

@@ -31,7 +31,7 @@ class Rule:
 
 RULES = (
     Rule("symbols", "n_symbols > 0.1 * n_words"),
-    Rule("duplicate lines", "n_dup_lines > 0.3 * n_lines"),
+    Rule("duplicate lines", "n_dup_lines > 2 AND n_dup_lines > 0.3 * n_lines"),
     Rule("repeated words", "4 * n_repeat_words > n_words"),
     Rule("word length", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
     Rule("few different words", "10 * size(array_distinct(words)) < n_words"),
