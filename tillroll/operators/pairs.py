@@ -191,11 +191,13 @@ def nearest_rows(
     n: int,
     targets: DataFrame | None = None,
     block_rows: int = 2048,
+    block_entries: int = 1 << 20,
 ) -> DataFrame:
     """The ``n`` rows most similar to each target row: ``(key, neighbor, similarity, rank)``.
 
     ``vectors`` holds sparse rows of unit length as ``(key, dim, weight)``, so a
-    similarity is a sum of products.  Rows are packed and cut into blocks; a
+    similarity is a sum of products.  Rows are packed and cut into blocks of
+    about ``block_rows`` rows, or of ``block_entries`` entries if that is less; a
     task gets one block of targets and one block of rows, multiplies them and
     returns only the best ``n`` per target.  A dim that all rows share (a
     best-seller, a common word) costs a task no more than its two blocks, and
@@ -218,10 +220,10 @@ def nearest_rows(
         chosen = packed.join(wanted, "key", "left_semi")
 
     def blocks(keys: DataFrame):
-        rows = keys.agg(F.count(F.lit(1))).scalar()
-        return F.greatest(F.ceil(rows / block_rows), F.lit(1)).cast("int")
+        needed = F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.ceil(F.sum("entries") / block_entries))
+        return F.greatest(keys.agg(needed).scalar(), F.lit(1)).cast("int")
 
-    all_keys = packed.select("key")
+    all_keys = packed.select("key", F.size("dims").alias("entries"))
     right_blocks = blocks(all_keys)
     left_blocks = right_blocks if targets is None else blocks(all_keys.join(wanted, "key", "left_semi"))
 
