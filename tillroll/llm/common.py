@@ -31,7 +31,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, spread:
 
     Groups that hold more than HOT_SHARE of all rows are at most 1 / HOT_SHARE many whatever the input, so they are
     broadcast; their rows then take no part in the shuffle by key: they are dealt by ``spread`` instead. ``groups``
-    must be stored, as it is read three times. Every key of ``rows`` must be in ``groups``.
+    must be stored, as it is read three times. Keys that it lacks get nulls.
     """
     total = groups.agg(F.sum(size)).first()[0] or 0
     others = [c for c in groups.columns if c != key]

@@ -7,10 +7,11 @@ classes that match MATCHES times must share one of the first (shared - MATCHES +
 prefixes are posted and the frequent rest is skipped.
 
 Groups of copies would meet in all pairs.  So a first round compares each class with one pivot only, the smallest of
-its postings that it shares most with; confirmed links join classes to components.  A second round compares what met
-under a value and is still in different components, if its signatures collide often enough.  Links are confirmed on
-full sets.  The chance to miss a pair at the similarity threshold is that of fewer than MATCHES successes in
-COORDINATES draws, 3e-6, and falls quickly above it.
+its postings that it shares most with; confirmed links join classes to components.  A second round takes what met
+under a value and is still in different components.  Posting lists are cut in blocks, and a task counts the collisions
+of two blocks of a list in longer signatures of one byte a coordinate; only pairs over their match threshold leave it,
+each under the first value that both share.  Links are confirmed on full sets.  The chance to miss a pair at the
+similarity threshold is 3e-6 for the postings and 1e-6 for the longer signatures, and falls quickly above it.
 """
 
 from __future__ import annotations
@@ -29,15 +30,20 @@ from tillroll.llm.shingles import mix, shingle_sets
 
 COORDINATES = 64
 MATCHES = 32
+#: Coordinates of the longer signatures, and the collisions that a pair needs there.
+MARKS, MARK_MATCHES = 1024, 703
+#: Postings of a block in the second round.
+BLOCK_POSTS = 512
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Members of a block of comparisons with one pivot.
-BLOCK = 1000
+BLOCK = 200
 
 _U = np.uint64
 _random = np.random.Generator(np.random.PCG64(17))
 _FACTOR = _random.integers(1, 1 << 63, COORDINATES, dtype=_U) * _U(2) + _U(1)
 _OFFSET = _random.integers(0, 1 << 63, COORDINATES, dtype=_U)
+_MARK_FACTOR = _random.integers(1, 1 << 63, MARKS, dtype=_U) * _U(2) + _U(1)
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
@@ -49,6 +55,14 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return (mix(least) & ~_U(COORDINATES - 1)) | np.arange(COORDINATES, dtype=_U)
 
 
+def marks(hashes: np.ndarray) -> np.ndarray:
+    """The longer signature: a byte of each coordinate's minimum."""
+    least = np.full(MARKS, ~_U(0))
+    for at in range(0, len(hashes), 1024):
+        np.minimum(least, (hashes[at : at + 1024, None] * _MARK_FACTOR).min(0), out=least)
+    return (mix(least) >> _U(56)).astype(np.uint8)
+
+
 def signed(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_digest (null for empty sets) and keys, the signature, of every row."""
 
@@ -104,6 +118,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     most = pairs.groupBy("a").count().agg(F.max("count")).first()[0] or 0
     blocks = -(-most // BLOCK) or 1
     dealt = pairs.withColumn("block", F.pmod(F.xxhash64("b"), F.lit(blocks)).cast("int"))
+    sets = sets.select("node", "hashes")
     members = dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "block", F.col("b").alias("member"), "hashes")
     pivots = (
         dealt.select("a", "block").distinct().join(sets.withColumnRenamed("node", "a"), "a")
@@ -134,6 +149,56 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def met_often(posts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that share a posting and collide MARK_MATCHES times in their marks.
+
+    ``posts`` has key, node, component, posted (postings of the key), marks and prefix.  A key's list is cut in blocks
+    by node; a task compares two blocks.
+    """
+    cut = posts.withColumn("blocks", F.ceil(F.col("posted") / BLOCK_POSTS).cast("int")).withColumn(
+        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    )
+    cells = cut.select(
+        "key", "node", "component", "marks", "prefix", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    ).select("key", "node", "component", "marks", "prefix", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def compare(key: int, i: int, j: int, rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        node, part, seen, prefix, own = zip(*rows)
+        if len(set(part)) == 1:
+            return
+        node, part, own = np.array(node), np.array(part), np.array(own)
+        seen = np.frombuffer(b"".join(seen), np.uint8).reshape(len(rows), MARKS)
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        for row in left:
+            others = right[(part[right] != part[row]) & ((node[right] > node[row]) if i == j else True)]
+            for other in others[(seen[others] == seen[row]).sum(1) >= MARK_MATCHES]:
+                if min(set(prefix[row]).intersection(prefix[other])) == key:  # once, under the first value that both share
+                    low, high = sorted((int(node[row]), int(node[other])))
+                    yield low, high
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, rows, pairs = None, [], []
+        for batch in batches:
+            for key, i, j, *row in zip(*(batch.column(c).to_pylist() for c in range(8))):
+                if (key, i, j) != cell:
+                    if len(rows) > 1:
+                        pairs += compare(*cell, rows)
+                    cell, rows = (key, i, j), []
+                rows.append(row)
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs)], names=["a", "b"])
+                pairs = []
+        if len(rows) > 1 and (pairs := list(compare(*cell, rows))):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs)], names=["a", "b"])
+
+    return (
+        cells.select("key", "i", "j", "node", "component", "marks", "prefix", "own")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j")
+        .mapInArrow(run, "a long, b long")
+    )
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (its smallest node) of every node in ``links`` (a, b).
 
@@ -176,13 +241,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for group in groups_of(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                sets = [s.astype("<u8").tobytes() for s in shingle_sets([text for _, text in group])]
+                sets = shingle_sets([text for _, text in group])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([n for n, _ in group], pa.int64()), pa.array(sets, pa.binary())], names=["node", "hashes"]
+                    [
+                        pa.array([n for n, _ in group], pa.int64()),
+                        pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
+                        pa.array([marks(s).tobytes() for s in sets], pa.binary()),
+                    ],
+                    names=["node", "hashes", "marks"],
                 )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), text_or_empty("text").alias("text")).join(wanted, "node", "left_semi")
-    sets = stored(texts.mapInArrow(full_sets, "node long, hashes binary").dropDuplicates(["node"]), "sets")
+    sets = stored(texts.mapInArrow(full_sets, "node long, hashes binary, marks binary").dropDuplicates(["node"]), "sets")
 
     # first round: each class with the pivot it shares most with
     posts = stored(posted.select("node", F.explode("prefix").alias("key")), "posts")
@@ -201,21 +271,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .filter("low < high").select("key", "posted"),
         "apart",
     )
-    open_posts = stored(_with_counted(placed, apart, "key", hot_from).drop("posted"), "posts")
-    left, right = (open_posts.select("key", F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab")
-    met = left.join(right, "key").filter("a < b AND of_a <> of_b").select("a", "b").distinct()
-    keys = posted.select("node", "shared")
-    often = (
-        met.join(keys.toDF("a", "keys_a"), "a").join(keys.toDF("b", "keys_b"), "b")
-        .filter(F.size(F.array_intersect("keys_a", "keys_b")) >= MATCHES).select("a", "b")
-    )
-    more = confirmed(stored(often, "pairs"), sets)
+    carried = sets.select("node", "marks").join(posted.select("node", "prefix"), "node")
+    open_posts = _with_counted(placed, apart, "key", hot_from).join(carried, "node")
+    more = confirmed(stored(met_often(open_posts), "pairs"), sets)
     label = components(links.unionByName(stored(more, "links")))
 
     groups = stored(
         classes.join(label, "node", "left").select("set_digest", "class_size", F.coalesce("component", "node").alias("component")), "components"
     )
-    filled = rows.select("doc_id", "n_shingles", F.coalesce("set_digest", F.lit("")).alias("set_digest"))
+    filled = rows.select("doc_id", "n_shingles", F.coalesce("set_digest", F.concat(F.lit("none "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("set_digest"))
     placed = join_groups(filled, groups, "set_digest", "class_size", "doc_id")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return placed.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
