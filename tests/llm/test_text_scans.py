@@ -156,3 +156,18 @@ def test_toxicity_on_odd_rows(spark, odd, empty):
     assert toxicity(odd, labels).count() == odd.count() and toxicity(empty, labels).count() == 0
     assert {r.score for r in toxicity(odd, labels.limit(0)).collect()} == {0.5}
     assert drop_toxic(odd, labels).columns == odd.columns
+
+
+def test_license_headers_among_other_words(spark):
+    headers = [
+        ("proprietary", "Copyright 2024 Jane Doe. All rights reserved."), ("MIT", "Copyright (c) 2020 Foo. Released under the MIT License."),
+        ("Apache-2.0", 'Copyright 2024 Jane Doe. All rights reserved.\nLicensed under the Apache License, Version 2.0 (the "License"); you may not use this file except'),
+        ("GPL-3.0", "# This work is licensed under\n# the GNU General Public\n# License, version 3."),
+        ("MIT", "some prose before " * 40 + "released under the MIT license and prose " + "behind it all " * 40),
+    ]
+    rows = [(i, f"d{i}/x", text) for i, (_, text) in enumerate(headers)]
+    rows += [(100 + i, f"p{i}/x", "and the file of the copyright is under a version of this source\nplain prose about use") for i in range(30)]
+    got = {r.doc_id: r for r in license_scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert [got[i].license for i in range(len(headers))] == [name for name, _ in headers]
+    assert got[3].n_license_lines == 3 and got[3].is_license_file and not got[4].is_license_file
+    assert not any(got[100 + i].license for i in range(30))

@@ -1,14 +1,17 @@
-"""License scan in DataFrame functions only: TF-IDF cosine of lines to templates, then inheritance by directory.
+"""License scan in DataFrame functions only: TF-IDF cosine of windows of words to templates, then inheritance by directory.
 
-Every line of a file is a header that might name a license.  Its words are weighed by how few lines of the corpus have
-them; words that no template has weigh most, so prose that shares a few words with a template stays far from it.  A file
-whose lines mostly name one license is a licence file, and files below its directory that name none inherit from the
+Every word of the corpus is weighed by how few lines have it.  A header may stand anywhere in a text, among other words
+or wrapped over lines, so each template is compared with all windows of at most twice its words that begin and end at
+words of its own; other ends only lower the cosine.  A window that has too little of a template's weight can't reach the
+least cosine whatever else it holds, so only the others are joined with the weights of their remaining words.  A file
+that mostly consists of headers is a licence file, and files below its directory that name no license inherit from the
 nearest one above them.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +33,10 @@ TEMPLATES = {
 }
 #: Least cosine of a match.
 COSINE = 0.7
+#: A window has at most so many times the words of its template.
+REACH = 2
+#: Names of templates that reserve rights, which count only where no license is named.
+RESERVED = ("proprietary",)
 _WORD = r"'[\\p{L}\\p{N}]+'"
 
 
@@ -37,52 +44,129 @@ def _texts(values) -> str:
     return "array(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
 
 
-def license_scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, cosine: float = COSINE) -> DataFrame:
+def _words(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+", text.lower())
+
+
+def line_counts(rows: DataFrame) -> DataFrame:
+    """w, lines: the number of lines of all texts that have the word; of the word '', the number of lines with words."""
+    lines = f"filter(transform(split(text, '\\n'), l -> array_distinct(regexp_extract_all(lower(l), {_WORD}, 0))), w -> size(w) > 0)"
+    words = rows.selectExpr(f"explode(flatten(transform({lines}, w -> concat(w, array(''))))) AS w")
+    return stored(words.groupBy("w").agg(F.count("*").alias("lines")), "license-words")
+
+
+def weigher(counts: DataFrame, words: set[str]) -> tuple[dict[str, float], str]:
+    """Squared weights of ``words``, and SQL for that of any word seen in ``lines``."""
+    asked = counts.sparkSession.createDataFrame([(w,) for w in sorted(words | {""})], "w string")
+    seen = {r["w"]: r["lines"] for r in counts.join(F.broadcast(asked), "w").collect()}  # a row per word of the templates
+    n = seen.get("", 0)
+    return {w: max(1e-9, math.log((1 + n) / seen.get(w, 1)) ** 2) for w in words}, f"greatest(1e-9D, pow(ln({1 + n}D / lines), 2))"
+
+
+def sums(asked: DataFrame, counts: DataFrame, weight: str, keys: list[str]) -> DataFrame:
+    """``keys`` and the sum of the weights of the words in ``rest`` for each row of ``asked``, which has them distinct."""
+    words = asked.select(*keys, F.explode("rest").alias("w"))
+    told = stored(words.groupBy("w").agg(F.count("*").alias("uses")).join(counts, "w"), "license-weights")
+    return join_groups(words, told, "w", "uses", keys[0]).groupBy(*keys).agg(F.expr(f"sum({weight})").alias("others"))
+
+
+def prepared(templates: list[tuple[str, list[str]]], weights: dict[str, float], cosine: float) -> tuple[list[str], str]:
+    """The templates as SQL structs, and all their keys: a window that matches has a key of the template."""
+    told, every = [], set()
+    for name, words in templates:
+        own = sorted(set(words), key=lambda w: (weights[w], w))
+        total = sum(weights[w] for w in own)
+        need, light, n = cosine * cosine * total * (1 - 1e-9), 0.0, 0
+        while n < len(own) and light + weights[own[n]] < need:  # these alone can't reach the least cosine
+            light, n = light + weights[own[n]], n + 1
+        heavy, least = 0.0, 0
+        while heavy < need and least < len(own):  # fewer words can't reach it
+            least, heavy = least + 1, heavy + weights[own[-1 - least]]
+        every |= set(own[n:])
+        told.append(
+            f"named_struct('name', {_texts([name])}[0], 'words', {_texts(own)}, 'weights', array({', '.join(f'{weights[w]!r}D' for w in own)}), "
+            f"'keys', {_texts(own[n:])}, 'reach', {REACH * len(words)}, 'total', {total!r}D, 'need', {need!r}D, 'least', {least})"
+        )
+    return told, _texts(sorted(every))
+
+
+def headers(held: DataFrame, told: list[str], keys: str, longest: int, counts: DataFrame, weight: str, cosine: float) -> DataFrame:
+    """row, taken: windows that match a template and that no better one overlaps, for rows of ``held`` (row, text).
+
+    A window has at, end (numbers of words), line, end_line, score and name.
+    """
+    reach = REACH * longest
+    tokens = f"flatten(transform(split(text, '\\n'), (l, i) -> transform(regexp_extract_all(lower(l), {_WORD}, 0), w -> named_struct('line', i, 'w', w))))"
+    near = (
+        held.filter("text IS NOT NULL").selectExpr("row", f"{tokens} AS tokens")
+        .selectExpr(
+            "row",
+            f"inline(transform(filter(sequence(0, size(tokens) - 1), i -> array_contains({keys}, tokens[i].w)), i -> named_struct("
+            f"'base', greatest(i - {reach}, 0), 'at', least(i, {reach}), 'part', slice(tokens, greatest(i - {reach}, 0) + 1, {2 * reach + 1}))))",
+        )
+    )
+    placed = (
+        near.selectExpr("*", f"explode(filter(array({', '.join(told)}), t -> array_contains(t.keys, part[at].w))) AS t")
+        .selectExpr("*", "filter(sequence(greatest(at - t.reach + 1, 0), least(at + t.reach, size(part)) - 1), i -> array_contains(t.words, part[i].w)) AS own")
+        # of the windows with several keys each is taken at its first one
+        .selectExpr("*", "coalesce(array_max(filter(own, i -> i < at AND array_contains(t.keys, part[i].w))), -1) AS before")
+        .selectExpr(
+            "row", "base", "part", "t", "at AS key",
+            "inline(flatten(transform(filter(own, s -> s <= at AND s > before), s -> transform(filter(own, e -> e >= at AND e - s < t.reach), e -> named_struct('s', s, 'e', e)))))",
+        )
+        .selectExpr("*", "array_distinct(slice(part, s + 1, e - s + 1).w) AS words")
+        .selectExpr(
+            "row", "t.name", "base + key AS key", "base + s AS at", "base + e + 1 AS end", "part[s].line AS line", "part[e].line AS end_line", "t.total", "t.need",
+            "aggregate(array_intersect(words, t.words), 0D, (a, w) -> a + t.weights[array_position(t.words, w) - 1]) AS known",
+            "array_except(words, t.words) AS rest",
+        )
+        .filter("known >= need")
+    )
+    windows = stored(placed, "license-windows")
+    id_ = ["row", "name", "at", "end", "total"]
+    scored = windows.join(sums(windows.filter("size(rest) > 0"), counts, weight, id_), id_, "left").selectExpr(
+        "row", "name", "key", "at", "end", "line", "end_line", "round(known / sqrt((known + coalesce(others, 0D)) * total), 9) AS score"
+    )
+    best = scored.filter(f"score >= {cosine!r}D").groupBy("row", "key").agg(
+        F.expr("max(struct(score, at - end AS shortness, name, at, end, line, end_line)) AS b")
+    )
+    return best.groupBy("row").agg(F.expr("reverse(array_sort(collect_list(b))) AS found")).selectExpr(
+        "row",
+        "aggregate(found, slice(found, 1, 0), (t, b) -> if(exists(t, x -> x.at < b.end AND b.at < x.end), t, concat(t, array(b)))) AS taken",
+    )
+
+
+def license_scan(files: DataFrame, templates: dict[str, str | list[str]] = TEMPLATES, cosine: float = COSINE) -> DataFrame:
     """Own and inherited license of every row of ``files``.
 
     ``files`` needs doc_id, path (directories by /) and text; other columns are ignored.  Null texts have no lines, null
     paths lie in the root directory "".  Repeated rows get a row each.  Returns doc_id, path, license (of the most
-    similar line, of equal ones the last by name), score, n_license_lines, is_license_file, inherited.
+    similar window, of equal ones the last by name), score, n_license_lines (lines that matching windows touch),
+    is_license_file, inherited.
     """
-    spark = files.sparkSession
-    words = spark.createDataFrame(list(templates.items()), "name string, text string").selectExpr(
-        "name", f"array_sort(array_distinct(regexp_extract_all(lower(text), {_WORD}, 0))) AS words"
-    )
-    by_name = {r["name"]: r["words"] for r in words.collect()}  # the templates
-    vocabulary = sorted({w for ws in by_name.values() for w in ws})
-    lines = files.selectExpr(
-        "cast(doc_id AS long) AS doc_id",
-        "coalesce(path, '') AS path",
-        f"filter(transform(split(coalesce(text, ''), '\\n'), l -> array_distinct(regexp_extract_all(lower(l), {_WORD}, 0))), w -> size(w) > 0) AS lines",
-    ).selectExpr(
-        "doc_id", "path", "size(lines) AS n_lines",
-        f"transform(lines, w -> struct(array_intersect(w, {_texts(vocabulary)}) AS known, size(w) AS n)) AS lines",
+    by_name = [(name, _words(text)) for name, texts in templates.items() for text in ([texts] if isinstance(texts, str) else texts)]
+    rows = files.selectExpr("cast(doc_id AS long) AS doc_id", "coalesce(path, '') AS path", "coalesce(text, '') AS text")
+    counts = line_counts(rows)
+    weights, weight = weigher(counts, {w for _, words in by_name for w in words})
+    told, keys = prepared(by_name, weights, cosine)
+    # numbered once: the stored numbers stay; texts without a key are never read again
+    held = stored(
+        rows.selectExpr("monotonically_increasing_id() AS row", "*", f"regexp_extract_all(lower(text), {_WORD}, 0) AS words").selectExpr(
+            "row", "doc_id", "path", "size(words) AS n_words", f"if(arrays_overlap(words, {keys}), text, NULL) AS text"
+        ),
+        "license-rows",
     )
-    held = stored(lines, "license-lines")
-    n_lines = held.agg(F.sum("n_lines")).first()[0] or 0
-    # one row per word of the templates
-    seen = dict(held.select(F.explode("lines.known").alias("known")).select(F.explode("known").alias("w")).groupBy("w").count().collect())
-    most = math.log(1 + n_lines)
-    weight = {w: (math.log((1 + n_lines) / seen.get(w, 1)) or 1e-9) ** 2 for w in vocabulary}
-    squares = "map(" + ", ".join(f"'{w}', {weight[w]!r}D" for w in vocabulary) + ")"
-    total = f"aggregate(l.known, 0D, (s, w) -> s + {squares}[w]) + (l.n - size(l.known)) * {most * most!r}D"
-    # a line whose unknown words alone outweigh what a template has can't reach the least cosine
-    heaviest = max(sum(weight[w] for w in ws) for ws in by_name.values())
-    near = held.selectExpr(
-        "doc_id", "path", "n_lines",
-        f"filter(lines, l -> size(l.known) > 0 AND (l.n - size(l.known)) * {most * most!r}D <= {heaviest / cosine**2!r}D) AS lines",
-    ).selectExpr("doc_id", "path", "n_lines", f"transform(lines, l -> struct(l.known AS known, {total} AS square)) AS lines")
-    scores = ", ".join(
-        f"struct(round(aggregate(array_intersect(l.known, {_texts(ws)}), 0D, (s, w) -> s + {squares}[w]) "
-        f"/ sqrt(l.square * {sum(weight[w] for w in ws)!r}D), 9) AS score, {_texts([name])}[0] AS name)"
-        for name, ws in by_name.items()
+    matched = stored(headers(held, told, keys, max(len(words) for _, words in by_name), counts, weight, cosine), "license-headers")
+    named = matched.selectExpr(
+        "row", f"array_max(transform(taken, b -> struct(b.name NOT IN ({', '.join(map(repr, RESERVED))}) AS named, b.score AS score, b.name AS name))) AS best",
+        "cast(size(array_distinct(flatten(transform(taken, b -> sequence(b.line, b.end_line))))) AS long) AS n_license_lines",
+        "aggregate(taken, 0, (n, b) -> n + b.end - b.at) AS covered",
     )
-    best = near.selectExpr("doc_id", "path", "n_lines", f"filter(transform(lines, l -> greatest({scores})), b -> b.score >= {cosine!r}D) AS found")
     own = stored(
-        best.selectExpr(
+        held.drop("text").join(named, "row", "left").selectExpr(
             "doc_id", "path", "regexp_replace(path, '/?[^/]*$', '') AS directory",
-            "array_max(found).name AS license", "array_max(found).score AS score", "cast(size(found) AS long) AS n_license_lines",
-            "size(found) > 0 AND 2 * size(found) >= n_lines AS is_license_file",
+            "best.name AS license", "best.score AS score", "coalesce(n_license_lines, 0L) AS n_license_lines",
+            "coalesce(2 * covered >= n_words, false) AS is_license_file",
         ),
         "license-own",
     )
