@@ -7,7 +7,7 @@ import string
 import numpy as np
 import pytest
 
-from tillroll.llm.licenses import license_scan
+from tillroll.llm.licenses import TEXTS, license_scan
 from tillroll.llm.pii import personal_data
 from tillroll.llm.quality import RULES, quality
 from tillroll.llm.secrets import least_steps, mask_secrets, randomness, scan, secrets
@@ -171,3 +171,15 @@ def test_license_headers_among_other_words(spark):
     assert [got[i].license for i in range(len(headers))] == [name for name, _ in headers]
     assert got[3].n_license_lines == 3 and got[3].is_license_file and not got[4].is_license_file
     assert not any(got[100 + i].license for i in range(30))
+
+
+def test_whole_license_texts(spark):
+    mit = TEXTS["MIT"].replace("<year> <copyright holders>", "2021 Jane Doe and the frob authors")
+    bsd = TEXTS["BSD-3-Clause"].replace("The Regents of the University of California", "2020, Some Company")
+    rows = [(1, "m/LICENSE", mit), (2, "m/src/a", "prose"), (3, "g/COPYING", TEXTS["GPL-3.0"]), (4, "g/x", "more prose"), (5, "b/LICENSE", bsd)]
+    rows += [(6, "a/LICENSE", TEXTS["Apache-2.0"][: TEXTS["Apache-2.0"].index("END OF TERMS")]), (7, "n/x", "words\nLicensed under CC BY-NC 4.0.\nmore prose and yet more of it")]
+    rows += [(100 + i, f"p{i}/x", "the software is provided to any person for use\nplain prose about the terms of this work") for i in range(30)]
+    got = {r.doc_id: r for r in license_scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert {d: r.license for d, r in got.items() if r.license} == {1: "MIT", 3: "GPL-3.0", 5: "BSD-3-Clause", 6: "Apache-2.0", 7: "CC-BY-NC-4.0"}
+    assert {d for d, r in got.items() if r.is_license_file} == {1, 3, 5, 6}
+    assert (got[2].inherited, got[4].inherited) == ("MIT", "GPL-3.0")

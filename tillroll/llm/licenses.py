@@ -3,15 +3,16 @@
 Every word of the corpus is weighed by how few lines have it.  A header may stand anywhere in a text, among other words
 or wrapped over lines, so each template is compared with all windows of at most twice its words that begin and end at
 words of its own; other ends only lower the cosine.  A window that has too little of a template's weight can't reach the
-least cosine whatever else it holds, so only the others are joined with the weights of their remaining words.  A file
-that mostly consists of headers is a licence file, and files below its directory that name no license inherit from the
-nearest one above them.
+least cosine whatever else it holds, so only the others are joined with the weights of their remaining words.  Whole files
+are compared with the texts of whole licenses in the same way.  A file that is such a text, or mostly consists of
+headers, is a licence file, and files below its directory that name no license inherit from the nearest one above them.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,36 @@ TEMPLATES = {
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related rights, CC0 1.0.",
     "proprietary": "All rights reserved.",
 }
+#: More headers: other wordings and other licenses.
+HEADERS = [
+    ("Apache-2.0", "Apache License Version 2.0"),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    *(
+        (f"{short}-{n}", f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} General Public "
+         f"License as published by the Free Software Foundation, either version {n.removesuffix('.0')} of the License, or (at your option) any later version.")
+        for short, kind, what, versions in (("GPL", "", "program", ("2.0", "3.0")), ("LGPL", "Lesser", "library", ("2.1", "3.0")), ("AGPL", "Affero", "program", ("3.0",)))
+        for n in versions
+    ),
+    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("ISC", "Licensed under the ISC License."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    *((f"CC-{x.replace(' ', '-')}-4.0", f"Licensed under CC {x} 4.0.") for x in ("BY", "BY SA", "BY ND", "BY NC", "BY NC SA", "BY NC ND")),
+    *(
+        (f"CC-{x}-4.0", f"This work is licensed under a Creative Commons {long} 4.0 International License.")
+        for x, long in (
+            ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC", "Attribution-NonCommercial"),
+            ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        )
+    ),
+]
+#: Texts of whole licenses by name.
+TEXTS = {p.stem: p.read_text("utf-8") for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
 #: Least cosine of a match.
 COSINE = 0.7
 #: A window has at most so many times the words of its template.
@@ -136,24 +167,52 @@ def headers(held: DataFrame, told: list[str], keys: str, longest: int, counts: D
     )
 
 
-def license_scan(files: DataFrame, templates: dict[str, str | list[str]] = TEMPLATES, cosine: float = COSINE) -> DataFrame:
+def whole(files: DataFrame, told: list[str], counts: DataFrame, weight: str, cosine: float) -> DataFrame:
+    """row, text_name, text_score: the license whose whole text is most similar to a file's, for rows of ``files`` (row, words)."""
+    known = (
+        files.filter("words IS NOT NULL")
+        .selectExpr("row", "words", f"explode(filter(array({', '.join(told)}), t -> size(array_intersect(t.words, words)) >= t.least)) AS t")
+        .selectExpr(
+            "row", "t.name", "t.total", "t.need", "array_except(words, t.words) AS rest",
+            "aggregate(array_intersect(words, t.words), 0D, (a, w) -> a + t.weights[array_position(t.words, w) - 1]) AS known",
+        )
+        .filter("known >= need")
+    )
+    near = stored(known, "license-texts")
+    id_ = ["row", "name", "total"]
+    return (
+        near.join(sums(near.filter("size(rest) > 0"), counts, weight, id_), id_, "left")
+        .selectExpr("row", "name", "round(known / sqrt((known + coalesce(others, 0D)) * total), 9) AS score")
+        .filter(f"score >= {cosine!r}D").groupBy("row").agg(F.expr("max(struct(score, name)) AS b"))
+        .selectExpr("row", "b.name AS text_name", "b.score AS text_score")
+    )
+
+
+def license_scan(
+    files: DataFrame, templates: dict[str, str] = TEMPLATES, cosine: float = COSINE,
+    more: list[tuple[str, str]] = HEADERS, texts: dict[str, str] = TEXTS,
+) -> DataFrame:
     """Own and inherited license of every row of ``files``.
 
     ``files`` needs doc_id, path (directories by /) and text; other columns are ignored.  Null texts have no lines, null
-    paths lie in the root directory "".  Repeated rows get a row each.  Returns doc_id, path, license (of the most
-    similar window, of equal ones the last by name), score, n_license_lines (lines that matching windows touch),
-    is_license_file, inherited.
+    paths lie in the root directory "".  Repeated rows get a row each.  ``templates`` and ``more`` are headers, ``texts``
+    whole licenses.  Returns doc_id, path, license (of the whole text, else of the most similar window, of equal ones the
+    last by name), score, n_license_lines (lines that matching windows touch), is_license_file, inherited.
     """
-    by_name = [(name, _words(text)) for name, texts in templates.items() for text in ([texts] if isinstance(texts, str) else texts)]
+    by_name = [(name, _words(text)) for name, text in [*templates.items(), *more]]
+    by_text = [(name, sorted(set(_words(text)))) for name, text in texts.items()]
     rows = files.selectExpr("cast(doc_id AS long) AS doc_id", "coalesce(path, '') AS path", "coalesce(text, '') AS text")
     counts = line_counts(rows)
-    weights, weight = weigher(counts, {w for _, words in by_name for w in words})
+    weights, weight = weigher(counts, {w for _, words in by_name + by_text for w in words})
     told, keys = prepared(by_name, weights, cosine)
-    # numbered once: the stored numbers stay; texts without a key are never read again
+    told_texts, _ = prepared(by_text, weights, cosine)
+    # a file needs so many words of a license at least
+    every, least = _texts(sorted({w for _, words in by_text for w in words})), min((int(t[t.rindex("'least', ") + 9 : -1]) for t in told_texts), default=1)
+    # numbered once: the stored numbers stay; texts without a key and words without a license's are never read again
     held = stored(
         rows.selectExpr("monotonically_increasing_id() AS row", "*", f"regexp_extract_all(lower(text), {_WORD}, 0) AS words").selectExpr(
-            "row", "doc_id", "path", "size(words) AS n_words", f"if(arrays_overlap(words, {keys}), text, NULL) AS text"
-        ),
+            "row", "doc_id", "path", "size(words) AS n_words", f"if(arrays_overlap(words, {keys}), text, NULL) AS text", "array_distinct(words) AS words"
+        ).withColumn("words", F.expr(f"if(size(array_intersect(words, {every})) >= {least}, words, NULL)")),
         "license-rows",
     )
     matched = stored(headers(held, told, keys, max(len(words) for _, words in by_name), counts, weight, cosine), "license-headers")
@@ -162,11 +221,12 @@ def license_scan(files: DataFrame, templates: dict[str, str | list[str]] = TEMPL
         "cast(size(array_distinct(flatten(transform(taken, b -> sequence(b.line, b.end_line))))) AS long) AS n_license_lines",
         "aggregate(taken, 0, (n, b) -> n + b.end - b.at) AS covered",
     )
+    texts_of = whole(held, told_texts, counts, weight, cosine) if by_text else held.selectExpr("row", "'' AS text_name", "0D AS text_score").limit(0)
     own = stored(
-        held.drop("text").join(named, "row", "left").selectExpr(
+        held.drop("text", "words").join(named, "row", "left").join(texts_of, "row", "left").selectExpr(
             "doc_id", "path", "regexp_replace(path, '/?[^/]*$', '') AS directory",
-            "best.name AS license", "best.score AS score", "coalesce(n_license_lines, 0L) AS n_license_lines",
-            "coalesce(2 * covered >= n_words, false) AS is_license_file",
+            "coalesce(text_name, best.name) AS license", "coalesce(text_score, best.score) AS score", "coalesce(n_license_lines, 0L) AS n_license_lines",
+            "text_name IS NOT NULL OR coalesce(2 * covered >= n_words, false) AS is_license_file",
         ),
         "license-own",
     )
