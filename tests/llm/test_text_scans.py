@@ -183,3 +183,14 @@ def test_whole_license_texts(spark):
     assert {d: r.license for d, r in got.items() if r.license} == {1: "MIT", 3: "GPL-3.0", 5: "BSD-3-Clause", 6: "Apache-2.0", 7: "CC-BY-NC-4.0"}
     assert {d for d, r in got.items() if r.is_license_file} == {1, 3, 5, 6}
     assert (got[2].inherited, got[4].inherited) == ("MIT", "GPL-3.0")
+
+
+def test_one_random_string_in_a_small_table(spark):
+    rng = random.Random(21)
+    key = "".join(rng.choices(string.ascii_letters + string.digits, k=40))
+    plain = [f"see articles/2024/03/How-To-Read-The-{w}-Files-Of-This-Year and thisisaverylongwordofprose{w}" for w in ("first", "other", "data")]
+    hexes = ["".join(rng.choices("0123456789abcdef", k=40)) for _ in range(30)]
+    texts = [f"key {key} end", *plain, *hexes]  # hex strings are covered by their pattern and don't count
+    got = {r.doc_id: r for r in secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got[0].spans == "random:4:44" and not any(r.n_random for d, r in got.items() if d)
+    assert min(least_steps(scan(spark.createDataFrame([(1, p) for p in plain], "doc_id long, text string")))) == 20

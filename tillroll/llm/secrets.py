@@ -2,15 +2,17 @@
 
 A long string is read in the smallest encoding that holds its characters and gets p values of three tests of
 randomness: chi-squared for a uniform alphabet, runs about the alphabet's middle, and serial correlation.  Fisher's
-method combines them.  Short strings pass such tests easily, so the share of false discoveries is controlled by length:
-ordinary long words of the whole corpus, which hold letters of one case only, are decoys.  For each range of lengths
-the lowest combined p value is taken above which decoys are at most a set share of the strings that mix letters with
-digits or cases.
+method combines them.  Short strings pass such tests easily, so the result is held against decoys, frequent words and
+numbers joined in the same encoding and range of lengths: the share of decoys that look as random is the string's p
+value.  Benjamini and Hochberg's rule on these, rounded up to steps, controls false discoveries in each range of lengths.
 """
 
 from __future__ import annotations
 
+import bisect
+import functools
 import math
+import random
 import re
 from collections.abc import Iterator
 
@@ -52,8 +54,18 @@ ENCODINGS = [
 PLACES = [{c: i for i, c in enumerate(alphabet)} for _, alphabet in ENCODINGS]
 #: Lengths at which a new range begins.
 LENGTHS = (20, 24, 32, 48, 96)
-#: Steps of the combined p value.
-STEPS = 20
+#: Steps of the p value, each a factor of two, and the first one that may ever be reported (a p value of 1/32).
+STEPS, FIRST = 20, 5
+#: Least combined p value of the tests of randomness of what is reported.
+FLOOR = 0.001
+#: Decoys of one encoding and range of lengths.
+DECOYS = 20_000
+# fixed values: what decoys are joined from
+WORDS = """the and that with this from have which their about would there were other people time only into first after
+also over under information service user name file data test value index page image video content default system config
+und der die das nicht eine werden auch sich wurde les des dans pour qui une avec sont plus los las una por para como
+este entre sobre""".split()
+HEX_WORDS = "face cafe decade facade added feed deed beef dead fade bead cab dab fed ace bad bed".split()
 #: Share of false discoveries.
 SHARE = 0.05
 
@@ -68,10 +80,14 @@ def chi_squared_tail(x: float, freedom: int) -> float:
     return 0.5 * math.erfc(((x / freedom) ** (1 / 3) - (1 - spread)) / math.sqrt(2 * spread))
 
 
-def randomness(text: str) -> float:
-    """Combined p value of the three tests that ``text`` is random in its encoding."""
+def encoding(text: str) -> int:
+    return next(i for i, p in enumerate(PLACES) if all([c in p for c in text]))
+
+
+def randomness(text: str, code: int | None = None) -> float:
+    """Combined p value of the three tests that ``text`` is random in its encoding, or the given one."""
     text = text.rstrip("=")
-    places = next(p for p in PLACES if all([c in p for c in text]))
+    places = PLACES[encoding(text) if code is None else code]
     values, n, k = [places[c] for c in text], len(text), len(places)
     counts = dict.fromkeys(values, 0)
     for v in values:
@@ -94,17 +110,48 @@ def randomness(text: str) -> float:
     return min(1.0, math.exp(-half) * (1 + half + half * half / 2))
 
 
-def mixed(text: str) -> bool | None:
-    """Whether letters are mixed with digits or cases; None without letters. A word may begin with a capital."""
-    letters = [c for c in text if c.isalpha()]
-    if not letters:
-        return None
-    rest = letters[1:]
-    return any([c.isdigit() for c in text]) or (any([c.islower() for c in rest]) and any([c.isupper() for c in rest]))
-
-
-def found(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int, bool]]]:
-    """Spans of the fixed patterns as (start, kind, end), and tested strings as (start, end, range, step, mixed)."""
+def decoy(rng: random.Random, code: int, length: int) -> str:
+    """Words and numbers joined in an encoding."""
+    name, alphabet = ENCODINGS[code]
+    marks = [c for c in "/+-_" if c in alphabet]
+    out = ""
+    while len(out) < length:
+        number = rng.choice([f"20{rng.randrange(30):02}", f"{rng.randrange(1, 13):02}", str(rng.randrange(100)), "000", "123", "1000", str(rng.randrange(10))])
+        if name == "decimal" or ("0" in alphabet and rng.random() < 0.3):
+            part = number
+        elif name.endswith("hex"):
+            part = rng.choice(HEX_WORDS)
+        else:
+            part = rng.choice(WORDS)
+        if "a" not in alphabet:
+            part = part.upper()
+        elif "A" in alphabet and rng.random() < 0.7:
+            part = part.capitalize()
+        out += part + (rng.choice(marks) if marks and rng.random() < 0.7 else "")
+    return out[:length]
+
+
+@functools.cache
+def decoys(code: int, size: int) -> list[float]:
+    """How random decoys look, in order; the same in every process."""
+    rng = random.Random(100 * code + size)
+    low, high = LENGTHS[size], LENGTHS[size + 1] if size + 1 < len(LENGTHS) else LENGTHS[size] + 32
+    return sorted(randomness(decoy(rng, code, rng.randrange(low, high)), code) for _ in range(DECOYS))
+
+
+def tested_step(text: str, size: int) -> int:
+    """The step of a string's p value: 2 ** -step at most; 0 for what isn't random at all."""
+    bare = text.rstrip("=")
+    code = encoding(bare)
+    if (own := randomness(bare, code)) < FLOOR:
+        return 0
+    others = decoys(code, size)
+    p = (1 + len(others) - bisect.bisect_left(others, own)) / (1 + len(others))
+    return min(STEPS - 1, int(-math.log2(p)))
+
+
+def found(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]]]:
+    """Spans of the fixed patterns as (start, kind, end), and others that were tested as (start, end, range, step)."""
     spans, tested = [], []
     lower = text.lower()
     if any([name in lower for name in NAMES]):
@@ -115,16 +162,17 @@ def found(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, i
             spans += [(at + m.start(), 1, at + m.end()) for m in ACCESS.finditer(run) if len(m[0]) >= 20]
         spans += [(at + m.start(), 2, at + m.end()) for m in HEX.finditer(run) if len(m[0]) >= 24]
         for m in CANDIDATE.finditer(run):
-            if (kind := mixed(m[0])) is not None:
+            start, end = at + m.start(), at + m.end()
+            if not any([b < end and start < e for b, _, e in spans]):
                 size = sum(len(m[0]) >= n for n in LENGTHS) - 1
-                tested.append((at + m.start(), at + m.end(), size, min(STEPS - 1, int(STEPS * randomness(m[0]))), kind))
+                tested.append((start, end, size, tested_step(m[0], size)))
     return sorted(spans), tested
 
 
-SCANNED = "doc_id long, base array<struct<start:long,kind:int,end:long>>, tested array<struct<start:long,end:long,size:int,step:int,mixed:boolean>>"
+SCANNED = "doc_id long, base array<struct<start:long,kind:int,end:long>>, tested array<struct<start:long,end:long,size:int,step:int>>"
 _BASE = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
 _TESTED = pa.list_(
-    pa.struct([("start", pa.int64()), ("end", pa.int64()), ("size", pa.int32()), ("step", pa.int32()), ("mixed", pa.bool_())])
+    pa.struct([("start", pa.int64()), ("end", pa.int64()), ("size", pa.int32()), ("step", pa.int32())])
 )
 
 
@@ -136,7 +184,7 @@ def scan(docs: DataFrame) -> DataFrame:
             results = [found(text) for text in batch.column(1).to_pylist()]
             base = [[{"start": s, "kind": k, "end": e} for s, k, e in spans] for spans, _ in results]
             tested = [
-                [{"start": s, "end": e, "size": n, "step": p, "mixed": m} for s, e, n, p, m in strings] for _, strings in results
+                [{"start": s, "end": e, "size": n, "step": p} for s, e, n, p in strings] for _, strings in results
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(base, _BASE), pa.array(tested, _TESTED)], names=["doc_id", "base", "tested"]
@@ -146,26 +194,16 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def least_steps(scanned: DataFrame, share: float = SHARE) -> list[int]:
-    """For each range of lengths the lowest step at which decoys are at most ``share`` of the mixed strings.
+    """For each range of lengths the lowest step at which Benjamini and Hochberg's rule holds for ``share``.
 
     STEPS where there is none.  The counts of the whole corpus come to the driver: len(LENGTHS) * STEPS rows at most.
     """
-    counts = (
-        scanned.select(F.inline("tested"))
-        .groupBy("size", "step")
-        .agg(F.count_if("mixed").alias("mixed"), F.count_if(~F.col("mixed")).alias("decoys"))
-        .collect()
-    )
+    counts = scanned.select(F.inline("tested")).groupBy("size", "step").count().collect()
     out = []
     for size in range(len(LENGTHS)):
-        own = {r["step"]: (r["mixed"], r["decoys"]) for r in counts if r["size"] == size}
-        least = STEPS
-        for step in range(STEPS):
-            mixed_above, decoys_above = (sum(own.get(s, (0, 0))[i] for s in range(step, STEPS)) for i in (0, 1))
-            if 1 + decoys_above <= share * mixed_above:
-                least = step
-                break
-        out.append(least)
+        own = {r["step"]: r["count"] for r in counts if r["size"] == size}
+        held = (n for n in range(FIRST, STEPS) if 0 < sum(own.values()) * 2.0**-n <= share * sum(own.get(s, 0) for s in range(n, STEPS)))
+        out.append(next(held, STEPS))
     return out
 
 
@@ -180,7 +218,7 @@ def secrets(docs: DataFrame, share: float = SHARE) -> DataFrame:
     least = ",".join(map(str, least_steps(scanned, share)))
     kinds = ",".join(f"'{k}'" for k in KINDS)
     added = f"""transform(
-        filter(tested, t -> t.mixed AND t.step >= array({least})[t.size] AND NOT exists(base, b -> b.start < t.end AND t.start < b.end)),
+        filter(tested, t -> t.step >= array({least})[t.size]),
         t -> named_struct('start', t.start, 'kind', {len(KINDS) - 1}, 'end', t.end))"""
     told = "array_join(transform({0}, s -> concat_ws(':', array({1})[s.kind], s.start, s.end)), ',')"
     return scanned.withColumn("added", F.expr(added)).selectExpr(
@@ -196,11 +234,7 @@ def secrets(docs: DataFrame, share: float = SHARE) -> DataFrame:
 def masked(text: str, least: list[int]) -> str:
     """``text`` with each secret replaced by the name of its kind."""
     spans, tested = found(text)
-    spans = spans + [
-        (s, len(KINDS) - 1, e)
-        for s, e, size, step, mix in tested
-        if mix and step >= least[size] and not any([b < e and s < c for b, _, c in spans])
-    ]
+    spans = spans + [(s, len(KINDS) - 1, e) for s, e, size, step in tested if step >= least[size]]
     out, at = [], 0
     for start, kind, end in sorted(spans):
         if start >= at:
