@@ -194,3 +194,12 @@ def test_one_random_string_in_a_small_table(spark):
     got = {r.doc_id: r for r in secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert got[0].spans == "random:4:44" and not any(r.n_random for d, r in got.items() if d)
     assert min(least_steps(scan(spark.createDataFrame([(1, p) for p in plain], "doc_id long, text string")))) == 20
+
+
+def test_random_strings_of_one_case_or_digits(spark):
+    rng = random.Random(22)
+    keys = [("".join(rng.choices(alphabet, k=n))) for alphabet, n in ((string.ascii_uppercase, 64), (string.ascii_lowercase, 64), (string.digits, 32)) for _ in range(10)]
+    docs = spark.createDataFrame([(i, f"see {k} here") for i, k in enumerate(keys)], "doc_id long, text string")
+    got = secrets(docs).collect()
+    assert all(sum(r.n_random for r in got if r.doc_id // 10 == kind) >= 7 for kind in range(2))
+    assert all(r.n_hex == 1 for r in got if r.doc_id // 10 == 2)  # digits are within the pattern of hex strings
