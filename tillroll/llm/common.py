@@ -46,3 +46,25 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, spread:
     return joined.select(
         *rows.columns, *[F.when(found, F.col(f"hot_{c}")).otherwise(F.col(c)).alias(c) for c in others]
     )
+
+
+def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``rows`` with their place (from 0) in a total order.
+
+    Rows are dealt in ranges and sorted inside them; only the number of rows of each partition meets in one place.
+    ``rows`` must be stored, as the ranges are found in a pass of their own.  Rows that the order doesn't tell apart
+    get consecutive places.
+    """
+    spark = rows.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    inside = F.monotonically_increasing_id()  # the partition in its upper bits, the row's place there in the lower 33
+    dealt = stored(rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order).withColumn("inside", inside), "numbered")
+    part = F.shiftrightunsigned("inside", 33)
+    sizes = sorted(tuple(r) for r in dealt.groupBy(part.alias("part")).count().collect())  # one row a partition
+    starts, total = [], 0
+    for p, n in sizes:
+        starts.append((p, total))
+        total += n
+    start = F.broadcast(spark.createDataFrame(starts, "part long, start long"))
+    place = (F.col("start") + F.col("inside").bitwiseAND(F.lit((1 << 33) - 1))).cast("long")
+    return dealt.join(start, part == start["part"]).select(*rows.columns, place.alias(name))

@@ -14,6 +14,7 @@ from tillroll.llm.minhash import near_duplicates
 from tillroll.llm.packing import pack
 from tillroll.llm.pii import personal_data
 from tillroll.llm.quality import quality
+from tillroll.llm.resampling import resample
 from tillroll.llm.secrets import secrets
 from tillroll.llm.toxicity import toxicity
 
@@ -77,6 +78,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_quality_rules": op2_quality_rules,
@@ -88,4 +93,5 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
+    "op11_resampling": op11_resampling,
 }
