@@ -5,9 +5,10 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from tillroll.llm.resampling import bucket_counts, draw, gram_codes, resample, words_of
+from tillroll.llm.resampling import bucket_counts, draw, gram_codes, packed, resample, words_of
 
 
 def grams(text):
@@ -74,4 +75,6 @@ def test_spans_of_long_texts():
     codes = [c for block in gram_codes(words) for c in block]
     assert Counter(codes) == Counter(zlib.crc32(g.encode()) for g in grams("ab 漢 " * 200_000)[1])
     found, counts = bucket_counts(words)
+    pairs = np.frombuffer(packed(found, counts), '<u2').reshape(-1, 2)
+    assert len(pairs) > len(found) and pairs[:, 1].sum() == counts.sum() and set(pairs[:, 0]) == set(found)
     assert counts.sum() == len(codes) and len(found) == len({c % 10_000 for c in codes})

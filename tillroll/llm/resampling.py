@@ -17,11 +17,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import numbered, stored
+from tillroll.llm.memory import groups_of
 
 BUCKETS = 10_000
 MOST = 3
@@ -74,28 +76,43 @@ def bucket_counts(words: bytes, buckets: int = BUCKETS) -> tuple[np.ndarray, np.
     return found, total[found]
 
 
+def packed(found: np.ndarray, counts: np.ndarray) -> bytes:
+    """Pairs (bucket, count) of two unsigned 16-bit numbers; a larger count takes several pairs."""
+    most = 0xFFFF
+    if len(counts) and counts.max() > most:
+        times = -(-counts // most)
+        last = np.cumsum(times) - 1
+        found, pieces = np.repeat(found, times), np.full(times.sum(), most)
+        pieces[last] = counts - (times - 1) * most
+        counts = pieces
+    return np.stack([found, counts], 1).astype("<u2").tobytes()
+
+
+def unpacked(grams: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets and counts of many rows, and where each row ends in them."""
+    pairs = np.frombuffer(b"".join(grams.to_pylist()), "<u2").reshape(-1, 2).astype(np.int64)
+    return pairs[:, 0], pairs[:, 1], np.cumsum(pc.binary_length(grams).to_numpy()) // 4
+
+
 def counted(docs: DataFrame, id_column: str = "doc_id", buckets: int = BUCKETS) -> DataFrame:
-    """doc_id, n_words, buckets and counts of every row."""
+    """doc_id, n_words and grams (``packed`` bucket counts) of every row; at most 65,536 buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, n_words, found = [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = words_of(text.as_py() or b"")
-                ids.append(doc)
-                n_words.append(words.count(b" ") + 1 if words else 0)
-                found.append(bucket_counts(words, buckets))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, pa.int64()),
-                    pa.array(n_words, pa.int64()),
-                    *[pa.array([pair[i] for pair in found], pa.list_(pa.int64())) for i in (0, 1)],
-                ],
-                names=["doc_id", "n_words", "buckets", "counts"],
-            )
+            rows = ((doc, text or b"") for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            for group in groups_of(rows):
+                words = [words_of(text) for _, text in group]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([doc for doc, _ in group], pa.int64()),
+                        pa.array([w.count(b" ") + 1 if w else 0 for w in words], pa.int64()),
+                        pa.array([packed(*bucket_counts(w, buckets)) for w in words], pa.binary()),
+                    ],
+                    names=["doc_id", "n_words", "grams"],
+                )
 
     small = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return small.mapInArrow(run, "doc_id long, n_words long, buckets array<long>, counts array<long>")
+    return small.mapInArrow(run, "doc_id long, n_words long, grams binary")
 
 
 def bucket_sums(grams: DataFrame, buckets: int = BUCKETS) -> dict[int, int]:
@@ -104,11 +121,12 @@ def bucket_sums(grams: DataFrame, buckets: int = BUCKETS) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            np.add.at(total, batch.column(0).flatten().to_numpy(), batch.column(1).flatten().to_numpy())
+            found, counts, _ = unpacked(batch.column(0))
+            total += np.bincount(found, counts, buckets).astype(np.int64)  # exact below 2**53
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found])], names=["bucket", "n"])
 
-    in_tasks = grams.select("buckets", "counts").mapInArrow(run, "bucket long, n long")
+    in_tasks = grams.select("grams").mapInArrow(run, "bucket long, n long")
     return {r["bucket"]: r["n"] for r in in_tasks.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
 
 
@@ -147,12 +165,10 @@ def resample(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = batch.column(3).flatten().to_numpy()
-            sizes = batch.column(2).value_lengths().to_numpy()
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            n_features, weight = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
-            np.add.at(n_features, row, counts)
-            np.add.at(weight, row, counts * gain[batch.column(2).flatten().to_numpy()])
+            found, counts, ends = unpacked(batch.column(2))
+            n_features, weight = (
+                np.diff(np.concatenate(([0], np.cumsum(part)))[ends], prepend=0) for part in (counts, counts * gain[found])
+            )
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n_features), pa.array(weight)],
                 names=["doc_id", "n_words", "n_features", "weight"],
