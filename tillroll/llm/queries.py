@@ -9,6 +9,7 @@ from tillroll.llm.bpe import round_trip
 from tillroll.llm.chat import format_chats, read_back
 from tillroll.llm.common import table
 from tillroll.llm.exact_dedup import exact_dedup
+from tillroll.llm.jaccard import jaccard_join
 from tillroll.llm.licenses import license_scan
 from tillroll.llm.minhash import near_duplicates
 from tillroll.llm.packing import pack
@@ -82,6 +83,10 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_quality_rules": op2_quality_rules,
@@ -94,4 +99,5 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
     "op11_resampling": op11_resampling,
+    "op12_jaccard_join": op12_jaccard_join,
 }
