@@ -14,6 +14,7 @@ from tillroll.llm.licenses import license_scan
 from tillroll.llm.minhash import near_duplicates
 from tillroll.llm.packing import pack
 from tillroll.llm.pii import personal_data
+from tillroll.llm.prefixes import conversation_trie
 from tillroll.llm.quality import quality
 from tillroll.llm.resampling import resample
 from tillroll.llm.secrets import secrets
@@ -87,6 +88,10 @@ def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_quality_rules": op2_quality_rules,
@@ -100,4 +105,5 @@ QUERIES = {
     "op10_secrets": op10_secrets,
     "op11_resampling": op11_resampling,
     "op12_jaccard_join": op12_jaccard_join,
+    "op13_prefix_trie": op13_prefix_trie,
 }
