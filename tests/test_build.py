@@ -3,7 +3,7 @@ from pathlib import Path
 import pytest
 
 from tillroll.operators import cleaning
-from tillroll.plans.build import build, recommend
+from tillroll.plans.build import build, recommend, recommend_by_rules
 from tillroll.session import durable, shared_dir, stored_tables
 from tillroll.sources.artifacts import load_artifacts
 
@@ -29,6 +29,12 @@ def test_build_writes_everything_and_loads_again(spark, tables, tmp_path):
     asked = spark.createDataFrame([(known,), ("no such thing",)], "description string")
     rows = recommend(again, asked).collect()
     assert len([r for r in rows if r.is_fallback]) == 5 and any(r.description == known for r in rows)
+    known = again.tables["association_rules"].first().description
+    asked = spark.createDataFrame([(known,), ("no such thing",)], "description string")
+    ruled = recommend_by_rules(again, asked).collect()
+    stored = again.tables["association_rules"].filter(again.tables["association_rules"]["description"] == known).collect()
+    assert sorted((r.rank, r.item, r.lift) for r in ruled if not r.is_fallback) == sorted((r.rank, r.item, r.lift) for r in stored)
+    assert [(r.lift, r.confidence) for r in ruled if r.is_fallback] == [(1.0, 1.0)] * 5
 
 
 def test_missing_model_is_fitted_again(spark, tables, tmp_path):

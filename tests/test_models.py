@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.functions.minimize import newton_batched
+from tillroll.functions.minimize import newton, newton_batched
 from tillroll.functions.pvalues import regularized_beta
 from tillroll.functions.special import log_gamma, scaled_hypergeometric
 from tillroll.operators import clv, eda, hypothesis, segments
@@ -178,3 +178,76 @@ def test_weekday_report_keeps_its_days(spark):
     lines = spark.createDataFrame(rows, "invoice_no string, invoice_date timestamp")
     got = {r.weekday: r.orders for r in eda.orders_by_weekday(lines).collect()}
     assert got["Sunday"] == 1 and got["Monday"] == 1 and got["Friday"] is None and "Saturday" not in got
+
+
+def test_exact_derivatives(spark):
+    rng = np.random.default_rng(0)
+    x = np.array([0, 0, 1, 3, 40, 2])
+    t = rng.uniform(5, 20, 6)
+    tx = np.where(x > 0, t * rng.uniform(0.1, 1, 6), 0.0)
+    cases = [
+        (clv.purchase_derivatives, np.array([0.7, 3.0, 0.4, 1.9]), (x.astype(float), tx, t)),
+        (clv.value_derivatives, np.array([1.5, 3.2, 50.0]), (np.array([1.0, 2, 7, 30]), np.array([3.0, 80, 12, 40]))),
+    ]
+    for derivatives, point, data in cases:
+        _, first, second = derivatives(point, *data)
+        for i in range(len(point)):
+            step = np.zeros(len(point))
+            step[i] = 1e-5
+            (up, up_1, _), (down, down_1, _) = (derivatives(point + s * step, *data) for s in (1, -1))
+            assert first[i] == pytest.approx((up - down) / 2e-5, rel=1e-5, abs=1e-6)
+            assert np.allclose(second[i], (up_1 - down_1) / 2e-5, rtol=1e-5, atol=1e-6)
+
+
+def test_newton_with_derivatives_and_its_failures():
+    def bowl(points):
+        x, y = points.T
+        value = (x - 1) ** 2 + 5 * (y + 2) ** 2
+        return value, np.array([2 * (x - 1), 10 * (y + 2)]).T, np.repeat(np.diag([2.0, 10.0])[None], len(points), 0)
+
+    assert newton(bowl, np.zeros(2)) == pytest.approx([1, -2])
+
+    def slope(points):
+        return points[:, 0], np.ones_like(points), np.zeros((len(points), 1, 1))
+
+    with pytest.raises(ArithmeticError):
+        newton(slope, np.zeros(1), steps=5)
+
+
+def scaled_rows(spark, points):
+    return spark.createDataFrame([tuple(map(float, p)) for p in points], "z_recency double, z_frequency double, z_monetary double")
+
+
+@pytest.mark.parametrize("shape", ["blobs", "line", "repeated"])
+def test_starts_fitted_together_are_no_worse_than_single_fits(spark, shape):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = np.random.default_rng(7)
+    points = {
+        "blobs": np.vstack([rng.normal(c, 0.4, (80, 3)) for c in ([0, 0, 0], [3, 0, 1], [0, 4, 0], [2, 2, 5])]),
+        "line": np.linspace(0, 1, 300)[:, None] * np.ones(3) + rng.normal(0, 0.01, (300, 3)),
+        "repeated": np.repeat(rng.integers(0, 4, (12, 3)), 25, 0),
+    }[shape]
+    df = scaled_rows(spark, points)
+    vectors = VectorAssembler(inputCols=df.columns, outputCol="features").transform(df).cache()
+    theirs = min(KMeans(k=4, seed=s, maxIter=300, tol=1e-4).fit(vectors).summary.trainingCost for s in range(5))
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("starts", "starts")
+    fits = segments.fit_starts(df, [segments.Start(k, s) for k in (4, 2) for s in range(5)])
+    jobs = len(status.getJobIdsForGroup("starts"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    ours = min(cost for cost, _ in fits[:5])
+    assert ours <= theirs * (1 + 1e-6) + 1e-9 and jobs < 10 * 30
+    for cost, centres in fits:
+        d = ((points[:, None] - centres[None]) ** 2).sum(2).min(1).sum()
+        assert cost == pytest.approx(d, rel=1e-9, abs=1e-9)
+    again = segments.fit_starts(df.repartition(5), [segments.Start(4, 0)])
+    assert again[0][0] == pytest.approx(fits[0][0], rel=1e-6)
+
+
+def test_no_points_and_few_points(spark):
+    with pytest.raises(ValueError):
+        segments.fit_starts(scaled_rows(spark, []), [segments.Start(2, 1)])
+    (cost, centres), = segments.fit_starts(scaled_rows(spark, [[0, 0, 0], [1, 1, 1], [1, 1, 1]]), [segments.Start(4, 1)])
+    assert cost == 0 and len(centres) == 2

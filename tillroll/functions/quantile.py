@@ -2,13 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+ACCURACY = 100_000
+
+
+def rank_sketches(df: DataFrame, wanted: dict[str, list[float]], accuracy: int = ACCURACY, also: list[Column] = ()) -> DataFrame:
+    """One row with a sketch of every column, and whatever other aggregates the same pass should take."""
+    margin = 3.0 / accuracy
+
+    def sketch(c: str) -> str:
+        edges = ", ".join(f"{min(max(q + side, 0.0), 1.0)!r}D" for q in wanted[c] for side in (-margin, margin))
+        x = f"CAST(`{c}` AS DOUBLE)"
+        return (
+            f"named_struct('n', count({x}), 'min', min({x}), 'max', max({x}), "
+            f"'edges', percentile_approx({x}, array({edges}), {accuracy})) AS `{c}`"
+        )
+
+    return df.agg(*[F.expr(sketch(c)) for c in wanted], *also)
+
+
 def exact_percentiles(
-    df: DataFrame, wanted: dict[str, list[float]], accuracy: int = 100_000
+    df: DataFrame, wanted: dict[str, list[float]], accuracy: int = ACCURACY, sketched: DataFrame | None = None
 ) -> DataFrame:
     """Percentiles with linear interpolation, as rows ``(column, q, value)``.
 
@@ -19,19 +37,12 @@ def exact_percentiles(
     the values inside it, combined on the map side.  Only the bracket, some
     ``8 / accuracy`` of the rows, is then ordered.  A column of up to
     ``accuracy`` values is its own bracket.  The sketch only decides where to
-    look: the result is exact, and a bracket that missed would raise.
+    look: the result is exact, and a bracket that missed would raise.  Pass a
+    stored row of ``rank_sketches`` as ``sketched`` to save the first pass.
     """
     targets = [(c, q) for c, qs in wanted.items() for q in qs]
     margin = 3.0 / accuracy
 
-    def sketch(c: str) -> str:
-        edges = ", ".join(f"{min(max(q + side, 0.0), 1.0)!r}D" for q in wanted[c] for side in (-margin, margin))
-        x = f"CAST(`{c}` AS DOUBLE)"
-        return (
-            f"named_struct('n', count({x}), 'min', min({x}), 'max', max({x}), "
-            f"'edges', percentile_approx({x}, array({edges}), {accuracy})) AS `{c}`"
-        )
-
     def bracket(i: int, c: str, q: float) -> str:
         at = 2 * wanted[c].index(q)
         lo = f"`{c}`.min" if q <= margin else f"if(`{c}`.n <= {accuracy}, `{c}`.min, `{c}`.edges[{at}])"
@@ -41,7 +52,7 @@ def exact_percentiles(
         )
 
     # one sketch per column answers all its ranks; one row per target after that
-    sketched = df.agg(*[F.expr(sketch(c)) for c in wanted])
+    sketched = rank_sketches(df, wanted, accuracy) if sketched is None else sketched
     listed = ", ".join(bracket(i, c, q) for i, (c, q) in enumerate(targets))
     brackets = F.broadcast(sketched.selectExpr(f"inline(array({listed}))"))
     probes = ", ".join(f"named_struct('target', {i}, 'x', CAST(`{c}` AS DOUBLE))" for i, (c, _) in enumerate(targets))

@@ -48,13 +48,18 @@ def contains_any(text: str, literals: list[str]) -> Column:
     return F.expr(f"exists(array(upper({text})), t -> {tests})")
 
 
+def try_mixed_timestamp(text: Column, formats: list[str] = DATE_FORMATS) -> Column:
+    """Timestamp from text that may use any of ``formats``, null where none fits."""
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+
+
 def parse_mixed_timestamp(text: Column, formats: list[str] = DATE_FORMATS) -> Column:
     """Timestamp from text that may use any of ``formats``.
 
     A null stays null; text that fits no format raises, so that bad rows are
     not lost silently.
     """
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    parsed = try_mixed_timestamp(text, formats)
     complain = F.raise_error(F.concat(F.lit("unreadable date: "), text)).cast("timestamp")
     return F.when(text.isNull() | parsed.isNotNull(), parsed).otherwise(complain)
 

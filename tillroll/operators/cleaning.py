@@ -7,13 +7,16 @@ rows before they are exchanged.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions.quantile import exact_percentiles
+from tillroll.functions.quantile import exact_percentiles, rank_sketches
 from tillroll.functions.text import contains_any, parse_mixed_timestamp, tidy_description
 from tillroll.schema import ADMIN_KEYWORDS, ADMIN_STOCK_CODES, CANCEL_PREFIX, GIFT_PREFIX, LINE_COLUMNS
+from tillroll.session import durable
 
 
 def drop_copies(lines: DataFrame) -> DataFrame:
@@ -113,14 +116,9 @@ def clean_lines(
 AUDIT_STAGES = ["copies", "no_customer", "admin_code", "admin_text", "cancelled", "not_purchase", "purchase"]
 
 
-def clean_audit(raw: DataFrame) -> DataFrame:
-    """Rows removed by each rule, in rule order, and the rows left, in one pass.
-
-    Equal rows are counted together, so copies collapse on the map side; each
-    distinct row is then charged to the first rule that rejects it.
-    """
-    distinct_rows = raw.groupBy(*LINE_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
-    rule = (
+def rejecting_rule() -> Column:
+    """The first rule that rejects a line with a tidy description, or what it is otherwise."""
+    return (
         F.when(~has_customer(), "no_customer")
         .when(is_admin_code(), "admin_code")
         .when(is_admin_text(), "admin_text")
@@ -128,9 +126,37 @@ def clean_audit(raw: DataFrame) -> DataFrame:
         .when(~_true(is_purchase()), "not_purchase")
         .otherwise("purchase")
     )
+
+
+def clean_lines_observed(raw: DataFrame, store: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """``(cleaned, audit)`` from one pass: the counts of ``clean_audit`` are taken while the lines are cleaned and written.
+
+    ``store`` writes a table and reads it back; counts are known once it has run.  The counters travel with the tasks'
+    results, so a lost executor's rows aren't counted twice.
+    """
+    arriving, judging = Observation(), Observation()
+    lines = drop_copies(raw.observe(arriving, F.count(F.lit(1)).alias("rows")))
+    judged = clean_description(lines).withColumn("stage", rejecting_rule())
+    judged = judged.observe(judging, *[F.count_if(F.col("stage") == s).alias(s) for s in AUDIT_STAGES[1:]])
+    kept = judged.filter(F.col("stage").isin("not_purchase", "purchase")).drop("stage")
+    kept = kept.withColumn("customer_id", F.col("customer_id").cast("bigint"))
+    cleaned = store(parse_dates(add_line_amount(kept)))
+    counts = judging.get
+    counts["copies"] = arriving.get["rows"] - sum(counts.values())
+    rows = [(i, stage, counts[stage]) for i, stage in enumerate(AUDIT_STAGES, 1) if counts[stage] or stage == "copies"]
+    return cleaned, raw.sparkSession.createDataFrame(rows, "step int, stage string, rows bigint")
+
+
+def clean_audit(raw: DataFrame) -> DataFrame:
+    """Rows removed by each rule, in rule order, and the rows left, in one pass.
+
+    Equal rows are counted together, so copies collapse on the map side; each
+    distinct row is then charged to the first rule that rejects it.
+    """
+    distinct_rows = raw.groupBy(*LINE_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
     per_rule = (
         clean_description(distinct_rows)
-        .groupBy(rule.alias("stage"))
+        .groupBy(rejecting_rule().alias("stage"))
         .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("copies") - 1).alias("extra"))
     )
     counted = per_rule.select(
@@ -164,19 +190,21 @@ def profile_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
     One row per column.  The quartiles are exact (linear interpolation) and
     found without sorting or collecting the column, see ``exact_percentiles``.
+    The other figures are taken by its first pass, so ``df`` is read twice.
     """
     quarters = [0.25, 0.5, 0.75]
-    cuts = exact_percentiles(df, {c: quarters for c in columns})
-    basic = df.agg(
-        *[
-            F.expr(
-                f"""named_struct('column', '{c}', 'non_null', count(`{c}`), 'nulls', count_if(`{c}` IS NULL),
+    wanted = {c: quarters for c in columns}
+    figures = [
+        F.expr(
+            f"""named_struct('column', '{c}', 'non_null', count(`{c}`), 'nulls', count_if(`{c}` IS NULL),
                 'mean', avg(CAST(`{c}` AS DOUBLE)), 'std', stddev_samp(CAST(`{c}` AS DOUBLE)),
-                'min', min(CAST(`{c}` AS DOUBLE)), 'max', max(CAST(`{c}` AS DOUBLE))) AS `{c}`"""
-            )
-            for c in columns
-        ]
-    ).select(F.inline(F.array(*columns)))
+                'min', min(CAST(`{c}` AS DOUBLE)), 'max', max(CAST(`{c}` AS DOUBLE))) AS `figures_{c}`"""
+        )
+        for c in columns
+    ]
+    sketched = durable(rank_sketches(df, wanted, also=figures), "profile")
+    basic = sketched.select(F.inline(F.array(*[f"figures_{c}" for c in columns])))
+    cuts = exact_percentiles(df, wanted, sketched=sketched)
     wide = cuts.groupBy("column").agg(
         *[F.expr(f"max(CASE WHEN q = {q!r}D THEN value END) AS p{int(q * 100)}") for q in quarters]
     )

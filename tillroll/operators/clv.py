@@ -15,8 +15,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.minimize import newton_batched
-from tillroll.functions.special import log_gamma, scaled_hypergeometric
+from tillroll.functions.minimize import newton
+from tillroll.functions.special import digamma, log_gamma, scaled_hypergeometric, trigamma
 from tillroll.session import durable
 
 DAYS_PER_UNIT = 30.0
@@ -93,46 +93,131 @@ def value_log_likelihood(params: np.ndarray, x: np.ndarray, m: np.ndarray) -> np
     )
 
 
-def log_likelihood_sums(
-    histories: DataFrame, columns: list[str], density: Callable[..., np.ndarray], points: np.ndarray
-) -> DataFrame:
-    """Weighted log-likelihood of ``histories`` at each parameter point.
-
-    One pass for all points: a task sums its rows for every point and returns
-    one row per point.  ``histories`` has a weight column ``n``.
+def purchase_derivatives(params: np.ndarray, x: np.ndarray, tx: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``purchase_log_likelihood`` with its gradient (4, n) and Hessian (4, 4, n)."""
+    r, alpha, a, b = params
+    value = purchase_log_likelihood(params, x, tx, t)
+    first, second = np.zeros((4, len(x))), np.zeros((4, 4, len(x)))
+    # customers who stay and who have left: two terms in a logarithm, weighed by their shares
+    late = b + np.maximum(x, 1) - 1
+    with np.errstate(divide="ignore"):
+        left = np.where(x > 0, np.log(a) - np.log(late) - (r + x) * np.log(alpha + tx), -np.inf)
+    share = np.exp(left - np.logaddexp(-(r + x) * np.log(alpha + t), left))
+    zero = np.zeros(len(x))
+    stay_1 = np.array([-np.log(alpha + t), -(r + x) / (alpha + t), zero, zero])
+    left_1 = np.array([-np.log(alpha + tx), -(r + x) / (alpha + tx), zero + 1 / a, -1 / late])
+    apart = left_1 - stay_1
+    first += (1 - share) * stay_1 + share * left_1
+    second += share * (1 - share) * apart[:, None] * apart[None, :]
+    second[0, 1] += -(1 - share) / (alpha + t) - share / (alpha + tx)
+    second[1, 1] += (r + x) * ((1 - share) / (alpha + t) ** 2 + share / (alpha + tx) ** 2)
+    second[2, 2] -= share / a**2
+    second[3, 3] += share / late**2
+    # the gamma functions
+    first[0] += digamma(r + x) - digamma(r) + np.log(alpha)
+    first[1] += r / alpha
+    both, all_ = digamma(a + b), digamma(a + b + x)
+    first[2] += both - all_
+    first[3] += both - all_ + digamma(b + x) - digamma(b)
+    both, all_ = trigamma(a + b), trigamma(a + b + x)
+    second[0, 0] += trigamma(r + x) - trigamma(r)
+    second[0, 1] += 1 / alpha
+    second[1, 1] -= r / alpha**2
+    second[2, 2] += both - all_
+    second[2, 3] += both - all_
+    second[3, 3] += both - all_ + trigamma(b + x) - trigamma(b)
+    second[1, 0], second[3, 2] = second[0, 1], second[2, 3]
+    return value, first, second
+
+
+def value_derivatives(params: np.ndarray, x: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``value_log_likelihood`` with its gradient (3, n) and Hessian (3, 3, n)."""
+    p, q, v = params
+    value = value_log_likelihood(params, x, m)
+    total, whole = p * x + q, x * m + v
+    both, own = digamma(total), digamma(p * x)
+    first = np.array([x * (both - own + np.log(m) + np.log(x) - np.log(whole)), both - digamma(q) + np.log(v) - np.log(whole), q / v - total / whole])
+    both, own = trigamma(total), trigamma(p * x)
+    second = np.empty((3, 3, len(x)))
+    second[0, 0] = x * x * (both - own)
+    second[0, 1] = second[1, 0] = x * both
+    second[0, 2] = second[2, 0] = -x / whole
+    second[1, 1] = both - trigamma(q)
+    second[1, 2] = second[2, 1] = 1 / v - 1 / whole
+    second[2, 2] = total / whole**2 - q / v**2
+    return value, first, second
+
+
+def _task_sums(histories: DataFrame, columns: list[str], parts: Callable[..., np.ndarray], points: np.ndarray, slots: int) -> DataFrame:
+    """``(point, slot, total)``: weighted sums of ``parts`` (slots, n) at each point, and the weight in a last slot.
+
+    One pass for all points: a task returns one row per point and slot.
     """
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, weight = np.zeros(len(points)), 0.0
+        total = np.zeros((len(points), slots + 1))
         for batch in batches:
             n = batch["n"].to_numpy(dtype=float)
             data = [batch[c].to_numpy(dtype=float) for c in columns]
-            weight += n.sum()
-            total += [float(n @ density(p, *data)) for p in points]
-        yield pd.DataFrame({"point": np.arange(len(points)), "log_likelihood": total, "weight": weight})
+            total[:, slots] += n.sum()
+            total[:, :slots] += [parts(p, *data) @ n for p in points]
+        point, slot = np.divmod(np.arange(total.size), slots + 1)
+        yield pd.DataFrame({"point": point, "slot": slot, "total": total.reshape(-1)})
 
-    return (
-        histories.select("n", *columns)
-        .mapInPandas(sums, "point int, log_likelihood double, weight double")
-        .groupBy("point")
-        .agg(F.sum("log_likelihood").alias("log_likelihood"), F.sum("weight").alias("weight"))
-    )
+    found = histories.select("n", *columns).mapInPandas(sums, "point int, slot int, total double")
+    return found.groupBy("point", "slot").agg(F.sum("total").alias("total"))
+
+
+def log_likelihood_sums(
+    histories: DataFrame, columns: list[str], density: Callable[..., np.ndarray], points: np.ndarray
+) -> DataFrame:
+    """Weighted log-likelihood of ``histories`` at each parameter point: ``(point, log_likelihood, weight)``.
+
+    ``histories`` has a weight column ``n``.
+    """
+    sums = _task_sums(histories, columns, lambda *a: density(*a)[None, :], points, 1)
+    return sums.groupBy("point").agg(*[F.sum(F.when(F.col("slot") == i, F.col("total"))).alias(c) for i, c in enumerate(("log_likelihood", "weight"))])
+
+
+def mean_derivatives(histories: DataFrame, columns: list[str], derivatives, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mean log-likelihood (k), gradient (k, d) and Hessian (k, d, d) at k points, in one job."""
+    d = points.shape[1]
+    upper = np.triu_indices(d)
+
+    def parts(*args) -> np.ndarray:
+        value, first, second = derivatives(*args)
+        return np.concatenate([value[None, :], first, second[upper]])
+
+    slots = 1 + d + len(upper[0])
+    totals = np.full((len(points), slots + 1), np.nan)
+    for row in _task_sums(histories, columns, parts, points, slots).collect():  # one row per point and slot
+        totals[row["point"], row["slot"]] = row["total"]
+    totals = totals[:, :slots] / totals[:, slots:]
+    hessian = np.empty((len(points), d, d))
+    hessian[:, upper[0], upper[1]] = hessian[:, upper[1], upper[0]] = totals[:, 1 + d :]
+    return totals[:, 0], totals[:, 1 : 1 + d], hessian
+
+
+#: Rows of a task that evaluates a likelihood.
+FIT_ROWS = 50_000
 
 
-def _fit(histories: DataFrame, columns: list[str], density, d: int, penalizer: float) -> np.ndarray:
-    """Maximise the penalised mean log-likelihood over positive parameters."""
-    kept = durable(histories, "histories").persist(StorageLevel.MEMORY_AND_DISK)
+def _fit(histories: DataFrame, columns: list[str], derivatives, d: int, penalizer: float) -> np.ndarray:
+    """Maximise the penalised mean log-likelihood over positive parameters, in their logarithms."""
+    stored = durable(histories, "histories")
+    kept = stored.coalesce(max(1, -(-stored.count() // FIT_ROWS))).persist(StorageLevel.MEMORY_AND_DISK)
 
-    def values_at(logs: np.ndarray) -> np.ndarray:
+    def derivatives_at(logs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         points = np.exp(logs)
-        rows = log_likelihood_sums(kept, columns, density, points).collect()  # one row per point
-        out = np.full(len(points), np.nan)
-        for row in rows:
-            out[row["point"]] = -row["log_likelihood"] / row["weight"]
-        return out + penalizer * (points**2).sum(axis=1)
+        value, first, second = mean_derivatives(kept, columns, derivatives, points)
+        value = penalizer * (points**2).sum(1) - value
+        first = points * (2 * penalizer * points - first)
+        second = points[:, :, None] * points[:, None, :] * (2 * penalizer * np.eye(d) - second)
+        second[:, np.arange(d), np.arange(d)] += first
+        return value, first, second
 
     try:
-        return np.exp(newton_batched(values_at, np.full(d, 0.1)))
+        return np.exp(newton(derivatives_at, np.full(d, 0.1)))
     finally:
         kept.unpersist()
 
@@ -151,7 +236,7 @@ def fit_purchase_model(
         longest = summary.agg(F.max("t")).first()[0] or 1.0
         time_scale = 10.0 / longest
     scaled = histories.withColumns({"tx": F.col("tx") * time_scale, "t": F.col("t") * time_scale})
-    r, alpha, a, b = _fit(scaled, ["x", "tx", "t"], purchase_log_likelihood, 4, penalizer)
+    r, alpha, a, b = _fit(scaled, ["x", "tx", "t"], purchase_derivatives, 4, penalizer)
     return PurchaseModel(float(r), float(alpha / time_scale), float(a), float(b))
 
 
@@ -165,7 +250,7 @@ def fit_value_model(summary: DataFrame, penalizer: float = 0.05) -> ValueModel:
         repeat.groupBy("x", "monetary_value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    p, q, v = _fit(histories, ["x", "monetary_value"], value_log_likelihood, 3, penalizer)
+    p, q, v = _fit(histories, ["x", "monetary_value"], value_derivatives, 3, penalizer)
     return ValueModel(float(p), float(q), float(v))
 
 

@@ -6,6 +6,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.skew import join_counted
 from tillroll.functions.text import words
 from tillroll.operators.pairs import nearest_rows
 from tillroll.session import durable
@@ -20,7 +21,7 @@ def tfidf(texts: DataFrame, key: str, text: str, stop_words: list[str] | None =
     """TF-IDF weights of unit length per text: ``(key, token, tf, df, weight)``.
 
     ``idf = ln((1 + texts) / (1 + df)) + 1``.  ``key`` must be unique.  Texts are
-    cut into words once; the counts are stored.
+    cut into words once; the counts are stored.  Words that many texts share get their figures by broadcast.
     """
     stop = english_stop_words() if stop_words is None else stop_words
     total = texts.filter(F.col(text).isNotNull()).agg(F.count(F.lit(1)).cast("double")).scalar()
@@ -31,8 +32,9 @@ def tfidf(texts: DataFrame, key: str, text: str, stop_words: list[str] | None =
         .agg(F.count(F.lit(1)).alias("tf")),
         "tf",
     )
-    df = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    raw = tf.join(df, "token").withColumn(
+    df = durable(tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "df")
+    known = join_counted(tf, df, "token", "df", df.agg(F.sum("df")).scalar())
+    raw = known.withColumn(
         "raw", F.col("tf") * (F.ln((total + 1) / (F.col("df") + 1)) + 1)
     )
     # a text's words travel once, with what its length is made of
@@ -51,7 +53,7 @@ def description_tfidf(lines: DataFrame, stop_words: list[str] | None = None) ->
 
 
 def similar_texts(
-    weights: DataFrame, key: str, n: int = 5, targets: DataFrame | None = None, block_rows: int = 2048
+    weights: DataFrame, key: str, n: int = 5, targets: DataFrame | None = None, block_rows: int = 4096
 ) -> DataFrame:
     """The ``n`` texts nearest to each target: ``(key, rank, item, score)``, score in percent.
 

@@ -71,14 +71,13 @@ def anova(df: DataFrame, value: str, group: Column, alpha: float = ALPHA) -> Dat
             F.var_pop(value).alias("v"),
         )
     )
-    # group means are taken from one of them first, then from the grand mean: squares of large means would cancel
-    listed = groups.agg(F.collect_list(F.struct("n", "m", "v")).alias("g"), F.min("m").alias("m0"), F.sum("n").alias("n"))
-    total = "aggregate(g, 0D, (s, e) -> s + e.n * (e.m - m0)) / n"
-    s = listed.selectExpr("g", "n", "m0", f"{total} AS grand").selectExpr(
-        "cast(size(g) - 1 AS double) AS df_between",
-        "n - size(g) AS df_within",
-        "aggregate(g, 0D, (s, e) -> s + e.n * (e.m - m0 - grand) * (e.m - m0 - grand)) AS ss_between",
-        "aggregate(g, 0D, (s, e) -> s + e.n * e.v) AS ss_within",
+    # deviations from the grand mean, not squares of means, which would cancel
+    off = F.col("m") - groups.agg(F.sum(F.col("n") * F.col("m")) / F.sum("n")).scalar()
+    s = groups.agg(
+        (F.count(F.lit(1)) - 1).cast("double").alias("df_between"),
+        (F.sum("n") - F.count(F.lit(1))).alias("df_within"),
+        F.sum(F.col("n") * off * off).alias("ss_between"),
+        F.sum(F.col("n") * F.col("v")).alias("ss_within"),
     )
     s = s.withColumn(
         "f",

@@ -73,7 +73,8 @@ def co_occurrence(
     * A larger group (a wholesaler, one giant invoice) never meets itself in
       one task.  Its items are cut in blocks by number, and the groups in slabs;
       a task gets two blocks of one slab, multiplies them, and returns one
-      row per item pair, however many groups the slab holds.
+      row per item pair, however many groups the slab holds.  A block of a
+      group's items is sent as often as the group has blocks.
 
     A column ``square`` that belongs to the item travels along, and comes back
     as ``square_a`` and ``square_b``: the pairs, the largest table here, then
@@ -104,10 +105,11 @@ def co_occurrence(
     block = F.floor(F.col("item") / block_items).cast("int")
     large_rows = members.join(large, "grp", "left_semi").withColumn("block", block)
     slabs = F.greatest(F.ceil(large.agg(F.count(F.lit(1))).scalar() / slab_groups), F.lit(1))
-    last_block = members.agg(F.max(block)).scalar()
+    # a group's rows go to the blocks that it has items in, not to all
     packed = (
         large_rows.groupBy("grp", "block")
         .agg(F.collect_list(F.struct("item", "weight", *carried)).alias("m"))
+        .join(large_rows.groupBy("grp").agg(F.collect_set("block").alias("present")), "grp")
         .select(
             F.pmod(F.xxhash64("grp"), slabs).alias("slab"),
             "grp",
@@ -115,7 +117,7 @@ def co_occurrence(
             F.col("m.item").alias("items"),
             F.col("m.weight").alias("weights"),
             *[F.col(f"m.{c}").alias(f"{c}s") for c in carried],
-            F.explode(F.sequence(F.lit(0), last_block)).alias("other"),
+            F.explode("present").alias("other"),
         )
         .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
@@ -140,42 +142,61 @@ def both_ways(pairs: DataFrame, swap: list[tuple[str, str]], same: list[str]) ->
     return pairs.selectExpr(f"inline(array(named_struct({forth}), named_struct({back})))")
 
 
+def _best(rank: np.ndarray, take: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the ``take`` largest entries of each row that aren't negative."""
+    best = np.argpartition(rank, rank.shape[1] - take, axis=1)[:, rank.shape[1] - take :]
+    row, column = np.repeat(np.arange(len(rank)), take), best.reshape(-1)
+    keep = rank[row, column] >= 0
+    return row[keep], column[keep]
+
+
+def _places(keys: np.ndarray) -> np.ndarray:
+    """Larger for keys that come first: what decides between equal similarities."""
+    place = np.empty(len(keys), dtype=np.int64)
+    place[np.argsort(keys, kind="stable")] = np.arange(len(keys))[::-1]
+    return place
+
+
 def _best_of_cell(n: int, output_columns: list[str]):
+    """The best ``n`` of each row of one block (``lb``) among those of another (``rb``) in the same cell.
+
+    Rows of a cell carry ``first`` (of the left block) and ``second``; with ``both`` set, the right rows get their best left
+    ones as well.
+    """
+
     def run(cell: pd.DataFrame) -> pd.DataFrame:
         sides = []
-        for mark in (True, False):
-            part = cell[cell["is_target"] == mark]
-            sizes = part["dims"].map(len).to_numpy()
+        for mark in ("first", "second"):
+            part = cell[cell[mark]]
+            sizes = part["dims"].map(len).to_numpy(dtype=np.int64)
             row = np.repeat(np.arange(len(part)), sizes)
             dim = np.concatenate(part["dims"].to_numpy()) if len(part) else np.zeros(0, dtype="int64")
             w = np.concatenate(part["weights"].to_numpy()) if len(part) else np.zeros(0)
             sides.append((part["key"].to_numpy(), (row, dim, w)))
         (l_key, left), (r_key, right) = sides
         found = []
+
+        def add(keys, others, similarity):
+            found.append(pd.DataFrame({output_columns[0]: keys, output_columns[1]: others, "similarity": similarity}))
+
         if len(l_key) and len(r_key):
-            # equal similarities are settled by key, so it takes part in the order
-            place = np.empty(len(r_key), dtype=np.int64)
-            place[np.argsort(r_key, kind="stable")] = np.arange(len(r_key))[::-1]
-            scale = 1 << int(len(r_key)).bit_length()
+            both = bool(cell["both"].iloc[0])
+            l_place, r_place = _places(l_key), _places(r_key)
+            scale = 1 << int(max(len(l_key), len(r_key))).bit_length()
             column_of = {k: c for c, k in enumerate(r_key)}
-            take = min(n, len(r_key))
             for first, strip in row_strips(left, right, len(l_key), len(r_key)):
-                rank = np.rint(strip * 1e9).astype(np.int64) * scale + place[None, :]
-                rank[strip <= 0] = -1
-                for r in range(strip.shape[0]):
-                    c = column_of.get(l_key[first + r])
+                rows = np.arange(first, first + len(strip))
+                whole = np.rint(strip * 1e9).astype(np.int64) * scale
+                none = strip <= 0
+                for r in rows:  # a row is no neighbour of itself
+                    c = column_of.get(l_key[r])
                     if c is not None:
-                        rank[r, c] = -1
-                best = np.argpartition(rank, len(r_key) - take, axis=1)[:, len(r_key) - take :]
-                r = np.repeat(np.arange(strip.shape[0]), take)
-                c = best.reshape(-1)
-                keep = rank[r, c] >= 0
-                r, c = r[keep], c[keep]
-                found.append(
-                    pd.DataFrame(
-                        {output_columns[0]: l_key[first + r], output_columns[1]: r_key[c], "similarity": strip[r, c]}
-                    )
-                )
+                        none[r - first, c] = True
+                r, c = _best(np.where(none, -1, whole + r_place[None, :]), min(n, len(r_key)))
+                add(l_key[rows[r]], r_key[c], strip[r, c])
+                if both:
+                    c, r = _best(np.where(none, -1, whole + l_place[rows][:, None]).T, min(n, len(strip)))
+                    add(r_key[c], l_key[rows[r]], strip[r, c])
         if not found:
             return pd.DataFrame({c: pd.Series(dtype="object") for c in output_columns})
         return pd.concat(found, ignore_index=True)
@@ -190,23 +211,27 @@ def nearest_rows(
     weight: str,
     n: int,
     targets: DataFrame | None = None,
-    block_rows: int = 2048,
-    block_entries: int = 1 << 20,
+    block_rows: int = 4096,
+    block_entries: int = 1 << 21,
 ) -> DataFrame:
     """The ``n`` rows most similar to each target row: ``(key, neighbor, similarity, rank)``.
 
     ``vectors`` holds sparse rows of unit length as ``(key, dim, weight)``, so a
-    similarity is a sum of products.  Rows are packed and cut into blocks of
-    about ``block_rows`` rows, or of ``block_entries`` entries if that is less; a
-    task gets one block of targets and one block of rows, multiplies them and
-    returns only the best ``n`` per target.  A dim that all rows share (a
-    best-seller, a common word) costs a task no more than its two blocks, and
-    what is exchanged afterwards is ``n`` rows per target and block.  The row
+    similarity is a sum of products.  Dims that a single row has meet nothing and
+    aren't sent.  Rows are packed and cut into blocks of about ``block_rows`` rows,
+    or of ``block_entries`` entries if that is less; a task gets two blocks,
+    multiplies them and returns only the best ``n`` per row.  Where all rows ask,
+    a pair of blocks meets once and serves the rows of both, so a row is sent once
+    per block; with ``targets``, blocks of targets meet blocks of rows.  A dim that all rows
+    share (a best-seller, a common word) costs a task no more than its two blocks, and
+    what is exchanged afterwards is ``n`` rows per row and block.  The row
     itself and rows with nothing in common are left out; equal similarities
     (to 9 decimals) are ordered by key.
     """
     vectors = durable(vectors, "vectors")
-    dims = with_integer_ids(vectors.select(dim).distinct(), dim, "dim_id")
+    spark = vectors.sparkSession
+    shared = vectors.groupBy(dim).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(dim)
+    dims = with_integer_ids(shared, dim, "dim_id")
     packed = (
         vectors.join(dims, dim)
         .groupBy(F.col(key).alias("key"))
@@ -214,31 +239,35 @@ def nearest_rows(
         .select("key", F.col("v.dim_id").alias("dims"), F.col("v.w").alias("weights"))
     )
     packed = durable(packed, "packed")
-    chosen = packed
-    if targets is not None:
-        wanted = targets.select(F.col(key).alias("key")).distinct()
-        chosen = packed.join(wanted, "key", "left_semi")
-
-    def blocks(keys: DataFrame):
-        needed = F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.ceil(F.sum("entries") / block_entries))
-        return F.greatest(keys.agg(needed).scalar(), F.lit(1)).cast("int")
-
     all_keys = packed.select("key", F.size("dims").alias("entries"))
-    right_blocks = blocks(all_keys)
-    left_blocks = right_blocks if targets is None else blocks(all_keys.join(wanted, "key", "left_semi"))
 
-    def own(count):
-        return F.pmod(F.xxhash64("key"), count).cast("int")
+    def needed(keys: DataFrame) -> int:
+        blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.ceil(F.sum("entries") / block_entries), F.lit(1))
+        return int(keys.agg(blocks).first()[0])
+
+    def own(count: int):
+        return F.pmod(F.xxhash64("key"), F.lit(count)).cast("int")
 
-    def other(count):
-        return F.explode(F.sequence(F.lit(0), count - 1))
+    def other(count: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
-    cells = (
-        chosen.select("*", F.lit(True).alias("is_target"), own(left_blocks).alias("lb"), other(right_blocks).alias("rb"))
-        .unionByName(
-            packed.select("*", F.lit(False).alias("is_target"), own(right_blocks).alias("rb"), other(left_blocks).alias("lb"))
+    if targets is None:
+        # fewer blocks would leave cores without a cell
+        blocks = max(needed(all_keys), _least_blocks(spark.sparkContext.defaultParallelism))
+        placed = packed.select("*", own(blocks).alias("own"), other(blocks).alias("other"))
+        cells = placed.select(
+            "key", "dims", "weights", F.least("own", "other").alias("lb"), F.greatest("own", "other").alias("rb"),
+            (F.col("own") <= F.col("other")).alias("first"), (F.col("own") >= F.col("other")).alias("second"),
+            (F.col("own") != F.col("other")).alias("both"),
         )
-    )
+    else:
+        wanted = targets.select(F.col(key).alias("key")).distinct()
+        right_blocks, left_blocks = needed(all_keys), needed(all_keys.join(wanted, "key", "left_semi"))
+        sides = [
+            packed.join(wanted, "key", "left_semi").select("*", own(left_blocks).alias("lb"), other(right_blocks).alias("rb"), F.lit(True).alias("first")),
+            packed.select("*", other(left_blocks).alias("lb"), own(right_blocks).alias("rb"), F.lit(False).alias("first")),
+        ]
+        cells = sides[0].unionByName(sides[1]).withColumns({"second": ~F.col("first"), "both": F.lit(False)})
     kind = packed.schema["key"].dataType.simpleString()
     columns = [key, "neighbor", "similarity"]
     best = cells.groupBy("lb", "rb").applyInPandas(
@@ -246,3 +275,11 @@ def nearest_rows(
     )
     order = Window.partitionBy(key).orderBy(F.desc(F.round("similarity", 9)), "neighbor")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+
+
+def _least_blocks(tasks: int) -> int:
+    """The smallest number of blocks of which so many pairs can be made, a block with itself included."""
+    blocks = 1
+    while blocks * (blocks + 1) // 2 < tasks:
+        blocks += 1
+    return blocks

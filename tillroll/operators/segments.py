@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -19,6 +16,7 @@ from tillroll.functions.onerow import with_one_row
 from tillroll.functions.sampling import sample_exact
 from tillroll.operators.rfm import RFM
 from tillroll.schema import SEGMENT_NOTES
+from tillroll.session import durable
 
 SCALED = [f"z_{c}" for c in RFM]
 
@@ -71,36 +69,175 @@ def assign_clusters(scaled: DataFrame, centres: list[list[float]]) -> DataFrame:
     return scaled.withColumn("cluster", nearest_centre(centres, [F.col(c) for c in SCALED]))
 
 
-def _vectors(scaled: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=SCALED, outputCol="features").transform(scaled).select("features")
+@dataclass(frozen=True)
+class Start:
+    """One run of K-Means."""
+
+    k: int
+    seed: int
+
+
+def _points(scaled: DataFrame) -> DataFrame:
+    """Distinct scaled rows with their number ``n``; missing values have no place, so rows that lack one are left out."""
+    return scaled.dropna(subset=SCALED).groupBy(*SCALED).agg(F.count(F.lit(1)).cast("double").alias("n"))
+
+
+def _draws(points: np.ndarray, run: Start, step: int) -> np.ndarray:
+    """A number in (0, 1] of each point that depends on the point, the run and the step only, so that a task can be repeated."""
+    mixed = np.full(len(points), np.uint64((run.seed * 0x9E3779B97F4A7C15 + run.k * 0xD1B54A32D192ED03 + step * 0x8CB92BA72F3D8DD7) & (2**64 - 1)))
+    for column in (points + 0.0).T:  # minus zero is zero
+        mixed = (mixed ^ np.ascontiguousarray(column).view(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        mixed ^= mixed >> np.uint64(29)
+    return ((mixed >> np.uint64(11)).astype(float) + 1.0) / float(1 << 53)
+
+
+def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return ((points[:, None, :] - centres[None, :, :]) ** 2).sum(2)
+
+
+#: Points that are compared with all centres at a time.
+STRIP = 8192
+
+
+def _passes(kept: DataFrame, each: Callable[[np.ndarray, np.ndarray], list[tuple]], finish: Callable[[list[tuple]], list[tuple]], columns: str) -> DataFrame:
+    """Rows that tasks make of their points: ``each`` of a strip of points and weights, ``finish`` of all that gave."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple] = []
+        for batch in batches:
+            values = batch.to_numpy(dtype=float)
+            for at in range(0, len(values), STRIP):
+                rows = finish(rows + each(values[at : at + STRIP, :3], values[at : at + STRIP, 3]))
+        yield pd.DataFrame(rows, columns=[c.split()[0] for c in columns.split(", ")])
 
-def _fits(vectors: DataFrame, runs: list[tuple[int, int]], parallel: int) -> list[tuple[int, float, KMeansModel]]:
-    """K-Means for each (k, seed), several at a time, on the same cached vectors."""
+    return kept.select(*SCALED, "n").mapInPandas(run, columns)
 
-    def one(run: tuple[int, int]):
-        k, seed = run
-        model = KMeans(k=k, seed=seed, maxIter=300, tol=1e-4).fit(vectors)
-        return k, model.summary.trainingCost, model
 
-    with ThreadPoolExecutor(parallel) as pool:
-        return list(pool.map(one, runs))
+def _merged(rows: list[tuple]) -> list[tuple]:
+    """Rows (run, cluster, sums...) added up by run and cluster."""
+    if not rows:
+        return rows
+    table = np.array(rows)
+    keys, at = np.unique(table[:, :2], axis=0, return_inverse=True)
+    sums = np.zeros((len(keys), table.shape[1] - 2))
+    np.add.at(sums, at.reshape(-1), table[:, 2:])
+    return [(int(r), int(c), *row) for (r, c), row in zip(keys, sums.tolist())]
 
 
-def fit_segments(rfm: DataFrame, k: int = 4, seed: int = 42, n_init: int = 10, parallel: int = 4) -> SegmentModel:
-    """Scale, cluster and name; keeps the best of ``n_init`` runs.
+def _assigned(kept: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """Per run an array (k, 5) of weight, coordinate sums and cost of its clusters, all in one job of at most that many rows a task."""
 
-    Pass a stored ``rfm``: the scaled vectors are cached for the fits and can
-    be read again from it.
+    def each(points: np.ndarray, n: np.ndarray) -> list[tuple]:
+        rows = []
+        for run, own in centres.items():
+            d = _distances(points, own)
+            nearest = d.argmin(1)
+            weights = [n, *(n * points.T), n * d[np.arange(len(d)), nearest]]
+            sums = np.array([np.bincount(nearest, w, len(own)) for w in weights]).T
+            rows += [(run, c, *row) for c, row in enumerate(sums.tolist())]
+        return rows
+
+    sums = ("weight", "s0", "s1", "s2", "cost")
+    made = _passes(kept, each, _merged, "run int, cluster int, " + ", ".join(f"{c} double" for c in sums))
+    out = {run: np.zeros((len(own), 5)) for run, own in centres.items()}
+    for row in made.groupBy("run", "cluster").agg(*[F.sum(c).alias(c) for c in sums]).collect():  # a row per centre
+        out[row["run"]][row["cluster"]] = [row[c] for c in sums]
+    return out
+
+
+def _seeded(kept: DataFrame, runs: list[Start], rounds: int) -> dict[int, np.ndarray]:
+    """First centres of all runs by k-means||: points drawn in proportion to their cost, weighed, and thinned to k.
+
+    The first point of a run is the one of the smallest draw.  A round is two jobs for all runs together: the costs,
+    then the draws of about 2 k points a run.
     """
-    stats = scaling(rfm).first()
-    vectors = _vectors(scale_rfm(rfm)).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def least(points: np.ndarray, n: np.ndarray) -> list[tuple]:
+        rows = []
+        for i, run in enumerate(runs):
+            u = _draws(points, run, -1)
+            rows.append((i, float(u.min()), *points[u.argmin()].tolist()))
+        return rows
+
+    def smallest(rows: list[tuple]) -> list[tuple]:
+        return list({r[0]: r for r in sorted(rows, reverse=True)}.values())
+
+    point = "run int, draw double, " + ", ".join(f"{c} double" for c in SCALED)
+    first = _passes(kept, least, smallest, point).groupBy("run").agg(F.min(F.struct("draw", *SCALED)).alias("p")).collect()
+    chosen = {r["run"]: np.array([[r["p"][c] for c in SCALED]]) for r in first}
+    for step in range(rounds):
+        cost = {run: sums[:, 4].sum() for run, sums in _assigned(kept, chosen).items()}
+
+        def drawn(points: np.ndarray, n: np.ndarray) -> list[tuple]:
+            rows = []
+            for i, own in chosen.items():
+                share = 2 * runs[i].k * n * _distances(points, own).min(1) / cost[i] if cost[i] > 0 else np.zeros(len(points))
+                u = _draws(points, runs[i], step)
+                rows += [(i, float(u[j]), *points[j].tolist()) for j in np.flatnonzero(u < share)]
+            return rows
+
+        for row in sorted(_passes(kept, drawn, list, point).collect()):  # about 2 k rows a run
+            chosen[row["run"]] = np.vstack([chosen[row["run"]], [[row[c] for c in SCALED]]])
+    weight = {run: sums[:, 0] for run, sums in _assigned(kept, chosen).items()}
+    return {i: _thinned(chosen[i], weight[i], runs[i]) for i in chosen}
+
+
+def _thinned(points: np.ndarray, weight: np.ndarray, run: Start) -> np.ndarray:
+    """k of the weighed points by k-means++ and some rounds of averaging; fewer where there are fewer."""
+    random = np.random.default_rng([run.seed, run.k])
+    points, at = np.unique(points, axis=0, return_inverse=True)
+    weight = np.bincount(at.reshape(-1), weight)
+    points, weight = points[weight > 0], weight[weight > 0]
+    picked = [int(random.choice(len(points), p=weight / weight.sum()))]
+    while len(picked) < min(run.k, len(points)):
+        far = weight * _distances(points, points[picked]).min(1)
+        picked.append(int(random.choice(len(points), p=far / far.sum())))
+    centres = points[picked]
+    for _ in range(30):
+        nearest = _distances(points, centres).argmin(1)
+        total = np.bincount(nearest, weight, len(centres))
+        sums = np.array([np.bincount(nearest, weight * column, len(centres)) for column in points.T]).T
+        centres = np.where(total[:, None] > 0, sums / np.maximum(total, 1e-300)[:, None], centres)
+    return centres
+
+
+def fit_starts(
+    scaled: DataFrame, runs: list[Start], steps: int = 300, tolerance: float = 1e-4, rounds: int = 2
+) -> list[tuple[float, np.ndarray]]:
+    """Inertia and centres of every run of K-Means over ``scaled``, all of them together.
+
+    Equal rows are merged first.  Each round is one job for all runs that still move: tasks return one row per centre
+    with the sums of its points.  A run stops when no centre moves by more than ``tolerance``; a cluster that loses all
+    points keeps its centre.  Raises when ``steps`` rounds don't suffice or there are no points.
+    """
+    kept = durable(_points(scaled), "points").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fits = _fits(vectors, [(k, seed + i) for i in range(n_init)], parallel)
+        centres = _seeded(kept, runs, rounds)
+        if not centres:
+            raise ValueError("there are no points to cluster")
+        moving = set(centres)
+        for _ in range(steps):
+            for run, sums in _assigned(kept, {run: centres[run] for run in sorted(moving)}).items():
+                new = np.where(sums[:, :1] > 0, sums[:, 1:4] / np.maximum(sums[:, :1], 1e-300), centres[run])
+                if ((new - centres[run]) ** 2).sum(1).max() <= tolerance**2:
+                    moving.discard(run)
+                centres[run] = new
+            if not moving:
+                break
+        else:
+            raise ArithmeticError(f"{len(moving)} runs of K-Means still move after {steps} rounds")
+        costs = {run: float(sums[:, 4].sum()) for run, sums in _assigned(kept, centres).items()}
+        return [(costs[i], centres[i]) for i in range(len(runs))]
     finally:
-        vectors.unpersist()
-    _, cost, best = min(fits, key=lambda f: f[1])
-    centres = [[float(v) for v in c] for c in best.clusterCenters()]
+        kept.unpersist()
+
+
+def fit_segments(rfm: DataFrame, k: int = 4, seed: int = 42, n_init: int = 10) -> SegmentModel:
+    """Scale, cluster and name; keeps the best of ``n_init`` runs, which are fitted together."""
+    stats = scaling(rfm).first()
+    cost, best = min(fit_starts(scale_rfm(rfm), [Start(k, seed + i) for i in range(n_init)]), key=lambda f: f[0])
+    centres = best.tolist()
     assigned = assign_clusters(scale_rfm(rfm), centres)
     names = label_clusters(cluster_profiles(assigned), k).collect()  # k rows
     return SegmentModel(
@@ -132,21 +269,16 @@ def refine_centres(scaled: DataFrame, centres: list[list[float]], steps: int) ->
     return scaled.sparkSession.createDataFrame(rows, "cluster int, customers bigint, " + ", ".join(f"{c} double" for c in SCALED))
 
 
-def elbow_curve(rfm: DataFrame, ks: range = range(1, 11), seed: int = 42, n_init: int = 10, parallel: int = 8) -> DataFrame:
+def elbow_curve(rfm: DataFrame, ks: range = range(1, 11), seed: int = 42, n_init: int = 10) -> DataFrame:
     """Smallest inertia for each number of clusters: ``(k, inertia)``.
 
-    One cluster has its cost in closed form; the rest are fits over the same
-    cached vectors.
+    One cluster has its cost in closed form; all runs of the others are fitted together.
     """
     scaled = scale_rfm(rfm)
-    vectors = _vectors(scaled).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fits = _fits(vectors, [(k, seed + i) for k in ks if k > 1 for i in range(n_init)], parallel)
-    finally:
-        vectors.unpersist()
+    runs = [Start(k, seed + i) for k in ks if k > 1 for i in range(n_init)]
     cost: dict[int, float] = {}
-    for k, c, _ in fits:
-        cost[k] = min(c, cost.get(k, c))
+    for run, (c, _) in zip(runs, fit_starts(scaled, runs) if runs else []):
+        cost[run.k] = min(c, cost.get(run.k, c))
     if 1 in ks:
         cost[1] = scaled.agg(sum(F.var_pop(c) * F.count(c) for c in SCALED)).first()[0]
     return rfm.sparkSession.createDataFrame(sorted(cost.items()), "k int, inertia double")

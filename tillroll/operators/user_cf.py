@@ -15,7 +15,7 @@ def nearest_customers(
     n: int = 5,
     min_purchases: int = 3,
     targets: DataFrame | None = None,
-    block_rows: int = 2048,
+    block_rows: int = 4096,
 ) -> DataFrame:
     """The ``n`` customers whose item sets are most similar (cosine)."""
     bought = binary_interactions(counts, min_purchases)

@@ -79,6 +79,12 @@ def recommend(built: artifacts.Artifacts, requests: DataFrame) -> DataFrame:
     )
 
 
+def recommend_by_rules(built: artifacts.Artifacts, requests: DataFrame) -> DataFrame:
+    """Stored basket rules for requested descriptions; bestsellers with lift and confidence 1 for those that have none."""
+    best = built.tables["bestsellers"].select("rank", "item", F.lit(1.0).alias("lift"), F.lit(1.0).alias("confidence"))
+    return interactions.lookup_or_fallback(requests, built.tables["association_rules"], best, "description", ["item", "lift", "confidence"])
+
+
 if __name__ == "__main__":
     session = SparkSession.builder.appName("tillroll-build").getOrCreate()
     build(scan_csv(session, sys.argv[1]), sys.argv[2])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from tillroll.operators.rfm import RFM
 from tillroll.plans import queries as q
 from tillroll.schema import ADMIN_KEYWORDS, ADMIN_STOCK_CODES, REPORT_WEEKDAYS, SEGMENT_NOTES
@@ -461,7 +463,16 @@ def refined() -> str:
     return sql("scaled", f"{body} SELECT cluster::INTEGER AS cluster, customers, {shown} FROM step{q.REFINE_STEPS - 1}".lstrip())
 
 
-def loglik_purchases(g=q.GIVEN_PURCHASE) -> str:
+def slopes(loglik, model, columns: str, step: float = 1e-4) -> str:
+    """Central differences of a mean log-likelihood in each parameter of ``model``."""
+    parts = []
+    for name in columns.split():
+        ends = [f"({loglik(replace(model, **{name: getattr(model, name) + s}), None)})" for s in (step, -step)]
+        parts.append(f"SELECT '{name}' AS parameter, round(({ends[0]} - {ends[1]}) / {2 * step}, 5) AS slope")
+    return sql("summary", " UNION ALL ".join(parts))
+
+
+def loglik_purchases(g=q.GIVEN_PURCHASE, digits: int | None = 6) -> str:
     gone = f"ln({g.a}) - ln({g.b} + greatest(x, 1) - 1) - ({g.r} + x) * ln({g.alpha} + tx)"
     alive = f"-({g.r} + x) * ln({g.alpha} + t)"
     mix = f"CASE WHEN x > 0 THEN greatest({alive}, {gone}) + ln(1 + exp(-abs(({alive}) - ({gone})))) ELSE {alive} END"
@@ -469,16 +480,20 @@ def loglik_purchases(g=q.GIVEN_PURCHASE) -> str:
         f"lgamma({g.r} + x) - lgamma({g.r}) + {g.r} * ln({g.alpha}) + lgamma({g.a} + {g.b}) + lgamma({g.b} + x) "
         f"- lgamma({g.b}) - lgamma({g.a} + {g.b} + x) + {mix}"
     )
-    return sql("summary", f"SELECT round(avg({ll}), 6) AS mean_log_likelihood FROM summary")
+    if digits is None:
+        return f"SELECT avg({ll}) FROM summary"
+    return sql("summary", f"SELECT round(avg({ll}), {digits}) AS mean_log_likelihood FROM summary")
 
 
-def loglik_values(g=q.GIVEN_VALUE) -> str:
+def loglik_values(g=q.GIVEN_VALUE, digits: int | None = 6) -> str:
     m = "monetary_value"
     ll = (
         f"lgamma({g.p} * x + {g.q}) - lgamma({g.p} * x) - lgamma({g.q}) + {g.q} * ln({g.v}) + ({g.p} * x - 1) * ln({m}) "
         f"+ {g.p} * x * ln(x) - ({g.p} * x + {g.q}) * ln(x * {m} + {g.v})"
     )
-    return sql("summary", f"SELECT round(avg({ll}), 6) AS mean_log_likelihood FROM summary WHERE x > 0")
+    if digits is None:
+        return f"SELECT avg({ll}) FROM summary WHERE x > 0"
+    return sql("summary", f"SELECT round(avg({ll}), {digits}) AS mean_log_likelihood FROM summary WHERE x > 0")
 
 
 def score_inputs() -> str:
@@ -542,6 +557,14 @@ AUDIT = f"""SELECT list_position(['copies', 'no_customer', 'admin_code', 'admin_
             WHEN NOT (quantity > 0 AND unit_price > 0) THEN 'not_purchase' ELSE 'purchase' END AS stage
         FROM (SELECT DISTINCT * FROM sales)) GROUP BY stage)"""
 
+DOUBTFUL = """SELECT *, CASE reason WHEN 'malformed' THEN 'surplus' WHEN 'quantity' THEN 'x' || quantity WHEN 'invoice_date' THEN 'yesterday'
+        WHEN 'unit_price' THEN 'about' WHEN 'customer_id' THEN 'no' END AS rejected
+    FROM (SELECT *, CASE WHEN n % 71 = 3 THEN 'malformed' WHEN n % 89 = 3 THEN 'quantity' WHEN n % 83 = 3 THEN 'invoice_date'
+        WHEN n % 79 = 3 THEN 'unit_price' WHEN n % 73 = 3 AND customer_id IS NOT NULL THEN 'customer_id' ELSE 'good' END AS reason
+        FROM (SELECT *, replace(invoice_no, 'C', '')::BIGINT AS n FROM sales))"""
+
+ASKED = "('0x' || substr(md5(description), 1, 8))::BIGINT % 50 = 0"
+
 LINES_OF = "SELECT {columns} FROM {source}"
 
 COLUMN_TYPES = {
@@ -587,6 +610,19 @@ ORACLES: dict[str, str] = {
     "purchases_only": sql("sales", f"SELECT {SHOWN} FROM sales WHERE quantity > 0 AND unit_price > 0"),
     "clean_retail": sql("cleaned", f"SELECT {SHOWN}, total_amount FROM cleaned"),
     "clean_audit": sql("sales", AUDIT),
+    "frequency_sketched": sql("purchases", "SELECT customer_id, count(DISTINCT invoice_no) AS frequency, true AS within_bound FROM purchases GROUP BY customer_id"),
+    "country_reach_sketched": sql("purchases", "SELECT country, count(DISTINCT customer_id) AS customers, true AS within_bound FROM purchases GROUP BY country"),
+    "quantiles_sketched": " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {s}::DOUBLE AS q, true AS within_bound" for c in q.SKETCHED for s in q.QUARTERS),
+    "months_rebuilt": sql("cleaned", f"SELECT {MONTH} AS month, count(*) AS lines, sum(quantity)::BIGINT AS quantity FROM cleaned GROUP BY ALL"),
+    "bucketed_customer_totals": sql(
+        "purchases capped",
+        "SELECT customer_id::BIGINT AS customer_id, lines, round(frequency, 6) AS frequency FROM capped JOIN (SELECT customer_id, count(*) AS lines FROM purchases GROUP BY customer_id) USING (customer_id)",
+    ),
+    "clean_audit_observed": sql("sales", AUDIT),
+    "clean_retail_observed": sql("cleaned", f"SELECT {SHOWN}, total_amount FROM cleaned"),
+    "quarantined_lines": sql("sales", f"SELECT reason, invoice_no, stock_code, rejected FROM ({DOUBTFUL}) WHERE reason <> 'good'"),
+    "quarantine_counts": sql("sales", f"SELECT reason, count(*) AS lines FROM ({DOUBTFUL}) GROUP BY reason"),
+    "quarantine_accepted": sql("sales", f"SELECT {SHOWN} FROM ({DOUBTFUL}) WHERE reason = 'good'"),
     "profile_columns": profile("sales", "sales", ["quantity", "unit_price", "customer_id"]),
     "profile_all_columns": sql(
         "sales",
@@ -654,6 +690,8 @@ ORACLES: dict[str, str] = {
         + ") n(segment, profile, action) USING (segment)",
     ),
     "clv_summary": sql("summary", "SELECT customer_id, x, " + rounded("tx t") + ", monetary_value::FLOAT::DOUBLE AS monetary_value FROM summary"),
+    "bgnbd_gradient": slopes(loglik_purchases, q.GIVEN_PURCHASE, "r alpha a b"),
+    "gammagamma_gradient": slopes(loglik_values, q.GIVEN_VALUE, "p q v"),
     "bgnbd_loglik": loglik_purchases(),
     "gammagamma_loglik": loglik_values(),
     "expected_purchases": sql("valued", "SELECT customer_id, round(expected_purchases, 6) AS expected_purchases FROM valued"),
@@ -712,6 +750,8 @@ ORACLES: dict[str, str] = {
         f"SELECT item_a, item_b, {rounded('confidence lift')} FROM rules ORDER BY rules.lift DESC, item_a, item_b LIMIT 10",
     ),
     "rules_for_target": target_rules(),
+    "rules_for_asked": f"SELECT * FROM ({target_rules()}) WHERE {ASKED}",
+    "similar_items_weighted_for": f"SELECT * FROM ({sql('cleaned', TOP_WEIGHTED)}) WHERE {ASKED}",
     "user_neighbors": sql(
         "neighbors", "SELECT customer_id, neighbor, round(similarity, 6) AS similarity, rank FROM neighbors"
     ),
@@ -721,8 +761,8 @@ ORACLES: dict[str, str] = {
     ),
     "user_cf_recs_for": sql("user_recs", "SELECT customer_id, rank, item, score FROM user_recs WHERE customer_id % 50 = 0"),
     "content_similar_for": sql(
-        "desc_near purchases",
-        "SELECT * FROM desc_near WHERE description IN (SELECT description FROM purchases WHERE try_cast(stock_code AS INTEGER) % 50 = 2)",
+        "desc_near",
+        f"SELECT * FROM desc_near WHERE {ASKED}",
     ),
     "user_cf_fallback": sql(
         "user_recs best",

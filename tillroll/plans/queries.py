@@ -17,10 +17,13 @@ from pyspark.sql import types as T
 from tillroll.functions.histogram import kernel_density
 from tillroll.functions.sampling import sample_exact
 from tillroll.functions.text import parse_mixed_timestamp
-from tillroll.operators import basket, cleaning, clv, content, eda, hypothesis, interactions, item_cf, rfm, segments, user_cf
+from tillroll.operators import basket, cleaning, clv, content, eda, hypothesis, interactions, item_cf, rfm, segments, sketched, user_cf
 from tillroll.plans.tables import Tables
 from tillroll.session import durable, shared_dir
+from tillroll.schema import LINE_COLUMNS
+from tillroll.sources import partitioned
 from tillroll.sources.lines import normalize_types, scan_csv, write_csv
+from tillroll.sources.quarantine import judge_records, quarantine, reason_counts
 
 # Given parameters, so that scoring can be checked apart from fitting.
 GIVEN_CENTRES = [[0.58, -1.68, -1.7], [-1.62, 0.42, 0.39], [0.43, -0.28, -0.22], [0.12, 0.91, 0.87]]
@@ -104,6 +107,42 @@ def reco_lookup_fallback(t: Tables) -> DataFrame:
     return settled(interactions.lookup_or_fallback(asked, recs, best, "description", ["item", "score"]))
 
 
+def _doubtful(t: Tables) -> DataFrame:
+    """The raw lines as CSV records, some of them damaged: by invoice number, a field that can't be read or one too many."""
+    number = F.expr("CAST(replace(invoice_no, 'C', '') AS BIGINT)")
+    damaged = {"quantity": (89, "x"), "invoice_date": (83, "yesterday "), "unit_price": (79, "about "), "customer_id": (73, "no ")}
+    fields = as_text(t.raw).withColumn("n", number)
+    for name, (every, word) in damaged.items():
+        kept = F.col(name).cast("string")
+        fields = fields.withColumn(name, F.when(F.col("n") % every == 3, F.concat(F.lit(word), kept)).otherwise(kept))
+    record = F.to_csv(F.struct(*LINE_COLUMNS), {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"'})
+    return fields.select(F.when(F.col("n") % 71 == 3, F.concat(record, F.lit(",surplus"))).otherwise(record).alias("record"))
+
+
+def _quarantined(t: Tables) -> tuple[DataFrame, DataFrame]:
+    return quarantine(judge_records(_doubtful(t), "record"), f"{shared_dir(t.spark)}/tillroll/quarantine-{uuid.uuid4().hex}")
+
+
+@query
+def quarantined_lines(t: Tables) -> DataFrame:
+    """Rejected lines with what couldn't be read; of records with too many fields, the last."""
+    _, rejected = _quarantined(t)
+    last = F.when(F.col("reason") == "malformed", F.element_at(F.split("rejected_text", ","), -1)).otherwise(F.substring_index("rejected_text", " ", 1))
+    first = F.when(F.col("reason") == "quantity", F.col("rejected_text")).otherwise(last)
+    return rejected.select("reason", "invoice_no", "stock_code", first.alias("rejected"))
+
+
+@query
+def quarantine_counts(t: Tables) -> DataFrame:
+    return reason_counts(judge_records(_doubtful(t), "record"))
+
+
+@query
+def quarantine_accepted(t: Tables) -> DataFrame:
+    good, _ = _quarantined(t)
+    return as_text(good)
+
+
 # cleaning
 
 
@@ -172,6 +211,70 @@ def clean_audit(t: Tables) -> DataFrame:
     return cleaning.clean_audit(t.raw)
 
 
+SKETCHED = ["unit_price", "quantity", "total_amount"]
+QUARTERS = [0.25, 0.5, 0.75, 0.95]
+
+
+@query
+def frequency_sketched(t: Tables) -> DataFrame:
+    """Invoices per customer, and whether the union of daily sketches is within its bound of them."""
+    checked = sketched.distinct_checked(t.purchases, ["customer_id"], "invoice_no", lambda df: durable(df, "sketches"))
+    return checked.select("customer_id", F.col("exact").alias("frequency"), "within_bound")
+
+
+@query
+def country_reach_sketched(t: Tables) -> DataFrame:
+    """The same for customers per country, where counts are large."""
+    checked = sketched.distinct_checked(t.purchases, ["country"], "customer_id", lambda df: durable(df, "sketches"))
+    return checked.select("country", F.col("exact").alias("customers"), "within_bound")
+
+
+@query
+def quantiles_sketched(t: Tables) -> DataFrame:
+    """Whether quantiles from merged daily sketches have the ranks that they should have."""
+    checked = sketched.quantiles_checked(t.purchases, SKETCHED, QUARTERS, lambda df: durable(df, "sketches"))
+    return checked.select("column", "q", "within_bound")
+
+
+def _months_folder(t: Tables) -> str:
+    return f"{shared_dir(t.spark)}/tillroll/months-{uuid.uuid4().hex}"
+
+
+@query
+def months_rebuilt(t: Tables) -> DataFrame:
+    """Lines and revenue by month, read from monthly files of which one month was damaged and then rebuilt alone."""
+    path = _months_folder(t)
+    partitioned.write_months(t.cleaned, path)
+    busiest = partitioned.with_month(t.cleaned).groupBy("month").count().orderBy(F.desc("count"), "month").first()["month"]
+    wrong = partitioned.with_month(t.cleaned).filter(F.col("month") == busiest).drop("month")
+    partitioned.write_months(wrong.withColumn("quantity", F.lit(0)), path)
+    partitioned.rebuild_months(t.cleaned, path, [busiest])
+    by_month = partitioned.read_months(t.spark, path).groupBy("month")
+    return settled(by_month.agg(F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("quantity")))
+
+
+@query
+def bucketed_customer_totals(t: Tables) -> DataFrame:
+    """Lines per customer beside the customer's frequency, from two tables bucketed alike."""
+    mark = uuid.uuid4().hex
+    lines = partitioned.write_bucketed(t.purchases.select("customer_id", "invoice_no"), f"lines_{mark}")
+    customers = partitioned.write_bucketed(t.customers.select("customer_id", "frequency"), f"customers_{mark}")
+    counted = lines.groupBy("customer_id").agg(F.count(F.lit(1)).alias("lines"))
+    return settled(counted.join(customers, "customer_id").select("customer_id", "lines", "frequency"))
+
+
+@query
+def clean_audit_observed(t: Tables) -> DataFrame:
+    """The audit as counted by the cleaning job itself."""
+    return cleaning.clean_lines_observed(t.raw, lambda df: durable(df, "cleaned"))[1]
+
+
+@query
+def clean_retail_observed(t: Tables) -> DataFrame:
+    """The lines that the counting job cleans and writes."""
+    return as_text(cleaning.clean_lines_observed(t.raw, lambda df: durable(df, "cleaned"))[0])
+
+
 @query
 def profile_columns(t: Tables) -> DataFrame:
     return settled(cleaning.profile_columns(t.raw, ["quantity", "unit_price", "customer_id"]))
@@ -357,6 +460,24 @@ def gammagamma_loglik(t: Tables) -> DataFrame:
     return _value_loglik(t, GIVEN_VALUE)
 
 
+def _gradient(histories: DataFrame, columns: list[str], derivatives, names: list[str], point: list[float]) -> DataFrame:
+    _, gradient, _ = clv.mean_derivatives(histories, columns, derivatives, np.array([point]))
+    rows = [(name, round(float(g), 5)) for name, g in zip(names, gradient[0])]
+    return histories.sparkSession.createDataFrame(rows, "parameter string, slope double")
+
+
+@query
+def bgnbd_gradient(t: Tables) -> DataFrame:
+    g, histories = GIVEN_PURCHASE, clv.repeat_summary(t.purchases).withColumn("n", F.lit(1))
+    return _gradient(histories, ["x", "tx", "t"], clv.purchase_derivatives, ["r", "alpha", "a", "b"], [g.r, g.alpha, g.a, g.b])
+
+
+@query
+def gammagamma_gradient(t: Tables) -> DataFrame:
+    g, repeat = GIVEN_VALUE, clv.repeat_summary(t.purchases).filter("x > 0").withColumn("n", F.lit(1))
+    return _gradient(repeat, ["x", "monetary_value"], clv.value_derivatives, ["p", "q", "v"], [g.p, g.q, g.v])
+
+
 @query
 def bgnbd_fit(t: Tables) -> DataFrame:
     m = clv.fit_purchase_model(durable(clv.repeat_summary(t.purchases), "summary"))
@@ -514,6 +635,25 @@ def rules_for_target(t: Tables) -> DataFrame:
     return settled(basket.rules_for_targets(t.cleaned, counts, min_support=TARGET_SUPPORT))
 
 
+def _asked_products(lines: DataFrame) -> DataFrame:
+    """Descriptions whose number, the first 32 bits of the MD5, is divisible by 50; product codes aren't all numbers."""
+    number = F.conv(F.substring(F.md5("description"), 1, 8), 16, 10).cast("bigint")
+    return lines.filter(number % 50 == 0).select("description").distinct()
+
+
+@query
+def rules_for_asked(t: Tables) -> DataFrame:
+    """Rules of single products, from the invoices that hold one of them."""
+    counts = interactions.stored_counts(t.cleaned, "invoice_no")
+    return settled(basket.rules_for_targets(t.cleaned, counts, _asked_products(t.cleaned), TARGET_SUPPORT))
+
+
+@query
+def similar_items_weighted_for(t: Tables) -> DataFrame:
+    """Items similar to single products, from the customers who bought one of them."""
+    return settled(item_cf.similar_items_weighted(interactions.stored_counts(t.cleaned), targets=_asked_products(t.cleaned)))
+
+
 @query
 def user_neighbors(t: Tables) -> DataFrame:
     return settled(user_cf.nearest_customers(interactions.stored_counts(t.purchases)))
@@ -553,8 +693,7 @@ def user_cf_recs_for(t: Tables) -> DataFrame:
 
 @query
 def content_similar_for(t: Tables) -> DataFrame:
-    asked = t.purchases.filter("try_cast(stock_code AS int) % 50 = 2").select("description").distinct()
-    return content.similar_texts(content.description_tfidf(t.purchases), "description", targets=asked)
+    return content.similar_texts(content.description_tfidf(t.purchases), "description", targets=_asked_products(t.purchases))
 
 
 @query
