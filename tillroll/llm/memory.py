@@ -6,25 +6,34 @@ from collections.abc import Callable, Iterable, Iterator
 
 
 class Memory:
-    """Two generations of remembered results; the older goes when the younger is full, so frequent words stay."""
+    """Two generations of remembered results; the older goes when the younger is full, so frequent words stay.
 
-    def __init__(self, make: Callable[[list], Iterable], most: int = 250_000):
-        self.make, self.most = make, most
+    Both have at most ``most`` results, and if ``most_bytes`` is given about that many bytes of strings each.
+    """
+
+    #: What Python needs for an entry besides the characters of a word and the bytes of its result.
+    ENTRY_BYTES = 180
+
+    def __init__(self, make: Callable[[list], Iterable], most: int = 250_000, most_bytes: int | None = None):
+        self.make, self.most, self.most_bytes = make, most, most_bytes
         self.now: dict = {}
         self.old: dict = {}
+        self.bytes = 0
 
     def fill(self, keys: set) -> Callable:
         """The lookup of ``keys``; what isn't remembered is made in one call."""
-        if len(self.now) >= self.most:
-            self.old, self.now = self.now, {}
-        missing = []
+        if len(self.now) >= self.most or (self.most_bytes and self.bytes >= self.most_bytes):
+            self.old, self.now, self.bytes = self.now, {}, 0
+        missing, found = [], []
         for key in keys.difference(self.now):
             if (value := self.old.get(key)) is None:
                 missing.append(key)
             else:
-                self.now[key] = value
-        if missing:
-            self.now.update(zip(missing, self.make(missing)))
+                found.append((key, value))
+        new = [*found, *zip(missing, self.make(missing) if missing else ())]
+        self.now.update(new)
+        if self.most_bytes:
+            self.bytes += sum([len(key) + len(value) for key, value in new]) + self.ENTRY_BYTES * len(new)
         return self.now.__getitem__
 
 

@@ -17,6 +17,7 @@ from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -31,6 +32,9 @@ TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 #: Rests that wait in a task before they are packed together.
 WAITING = 4096
+#: Bytes of remembered words in a process, half of what it may hold; words that are encoded as one text.
+WORD_BYTES = 160_000_000
+JOINED_WORDS = 64
 #: Tokens of a step group.
 STEP_TOKENS = 64 * WINDOW
 SCHEMA = (
@@ -55,13 +59,38 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words = Memory(self._encoded)
+        self.words = Memory(self._encoded_words, most=1 << 62, most_bytes=WORD_BYTES)
+        # a special token ends the word before it and starts the next, so many words are encoded as one text
+        self.between = next((t for t in self.special if self._separates(t)), None)
+        self.between_id = None if self.between is None else self.tokenizer.token_to_id(self.between)
+
+    def _separates(self, token: str) -> bool:
+        """Whether words joined by ``token`` get the ids that they get alone, with the token's id between them."""
+        trial = ["a", "the", "123", "é", "x-y", "...", "漢字", "a"]
+        joined = self.tokenizer.encode(token.join(trial), add_special_tokens=False).ids
+        alone = [one.ids for one in self.tokenizer.encode_batch_fast(trial, add_special_tokens=False)]
+        return joined == [i for n, ids in enumerate(alone) for i in ([self.tokenizer.token_to_id(token)] if n else []) + ids]
 
     def _encoded(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), 1000):
             for one in self.tokenizer.encode_batch_fast(texts[at : at + 1000], add_special_tokens=False):
                 yield array("I", one.ids).tobytes()
 
+    def _encoded_words(self, words: list[str]) -> Iterator[bytes]:
+        if self.between is None:
+            yield from self._encoded(words)
+            return
+        for at in range(0, len(words), JOINED_WORDS):
+            some = words[at : at + JOINED_WORDS]
+            ids = np.array(self.tokenizer.encode(self.between.join(some), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(ids == self.between_id)
+            assert len(cuts) == len(some) - 1, "a word holds the token between words"
+            data, start = ids.tobytes(), 0
+            for cut in (4 * cuts).tolist():
+                yield data[start:cut]
+                start = cut + 4
+            yield data[start:]
+
     def _plain(self, text: str) -> bool:
         return (
             not any([token in text for token in self.special])
