@@ -5,6 +5,8 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+from tillroll.llm import cells, minhash
+from tillroll.llm.common import stored
 from tillroll.llm.minhash import components, drop_near_copies, near_duplicates
 from tillroll.llm.shingles import shingle_sets
 
@@ -59,9 +61,38 @@ def corpus(seed):
     return list(enumerate(texts, 100))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+def alike(seed, n, words=200, changes=4):
+    """Copies of one text with some changed words each: most aren't similar enough to each other, or to any one of them."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(1000)}" for _ in range(words)]
+    texts = []
+    for _ in range(n):
+        own = list(base)
+        for _ in range(changes):
+            own[rng.randrange(words)] = f"edit{rng.randrange(10**6)}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_large_groups_leave_few_rows(spark, monkeypatch):
+    rows = list(enumerate(alike(3, 300)))
+    made = {}
+
+    def counted(df, name):
+        out = stored(df, name)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+
+    for module in (minhash, cells):
+        monkeypatch.setattr(module, "stored", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows)
+    assert made["links"] <= 4 * len(rows) and made["cells"] <= 4 * len(rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4, 5])
 def test_components_equal_brute_force(spark, seed):
-    rows = corpus(seed)
+    rows = corpus(seed) + list(enumerate(alike(seed, 90), 5000))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs).collect()}
     assert got == brute(rows)

@@ -6,12 +6,10 @@ than MATCHES shared values can't reach the match threshold: both are dropped.  O
 classes that match MATCHES times must share one of the first (shared - MATCHES + 1) values of each, so only those
 prefixes are posted and the frequent rest is skipped.
 
-Groups of copies would meet in all pairs.  So a first round compares each class with one pivot only, the smallest of
-its postings that it shares most with; confirmed links join classes to components.  A second round takes what met
-under a value and is still in different components.  Posting lists are cut in blocks, and a task counts the collisions
-of two blocks of a list in longer signatures of one byte a coordinate; only pairs over their match threshold leave it,
-each under the first value that both share.  Links are confirmed on full sets.  The chance to miss a pair at the
-similarity threshold is 3e-6 for the postings and 1e-6 for the longer signatures, and falls quickly above it.
+Classes that meet under a posted value are compared in cells (see ``cells``): a task gets the signatures of two blocks of
+classes that met, counts collisions of all coordinates, confirms the pairs over the match threshold on full sets and
+returns a forest over the links, so that a group of any size leaves rows in proportion to its members.  The chance to
+miss a pair at the similarity threshold is 3e-6, and falls quickly above it.
 """
 
 from __future__ import annotations
@@ -24,26 +22,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import HOT_SHARE, join_groups, stored, text_or_empty
+from tillroll.llm.cells import add_overlaps, cells_of, forest, hot_from, posts_of, with_counted
+from tillroll.llm.common import join_groups, stored, text_or_empty
 from tillroll.llm.memory import groups_of
 from tillroll.llm.shingles import mix, shingle_sets
 
 COORDINATES = 64
 MATCHES = 32
-#: Coordinates of the longer signatures, and the collisions that a pair needs there.
-MARKS, MARK_MATCHES = 1024, 703
-#: Postings of a block in the second round.
-BLOCK_POSTS = 512
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Members of a block of comparisons with one pivot.
-BLOCK = 200
 
 _U = np.uint64
 _random = np.random.Generator(np.random.PCG64(17))
 _FACTOR = _random.integers(1, 1 << 63, COORDINATES, dtype=_U) * _U(2) + _U(1)
 _OFFSET = _random.integers(0, 1 << 63, COORDINATES, dtype=_U)
-_MARK_FACTOR = _random.integers(1, 1 << 63, MARKS, dtype=_U) * _U(2) + _U(1)
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
@@ -55,12 +47,9 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return (mix(least) & ~_U(COORDINATES - 1)) | np.arange(COORDINATES, dtype=_U)
 
 
-def marks(hashes: np.ndarray) -> np.ndarray:
-    """The longer signature: a byte of each coordinate's minimum."""
-    least = np.full(MARKS, ~_U(0))
-    for at in range(0, len(hashes), 1024):
-        np.minimum(least, (hashes[at : at + 1024, None] * _MARK_FACTOR).min(0), out=least)
-    return (mix(least) >> _U(56)).astype(np.uint8)
+def digest_of(hashes: np.ndarray) -> str | None:
+    """The name of a set; the empty one has none."""
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).hexdigest() if len(hashes) else None
 
 
 def signed(docs: DataFrame) -> DataFrame:
@@ -74,7 +63,7 @@ def signed(docs: DataFrame) -> DataFrame:
                     [
                         pa.array([doc for doc, _ in group], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets]),
+                        pa.array([digest_of(s) for s in sets]),
                         pa.array([signature(s).view(np.int64) if len(s) else None for s in sets], pa.list_(pa.int64())),
                     ],
                     names=["doc_id", "n_shingles", "set_digest", "keys"],
@@ -85,21 +74,11 @@ def signed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _with_counted(rows: DataFrame, counts: DataFrame, key: str, hot_from: float) -> DataFrame:
-    """Inner join of ``rows`` with ``counts`` (one row per key, its rows in "posted").
-
-    Keys with over ``hot_from`` rows are broadcast; their number is bounded by all rows over hot_from.
-    """
-    hot, cold = counts.filter(F.col("posted") > hot_from), counts.filter(F.col("posted") <= hot_from)
-    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return rows.join(F.broadcast(hot), key).unionByName(others.join(cold, key))
-
-
 def prefixes(classes: DataFrame, total: int) -> DataFrame:
     """node, n_shingles, keys (shared values, rarest first) and prefix of each class that can match another."""
     posts = classes.select("node", F.explode("keys").alias("key"))
     counts = stored(posts.groupBy("key").agg(F.count("*").alias("posted")).filter("posted > 1"), "minhash-counts")
-    shared = _with_counted(posts, counts, "key", max(100, total * HOT_SHARE))
+    shared = with_counted(posts, counts, "key", hot_from(total))
     gathered = (
         shared.groupBy("node")
         .agg(F.sort_array(F.collect_list(F.struct("posted", "key"))).alias("found"))  # COORDINATES at most
@@ -109,92 +88,52 @@ def prefixes(classes: DataFrame, total: int) -> DataFrame:
     return gathered.select("node", "shared", F.expr(f"slice(shared, 1, size(shared) - {MATCHES} + 1)").alias("prefix"))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough.
-
-    Each pivot a is compared with blocks of about BLOCK of its members; a task sees a block's pivot first, then streams
-    the members.
-    """
-    most = pairs.groupBy("a").count().agg(F.max("count")).first()[0] or 0
-    blocks = -(-most // BLOCK) or 1
-    dealt = pairs.withColumn("block", F.pmod(F.xxhash64("b"), F.lit(blocks)).cast("int"))
-    sets = sets.select("node", "hashes")
-    members = dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "block", F.col("b").alias("member"), "hashes")
-    pivots = (
-        dealt.select("a", "block").distinct().join(sets.withColumnRenamed("node", "a"), "a")
-        .select("a", "block", F.lit(None).cast("long").alias("member"), "hashes")
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivot, own, held = np.zeros(0, _U), None, (None, None)
-        for batch in batches:
-            links = []
-            for a, block, member, hashes in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                values = np.frombuffer(hashes, "<u8")
-                if member is None:
-                    pivot, held = values, (a, block)
-                    continue
-                assert held == (a, block), "a block's pivot comes first"
-                both = len(np.intersect1d(pivot, values, assume_unique=True))
-                if 100 * both >= PERCENT * (len(pivot) + len(values) - both):
-                    links.append((a, member))
-            if links:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"])
-
-    return (
-        pivots.unionByName(members)
-        .repartition("a", "block")
-        .sortWithinPartitions("a", "block", F.col("member").asc_nulls_first())
-        .mapInArrow(run, "a long, b long")
-    )
-
-
-def met_often(posts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a posting and collide MARK_MATCHES times in their marks.
-
-    ``posts`` has key, node, component, posted (postings of the key), marks and prefix.  A key's list is cut in blocks
-    by node; a task compares two blocks.
-    """
-    cut = posts.withColumn("blocks", F.ceil(F.col("posted") / BLOCK_POSTS).cast("int")).withColumn(
-        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    )
-    cells = cut.select(
-        "key", "node", "component", "marks", "prefix", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select("key", "node", "component", "marks", "prefix", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-
-    def compare(key: int, i: int, j: int, rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        node, part, seen, prefix, own = zip(*rows)
-        if len(set(part)) == 1:
+def compared(cells: DataFrame) -> DataFrame:
+    """a, b: a forest over the links inside each cell; ``cells`` has low, high, block, node, keys and hashes."""
+
+    def links(low: int, high: int, rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        sides = []
+        for block in (low, high):
+            own = [row[1:] for row in rows if row[0] == block]
+            nodes, keys, hashes = zip(*own)
+            sides.append((np.array(nodes), np.array(keys), [np.frombuffer(h, "<u8") for h in hashes]))
+        (l_node, l_keys, l_sets), (r_node, r_keys, r_sets) = sides
+        collisions = np.zeros((len(l_node), len(r_node)), np.int16)
+        for i in range(COORDINATES):
+            collisions += l_keys[:, i, None] == r_keys[None, :, i]
+        open_pairs = collisions >= MATCHES
+        if low == high:
+            np.fill_diagonal(open_pairs, False)
+        left, right = np.flatnonzero(open_pairs.any(1)), np.flatnonzero(open_pairs.any(0))
+        if not len(left):
             return
-        node, part, own = np.array(node), np.array(part), np.array(own)
-        seen = np.frombuffer(b"".join(seen), np.uint8).reshape(len(rows), MARKS)
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        for row in left:
-            others = right[(part[right] != part[row]) & ((node[right] > node[row]) if i == j else True)]
-            for other in others[(seen[others] == seen[row]).sum(1) >= MARK_MATCHES]:
-                if min(set(prefix[row]).intersection(prefix[other])) == key:  # once, under the first value that both share
-                    low, high = sorted((int(node[row]), int(node[other])))
-                    yield low, high
+        both = np.zeros((len(left), len(right)), np.int32)
+        sizes = [np.array([len(sets[i]) for i in some]) for sets, some in ((l_sets, left), (r_sets, right))]
+        values = [np.concatenate([sets[i] for i in some]) for sets, some in ((l_sets, left), (r_sets, right))]
+        add_overlaps(both, *[(np.repeat(np.arange(len(n)), n), v) for n, v in zip(sizes, values)])
+        linked = open_pairs[np.ix_(left, right)] & (100 * both >= PERCENT * (sizes[0][:, None] + sizes[1][None, :] - both))
+        yield from forest(linked, l_node[left], r_node[right])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, rows, pairs = None, [], []
+        cell, rows, found = None, [], []
         for batch in batches:
-            for key, i, j, *row in zip(*(batch.column(c).to_pylist() for c in range(8))):
-                if (key, i, j) != cell:
-                    if len(rows) > 1:
-                        pairs += compare(*cell, rows)
-                    cell, rows = (key, i, j), []
+            for low, high, *row in zip(*(batch.column(c).to_pylist() for c in range(6))):
+                if (low, high) != cell:
+                    if rows:
+                        found += links(*cell, rows)
+                    cell, rows = (low, high), []
                 rows.append(row)
-            if pairs:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs)], names=["a", "b"])
-                pairs = []
-        if len(rows) > 1 and (pairs := list(compare(*cell, rows))):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs)], names=["a", "b"])
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+                found = []
+        if rows and (found := list(links(*cell, rows))):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
+    partitions = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # merged by bytes, large cells would share a task
     return (
-        cells.select("key", "i", "j", "node", "component", "marks", "prefix", "own")
-        .repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j")
+        cells.select("low", "high", "block", "node", "keys", "hashes")
+        .repartition(partitions, "low", "high")
+        .sortWithinPartitions("low", "high")
         .mapInArrow(run, "a long, b long")
     )
 
@@ -224,57 +163,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """Components of linked documents.
 
     ``docs`` needs doc_id and text; other columns are ignored.  A null text counts as empty; documents without words
-    are linked with nothing.  Rows of one doc_id are taken for one document and all returned; a row without doc_id can
-    be linked only by an equal set.  Returns doc_id, n_shingles, component_id, kept for every row.
+    are linked with nothing.  Rows of one doc_id are taken for one document and all returned; where their texts differ,
+    the set of the smallest digest is compared with others.  A row without doc_id can be linked only by an equal set.
+    Returns doc_id, n_shingles, component_id, kept for every row; an empty table gives none.
     """
     rows = stored(signed(docs), "signatures")
     classes = stored(
         rows.filter("set_digest IS NOT NULL").groupBy("set_digest").agg(
-            F.min("doc_id").alias("node"), F.count("*").alias("class_size"), F.min_by("keys", "doc_id").alias("keys")
+            F.min("doc_id").alias("node"), F.count("*").alias("class_size"), F.first("n_shingles").alias("entries"), F.first("keys").alias("keys")
         ),
         "classes",
     )
-    known = classes.filter("node IS NOT NULL AND keys IS NOT NULL")
+    chosen = classes.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("set_digest", "entries", "keys")).alias("set"))
+    known = stored(chosen.select("node", "set.*"), "nodes")
     posted = stored(prefixes(known, known.count()), "prefixes")
-    wanted = posted.select("node")
+    posts = posts_of(posted.select("node", F.explode("prefix").alias("key")), known.count())
+    wanted = posts.select("node").distinct()
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for group in groups_of(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 sets = shingle_sets([text for _, text in group])
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([n for n, _ in group], pa.int64()),
-                        pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
-                        pa.array([marks(s).tobytes() for s in sets], pa.binary()),
-                    ],
-                    names=["node", "hashes", "marks"],
+                    [pa.array([n for n, _ in group], pa.int64()), pa.array([digest_of(s) for s in sets]), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
+                    names=["node", "set_digest", "hashes"],
                 )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), text_or_empty("text").alias("text")).join(wanted, "node", "left_semi")
-    sets = stored(texts.mapInArrow(full_sets, "node long, hashes binary, marks binary").dropDuplicates(["node"]), "sets")
-
-    # first round: each class with the pivot it shares most with
-    posts = stored(posted.select("node", F.explode("prefix").alias("key")), "posts")
-    pivots = stored(posts.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("posted")).filter("posted > 1"), "pivots")
-    hot_from = max(100, posted.count() * HOT_SHARE)
-    star = _with_counted(posts, pivots, "key", hot_from).filter("pivot < node").groupBy("node", "pivot").agg(F.count("*").alias("n"))
-    first = star.groupBy("node").agg(F.max(F.struct("n", -F.col("pivot"))).alias("best")).select((-F.col("best")["col2"]).alias("a"), F.col("node").alias("b"))
-    links = stored(confirmed(stored(first, "pairs"), sets), "links")
-    label = components(links)
-
-    # second round: what met under a value and is still apart
-    placed = posts.join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    placed = stored(placed, "posts")
-    apart = stored(
-        placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("posted"))
-        .filter("low < high").select("key", "posted"),
-        "apart",
-    )
-    carried = sets.select("node", "marks").join(posted.select("node", "prefix"), "node")
-    open_posts = _with_counted(placed, apart, "key", hot_from).join(carried, "node")
-    more = confirmed(stored(met_often(open_posts), "pairs"), sets)
-    label = components(links.unionByName(stored(more, "links")))
+    sets = texts.mapInArrow(full_sets, "node long, set_digest string, hashes binary")
+    sets = stored(sets.join(known.select("node", "set_digest", "keys"), ["node", "set_digest"]).dropDuplicates(["node"]), "sets")
+    cells = cells_of(posts, known.select("node", "entries").join(wanted, "node", "left_semi"))
+    label = components(stored(compared(cells.join(sets, "node")), "links"))
 
     groups = stored(
         classes.join(label, "node", "left").select("set_digest", "class_size", F.coalesce("component", "node").alias("component")), "components"
