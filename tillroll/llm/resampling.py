@@ -37,7 +37,7 @@ _WORD = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(128, 256))
 #: A-Z become lower case, bytes outside words become spaces; other letters are left as they are.
 _TO_WORDS = bytes(b if b in _WORD else 32 for b in bytes(range(256)).lower())
 _GAPS = regex.compile(rb" {2,}")
-#: From a word's start: the ends of the runs of one, two and three words.
+#: The span of up to MOST words from a word's start, each word a group.
 _RUNS = regex.compile(rb"(?<![^ ])([^ ]++)(?: ([^ ]++)(?: ([^ ]++))?)?(?![^ ])")
 
 
@@ -49,18 +49,20 @@ def words_of(text: bytes) -> bytes:
 def gram_codes(words: bytes) -> Iterator[list[int]]:
     """The CRCs of all runs of 1 to MOST words, in lists of about BLOCK."""
     crc, found = zlib.crc32, []
+    add = found.append
     for match in _RUNS.finditer(words, overlapped=True):
-        _, (start, one), (second, two), (third, three) = match.regs
-        code = crc(words[start:one])
-        found.append(code)
-        if second > 0:  # a CRC can be carried on over the rest of the span
-            code = crc(words[one:two], code)
-            found.append(code)
-            if third > 0:
-                found.append(crc(words[two:three], code))
+        one, two, three = match.groups()
+        code = crc(one)
+        add(code)
+        if two is not None:  # the CRC is carried on over the rest of the span
+            code = crc(two, crc(b" ", code))
+            add(code)
+            if three is not None:
+                add(crc(three, crc(b" ", code)))
         if len(found) >= BLOCK:
             yield found
             found = []
+            add = found.append
     yield found
 
 
@@ -94,6 +96,13 @@ def unpacked(grams: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return pairs[:, 0], pairs[:, 1], np.cumsum(pc.binary_length(grams).to_numpy()) // 4
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches: numbers take several times the bytes of their packed form."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def counted(docs: DataFrame, id_column: str = "doc_id", buckets: int = BUCKETS) -> DataFrame:
     """doc_id, n_words and grams (``packed`` bucket counts) of every row; at most 65,536 buckets."""
 
@@ -120,7 +129,7 @@ def bucket_sums(grams: DataFrame, buckets: int = BUCKETS) -> dict[int, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             found, counts, _ = unpacked(batch.column(0))
             total += np.bincount(found, counts, buckets).astype(np.int64)  # exact below 2**53
         found = np.flatnonzero(total)
@@ -164,7 +173,7 @@ def resample(
     gain = gains(bucket_sums(grams, buckets), bucket_sums(wanted, buckets), buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found, counts, ends = unpacked(batch.column(2))
             n_features, weight = (
                 np.diff(np.concatenate(([0], np.cumsum(part)))[ends], prepend=0) for part in (counts, counts * gain[found])
