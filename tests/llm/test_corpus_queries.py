@@ -3,6 +3,7 @@
 import pytest
 from check_queries import connect, difference
 
+import __spark_entry__ as entry
 import corpus_pipeline
 from tillroll.llm.common import table
 from tillroll.llm.oracles import ORACLES
@@ -17,6 +18,12 @@ def test_query_equals_its_sql(spark, name):
     assert problem is None and rows > 0
 
 
+def test_operators_are_registered():
+    named = set(entry.queries())
+    assert set(QUERIES) | {"pipeline"} <= named and set(ORACLES) <= set(entry.oracle_sql())
+    assert {int(name.split("_")[0].removeprefix("op")) for name in QUERIES} == set(range(1, 14))
+
+
 def test_pipeline_stages(spark):
     docs = table(spark, FOLDER, "documents").cache()
     columns, before = docs.columns, docs.count()

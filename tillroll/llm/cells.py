@@ -43,6 +43,19 @@ def hot_from(n_rows: int) -> float:
     return max(100, n_rows * HOT_SHARE)
 
 
+def posts_of(lists: DataFrame, n_nodes: int) -> DataFrame:
+    """key, node of ``lists`` (key, node, no row twice): lists of a single node are left out, and of equal lists all but one.
+
+    Alike sets meet in many lists of the same nodes; which lists are equal is told by size, ends and a 64-bit sum of them.
+    """
+    told = lists.groupBy("key").agg(
+        F.count("*").alias("posted"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor(F.xxhash64("node")).alias("mark")
+    )
+    kept = told.filter("posted > 1").groupBy("posted", "low", "high", "mark").agg(F.min("key").alias("key"))
+    met = stored(kept.select("key", "posted"), "lists")
+    return stored(with_counted(lists, met, "key", hot_from(n_nodes)).select("key", "node"), "posts")
+
+
 def blocks_of(posts: DataFrame, sizes: DataFrame) -> DataFrame:
     """node, block of every node in ``posts`` (key, node); ``sizes`` has node and its entries.  Both must be stored."""
     hot = hot_from(posts.count())

@@ -3,8 +3,9 @@
 The global order of n-grams is by the number of distinct sets that hold them, then by hash.  Three steps:
 
 1. A set that links with another shares at least PERCENT of its n-grams with it, so it has few that no other set holds.
-   N-grams of a first part of the hash space (SHARE of it) are counted; sets that have too many of their own there
-   already can't link and go.  No text is lost by this whatever the part; most are decided by it.
+   N-grams of a first part of the hash space (SHARE of it) are dealt to buckets, packed, and counted; sets that have too
+   many of their own there already can't link and go.  No link is lost by this whatever the part; most sets are decided
+   by it.
 2. The n-grams of what is left are counted whole and ordered.  Two linked sets share one of the first
    (size - least overlap + 1) n-grams of each, so only these prefixes are posted; n-grams of one set are skipped.
 3. The order is cut in FRAGMENTS at quantiles of the posted n-grams, and each set in its segments.  Sets that meet in a
@@ -22,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.cells import add_overlaps, cells_of, forest, hot_from, with_counted
+from tillroll.llm.cells import add_overlaps, cells_of, forest, hot_from, posts_of, with_counted
 from tillroll.llm.common import join_groups, stored, text_or_empty
 from tillroll.llm.memory import groups_of
 from tillroll.llm.minhash import components
@@ -35,7 +37,10 @@ from tillroll.llm.shingles import shingle_sets
 PERCENT = 80
 FRAGMENTS = 8
 #: The first part of the hash space, in sixteenths.
-SHARE = 5
+SHARE = 7
+#: n-grams of a bucket of the hash space, about, and characters of a group of texts whose n-grams are packed together.
+BUCKET_GRAMS = 1 << 20
+CHARACTERS = 8_000_000
 _U = np.uint64
 
 
@@ -63,17 +68,108 @@ def _sets(docs: DataFrame, columns: dict[str, str], make) -> DataFrame:
     return small.mapInArrow(run, ", ".join(f"{name} {kind}" for name, kind in columns.items()))
 
 
-def open_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, share: int = SHARE) -> DataFrame:
-    """The rows of ``classes`` (node, n_shingles) that the first part of the hash space doesn't decide."""
-    limit = _U(share << 60) if share < 16 else None
+def _lone_posts(docs: DataFrame, share: int, buckets: int) -> DataFrame:
+    """The n-grams of the first part of the hash space as packed rows, one per group of texts and bucket of the hash space.
 
-    def first_part(_, hashes):
-        part = hashes if limit is None else hashes[: np.searchsorted(hashes, limit)]
-        return (set_id(hashes), part.view(np.int64)) if len(part) else None
+    ``grams`` of one set of the group alone come with their ``nodes`` and how many each has (``sizes``); for those that
+    several of its sets hold, ``shared``, that is all there is to know, so a frequent one is sent once per group.
+    ``texts`` numbers the group.
+    """
+    width = _U((share << 60) // buckets + 1)
 
-    posts = _sets(docs, {"node": "long", "part": "array<long>"}, first_part).select("node", F.explode("part").alias("gram"))
-    own = posts.groupBy("gram").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter("node = last")
-    alone = own.groupBy("node").agg(F.count("*").alias("alone"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for group in groups_of(((None, text) for text in batch.column(0).to_pylist()), CHARACTERS):
+                number += 1
+                parts = {}
+                for hashes in shingle_sets([text for _, text in group]):
+                    if len(hashes):
+                        parts[set_id(hashes)] = hashes if share > 15 else hashes[: np.searchsorted(hashes, _U(share << 60))]
+                nodes = np.array(list(parts), np.int64)
+                grams = np.concatenate([*parts.values(), np.zeros(0, _U)])
+                owner = np.repeat(np.arange(len(nodes)), [len(p) for p in parts.values()])
+                order = np.argsort(grams, kind="stable")
+                grams, owner = grams[order], owner[order]
+                starts = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1]))) if len(grams) else np.zeros(0, int)
+                once = np.diff(np.append(starts, len(grams))) == 1
+                lone, shared = starts[once], grams[starts[~once]]
+                grams, owner = grams[lone], owner[lone]
+                bucket = (grams // width).astype(np.int64)
+                order = np.lexsort((owner, bucket))
+                grams, owner, bucket = grams[order], owner[order], bucket[order]
+                found = np.unique(np.concatenate([bucket, (shared // width).astype(np.int64)]))
+                cuts = np.searchsorted(bucket, np.append(found, buckets))
+                shared_cuts = np.searchsorted((shared // width).astype(np.int64), np.append(found, buckets))
+                rows = []
+                for i, b in enumerate(found):
+                    own, n = np.unique(owner[cuts[i] : cuts[i + 1]], return_counts=True)
+                    packed = (grams[cuts[i] : cuts[i + 1]], nodes[own], n.astype("<u4"), shared[shared_cuts[i] : shared_cuts[i + 1]])
+                    rows.append((int(b), number, *[part.tobytes() for part in packed]))
+                if rows:
+                    yield pa.RecordBatch.from_pydict(dict(zip(schema.names, map(list, zip(*rows)))), schema=schema)
+
+    schema = pa.schema([("bucket", pa.int64()), ("texts", pa.int64())] + [(n, pa.binary()) for n in ("grams", "nodes", "sizes", "shared")])
+    columns = "bucket long, texts long, grams binary, nodes binary, sizes binary, shared binary"
+    return docs.select(text_or_empty("text").alias("text")).mapInArrow(run, columns)
+
+
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each value of the first column, without it; rows come in its order."""
+    held, rows = None, []
+    for batch in batches:
+        for key, *row in zip(*(batch.column(i).to_pylist() for i in range(len(batch.schema)))):
+            if key != held:
+                if rows:
+                    yield rows
+                held, rows = key, []
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+def alone_counts(docs: DataFrame, share: int, buckets: int, partitions: int) -> DataFrame:
+    """node, alone: how many n-grams of the first part of the hash space each set holds alone; sets without any have no row.
+
+    A bucket answers each group of texts in one row, and a group adds up its answers.
+    """
+
+    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_key(batches):
+            grams, nodes, sizes, shared = (np.frombuffer(b"".join(c), t) for c, t in zip(list(zip(*rows))[1:], ("<u8", "<i8", "<u4", "<u8")))
+            place = np.repeat(np.arange(len(nodes)), sizes)  # a set of a group of texts
+            order = np.argsort(grams, kind="stable")
+            grams, place = grams[order], place[order]
+            starts = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1]))) if len(grams) else np.zeros(0, int)
+            if not len(starts):
+                continue
+            # copies of a text in several groups hold an n-gram as one set
+            single = np.minimum.reduceat(nodes[place], starts) == np.maximum.reduceat(nodes[place], starts)
+            single &= ~np.isin(grams[starts], shared)
+            n = np.bincount(place[np.repeat(single, np.diff(np.append(starts, len(grams))))], minlength=len(nodes))
+            ends = np.cumsum([len(row[2]) // 8 for row in rows])
+            out = [(row[0], own[k > 0].tobytes(), k[k > 0].astype("<u4").tobytes()) for row, own, k in zip(rows, np.split(nodes, ends), np.split(n, ends))]
+            yield pa.RecordBatch.from_pydict(dict(zip(schema.names, map(list, zip(*out)))), schema=schema)
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_key(batches):
+            nodes, n = (np.frombuffer(b"".join(c), t) for c, t in zip(zip(*rows), ("<i8", "<u4")))
+            nodes, at = np.unique(nodes, return_inverse=True)
+            alone = np.bincount(at, n, len(nodes)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(alone)], names=["node", "alone"])
+
+    schema = pa.schema([("texts", pa.int64()), ("nodes", pa.binary()), ("counts", pa.binary())])
+    posts = _lone_posts(docs, share, buckets).repartition(partitions, "bucket").sortWithinPartitions("bucket")
+    answered = posts.mapInArrow(answers, "texts long, nodes binary, counts binary").repartition(partitions, "texts").sortWithinPartitions("texts")
+    # every group that holds a set has its whole count
+    return answered.mapInArrow(totals, "node long, alone long").groupBy("node").agg(F.max("alone").alias("alone"))
+
+
+def open_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, share: int = SHARE) -> DataFrame:
+    """The rows of ``classes`` (node, n_shingles) that the first part of the hash space doesn't decide."""
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = classes.agg(F.sum("n_shingles")).first()[0] or 0
+    alone = alone_counts(docs, share, max(partitions, -(-total * share // 16 // BUCKET_GRAMS)), partitions)
     left = classes.join(alone, "node", "left").filter(100 * (F.col("n_shingles") - F.coalesce("alone", F.lit(0))) >= percent * F.col("n_shingles"))
     return left.drop("alone")
 
@@ -83,13 +179,13 @@ def segments(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, fragme
 
     ``classes`` has node, n_shingles and first_doc, a document that holds the set.
     """
-    wanted = classes.select("node", F.col("first_doc").alias("doc_id"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = _sets(texts, {"node": "long", "grams": "array<long>"}, lambda _, s: (set_id(s), s.view(np.int64)) if len(s) else None)
-    # one document may hold several sets, and rows may be repeated
-    sets = sets.join(classes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    wanted = classes.select(F.col("node").alias("wanted"), F.col("first_doc").alias("doc_id"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
+    # a document may hold several sets: each of its rows gives the one that it has
+    sets = _sets(texts.select(F.col("wanted").alias("doc_id"), "text"), {"node": "long", "grams": "array<long>"}, lambda node, s: (node, s.view(np.int64)) if set_id(s) == node else None)
     sets = stored(sets, "open-sets")
+    if sets.count() > classes.count():  # rows that repeat a document
+        sets = stored(sets.dropDuplicates(["node"]), "open-sets")
     posts = sets.select("node", F.explode("grams").alias("gram"))
     counts = stored(posts.groupBy("gram").agg(F.count("*").alias("posted")).filter("posted > 1"), "gram-counts")
     shared = with_counted(posts, counts, "gram", hot_from(classes.count()))
@@ -234,9 +330,7 @@ def jaccard_join(docs: DataFrame, percent: int = PERCENT, fragments: int = FRAGM
     named = classes.filter("first_doc IS NOT NULL")
     may_link = stored(open_classes(docs, named, percent), "open-classes")
     cut = stored(segments(docs, may_link, percent, fragments), "segments")
-    lists = cut.select("node", F.explode("prefix").alias("key"))
-    met = stored(lists.groupBy("key").agg(F.count("*").alias("posted")).filter("posted > 1"), "lists")
-    posts = stored(with_counted(lists, met, "key", hot_from(cut.count())).select("key", "node"), "posts")
+    posts = posts_of(cut.select("node", F.explode("prefix").alias("key")), cut.count())
     cells = cells_of(posts, cut.select("node", "entries"))
     carried = cut.join(may_link.select("node", "copies"), "node").select("node", "n_shingles", "copies", "parts")
     links = stored(compared(cells.join(carried, "node"), percent), "links")
