@@ -151,6 +151,35 @@ def test_toxicity_learns_pairs():
     assert alone[0] < 0.5 and alone[1] < 0.5 and alone[2] > 0.7
 
 
+def neutral_alone(n=8000):
+    """Two terms that don't tell the label, while both or none of them make it likely."""
+    rng = np.random.default_rng(3)
+    one, two = rng.random((2, n)) < 0.5
+    labels = (rng.random(n) < np.where(one == two, 0.9, 0.1)).astype(float)
+    texts = [np.unique([*([1] if a else []), *([2] if b else []), *rng.integers(10, 60, 5)]) for a, b in zip(one, two)]
+    return texts, labels, one, two
+
+
+def test_toxicity_learns_terms_that_are_neutral_alone():
+    texts, labels, one, two = neutral_alone()
+    machine = FactorizationMachine.fit(texts[:6000], labels[:6000])  # the parameters of the query
+    scores, same = machine.scores(texts[6000:]), (one == two)[6000:]
+    assert scores[same].mean() > 0.7 and scores[~same].mean() < 0.3
+    assert np.mean((scores > 0.5) == same) > 0.95
+
+
+def test_scores_are_sums_over_pairs():
+    texts, labels, *_ = neutral_alone(1500)
+    machine = FactorizationMachine.fit(texts, labels, evidence=0.0)
+    for text, score in zip(texts[:50], machine.scores(texts[:50])):
+        total = 0.0
+        for part in machine.parts:
+            x = [int(np.flatnonzero(part.terms == t)[0]) for t in text if t in part.terms]
+            total += part.bias + sum(part.weights[i] for i in x)
+            total += sum(part.factors[i] @ part.factors[j] for n, i in enumerate(x) for j in x[:n]) / max(1, len(x))
+        assert score == pytest.approx(1 / (1 + np.exp(-total)))
+
+
 def test_toxicity_on_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1), (None, 1), (2, None), (9, 0)], "doc_id long, toxic int")
     assert toxicity(odd, labels).count() == odd.count() and toxicity(empty, labels).count() == 0

@@ -3,7 +3,9 @@
 A text is the set of its terms: words and the first letters of longer words, hashed to a fixed number of buckets.  The
 score is the logistic of a bias, a weight per term and, for each pair of terms, the product of their factors, which
 lets a pair count that neither term does alone.  The machine is learnt by one task from a bounded, hash-drawn sample of
-labelled texts; every text of the table is then scored where it is read.
+labelled texts, in two parts: first the terms whose own labels stand out, then all terms that a few texts hold, on what
+the first part leaves open.  The second part is where pairs of terms that are neutral alone are found; it stops, or stays
+empty, when texts that were kept out gain no more.  Every text of the table is then scored where it is read.
 """
 
 from __future__ import annotations
@@ -31,9 +33,12 @@ EPOCHS = 12
 THRESHOLD = 0.7
 #: Lengths of the beginnings of words that are terms of their own.
 STEMS = (4, 5, 6)
-#: A term gets a weight if its texts' labels differ from the others' by so much (likelihood ratio statistic); terms that
-#: differ by chance would let the machine learn single texts by heart.
+#: A term belongs to the first part if its texts' labels differ from the others' by so much (likelihood ratio statistic).
 EVIDENCE = 16.0
+#: Texts of the sample that must hold a term of the second part, which has no other screen.
+LEAST_TEXTS = 5
+#: Share of the sample that is kept out to tell when to stop, and passes without a gain that end the learning.
+VALIDATION, PATIENCE = 0.1, 2
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -80,62 +85,114 @@ def likelihood_ratio(texts: np.ndarray, positive: np.ndarray, all_texts: float,
     return out
 
 
-class FactorizationMachine:
-    """Binary factorization machine on sets of bucket numbers, learnt by AdaGrad on the logistic loss."""
+def logistic(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+class Part:
+    """A bias, and weights and factors of some terms; rows are places among the terms."""
 
     def __init__(self, bias: float, terms: np.ndarray, weights: np.ndarray, factors: np.ndarray):
         self.bias, self.terms, self.weights, self.factors = bias, terms, weights, factors
 
+    def rows(self, texts: list[np.ndarray]) -> list[np.ndarray]:
+        """The places of each text's terms; terms that the part doesn't know are left out."""
+        if not len(self.terms):
+            return [np.zeros(0, np.int64)] * len(texts)
+        places = [np.minimum(np.searchsorted(self.terms, x), len(self.terms) - 1) for x in texts]
+        return [place[self.terms[place] == x] for place, x in zip(places, texts)]
+
+    def sums(self, rows: list[np.ndarray]) -> np.ndarray:
+        """Bias, weights and products of all pairs, before the logistic."""
+        out = np.empty(len(rows))
+        for at, x in enumerate(rows):
+            own = self.factors[x] / np.sqrt(max(1, len(x)))  # pairs of long texts would drown the terms
+            total = own.sum(0)
+            out[at] = self.bias + self.weights[x].sum() + 0.5 * (total * total - (own * own).sum(0)).sum()
+        return out
+
+    def learn(self, rows: list[np.ndarray], labels: np.ndarray, known: np.ndarray, random: np.random.Generator, rate: float, shrink: float) -> None:
+        """One AdaGrad pass over the rows on the logistic loss; ``known`` is added to each row's sum."""
+        w, v = self.weights, self.factors
+        if not hasattr(self, "steps"):
+            self.steps = [np.full(len(w), 1e-6), np.full(v.shape, 1e-6), 1e-6]
+        gw, gv, gb = self.steps
+        for at in random.permutation(len(rows)):
+            x = rows[at]
+            scale = 1 / np.sqrt(max(1, len(x)))
+            own = v[x] * scale
+            total = own.sum(0)
+            score = known[at] + self.bias + w[x].sum() + 0.5 * float((total * total - (own * own).sum(0)).sum())
+            error = 1 / (1 + np.exp(-np.clip(score, -30, 30))) - labels[at]
+            if abs(error) < 1e-3:
+                continue
+            d = error + shrink * w[x]
+            gw[x] += d * d
+            w[x] -= rate * d / np.sqrt(gw[x])
+            d = error * scale * (total - own) + shrink * v[x]
+            gv[x] += d * d
+            v[x] -= rate * d / np.sqrt(gv[x])
+            gb += error * error
+            self.bias -= rate * error / np.sqrt(gb)
+        self.steps[2] = gb
+
+
+class FactorizationMachine:
+    """Binary factorization machine on sets of bucket numbers: the sum of its parts."""
+
+    def __init__(self, parts: list[Part]):
+        self.parts = parts
+
     @staticmethod
     def fit(
         texts: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS,
-        rate: float = 0.2, shrink: float = 1e-4, evidence: float = EVIDENCE,
+        evidence: float = EVIDENCE, least_texts: int = LEAST_TEXTS, seed: int = 7,
     ) -> "FactorizationMachine":
         flat = np.concatenate(texts) if texts else np.zeros(0, np.int64)
         terms, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
         positive = np.bincount(inverse, np.repeat(labels, [len(t) for t in texts]), len(terms)) if texts else counts
-        often = likelihood_ratio(counts, positive, len(texts), labels.sum()) >= evidence
-        number = np.cumsum(often) - 1
-        ends = np.cumsum([len(t) for t in texts])
-        rows = [number[i[often[i]]] for i in np.split(inverse, ends[:-1])] if texts else []
-        terms = terms[often]
-        random = np.random.default_rng(7)
-        w, v = np.zeros(len(terms)), random.normal(0, 0.01, (len(terms), factors))
-        gw, gv, bias, gb = np.full(len(terms), 1e-6), np.full((len(terms), factors), 1e-6), 0.0, 1e-6
+        stand_out = likelihood_ratio(counts, positive, len(texts), labels.sum()) >= evidence
+        random = np.random.default_rng(seed)
+        bias = 0.0
         if len(labels) and 0 < labels.mean() < 1:
             bias = float(np.log(labels.mean() / (1 - labels.mean())))
+        first, second = (
+            Part(b, own, np.zeros(len(own)), random.normal(0, spread, (len(own), factors)))
+            for b, own, spread in ((bias, terms[stand_out], 0.01), (0.0, terms[counts >= least_texts], 0.1))
+        )
+        rows = first.rows(texts)
+        for _ in range(epochs):
+            first.learn(rows, labels, np.zeros(len(rows)), random, 0.2, 1e-4)
+        order = random.permutation(len(texts))
+        kept_out = order[: int(VALIDATION * len(order))]
+        if not len(kept_out):
+            return FactorizationMachine([first])
+        # what the first part leaves open, told by a first part that hasn't seen the texts
+        learnt = order[len(kept_out) :]
+        blind = Part(bias, first.terms, np.zeros(len(first.terms)), random.normal(0, 0.01, first.factors.shape))
+        for _ in range(epochs):
+            blind.learn([rows[i] for i in learnt], labels[learnt], np.zeros(len(learnt)), random, 0.2, 1e-4)
+        known = blind.sums(rows)
+        rows = second.rows(texts)
+
+        def loss(extra: np.ndarray) -> float:
+            told = np.clip(logistic(known[kept_out] + extra), 1e-6, 1 - 1e-6)
+            return -float(np.mean(labels[kept_out] * np.log(told) + (1 - labels[kept_out]) * np.log(1 - told)))
+
+        best, chosen, waited = loss(np.zeros(len(kept_out))), None, 0
         for _ in range(epochs):
-            for at in random.permutation(len(rows)):
-                x = rows[at]
-                scale = 1 / np.sqrt(max(1, len(x)))  # pairs of long texts would drown the terms
-                own = v[x] * scale
-                total = own.sum(0)
-                score = bias + w[x].sum() + 0.5 * float((total * total - (own * own).sum(0)).sum())
-                error = 1 / (1 + np.exp(-np.clip(score, -30, 30))) - labels[at]
-                if abs(error) < 1e-3:
-                    continue
-                d = error + shrink * w[x]
-                gw[x] += d * d
-                w[x] -= rate * d / np.sqrt(gw[x])
-                d = error * scale * (total - own) + shrink * v[x]
-                gv[x] += d * d
-                v[x] -= rate * d / np.sqrt(gv[x])
-                gb += error * error
-                bias -= rate * error / np.sqrt(gb)
-        return FactorizationMachine(float(bias), terms, w, v)
+            second.learn([rows[i] for i in learnt], labels[learnt], known[learnt], random, 0.1, 2e-3)
+            now = loss(second.sums([rows[i] for i in kept_out]))
+            if now < 0.95 * best:
+                best, waited = now, 0
+                chosen = Part(second.bias, second.terms, second.weights.copy(), second.factors.copy())
+            elif (waited := waited + 1) > PATIENCE:
+                break
+        return FactorizationMachine([first] if chosen is None else [blind, chosen])
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
-        out = np.empty(len(texts))
-        for at, x in enumerate(texts):
-            if len(self.terms):
-                place = np.minimum(np.searchsorted(self.terms, x), len(self.terms) - 1)
-                x = place[self.terms[place] == x]
-            else:
-                x = np.zeros(0, np.int64)
-            own = self.factors[x] / np.sqrt(max(1, len(x)))
-            total = own.sum(0)
-            out[at] = self.bias + self.weights[x].sum() + 0.5 * (total * total - (own * own).sum(0)).sum()
-        return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
+        """Scores of texts given as sorted bucket numbers."""
+        return logistic(sum((part.sums(part.rows(texts)) for part in self.parts), np.zeros(len(texts))))
 
 
 def learn_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
@@ -181,23 +238,19 @@ def fit_toxicity(
         machine = FactorizationMachine.fit(
             [np.frombuffer(t, "<i4").astype(np.int64) for t in rows["terms"]], rows["label"].to_numpy(float), **options
         )
-        useful = np.flatnonzero(machine.weights)
-        return pd.DataFrame(
-            {
-                "bias": [machine.bias],
-                "terms": [machine.terms[useful].astype("<i8").tobytes()],
-                "weights": [machine.weights[useful].astype("<f8").tobytes()],
-                "factors": [machine.factors[useful].astype("<f8").tobytes()],
-            }
-        )
+        useful = [np.flatnonzero(part.weights) for part in machine.parts]
+        arrays = {"terms": "<i8", "weights": "<f8", "factors": "<f8"}
+        packed = {n: [getattr(p, n)[u].astype(t).tobytes() for p, u in zip(machine.parts, useful)] for n, t in arrays.items()}
+        return pd.DataFrame({"part": range(len(useful)), "bias": [p.bias for p in machine.parts], **packed})
 
     terms = learn_rows(docs, labels, sample).mapInArrow(read, "id long, label int, terms binary").withColumn("all", F.lit(0))
-    fitted = terms.groupBy("all").applyInPandas(learn, "bias double, terms binary, weights binary, factors binary").first()
-    if fitted is None:  # no labelled rows: no evidence either way
-        return FactorizationMachine(0.0, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, 1)))
-    weights = np.frombuffer(fitted["weights"], "<f8")
-    factors = np.frombuffer(fitted["factors"], "<f8").reshape(len(weights), -1) if len(weights) else np.zeros((0, 1))
-    return FactorizationMachine(fitted["bias"], np.frombuffer(fitted["terms"], "<i8"), weights, factors)
+    fitted = terms.groupBy("all").applyInPandas(learn, "part int, bias double, terms binary, weights binary, factors binary").collect()
+    parts = []  # none without labelled rows: no evidence either way
+    for row in sorted(fitted, key=lambda r: r["part"]):  # two at most
+        weights = np.frombuffer(row["weights"], "<f8")
+        factors = np.frombuffer(row["factors"], "<f8").reshape(len(weights), -1) if len(weights) else np.zeros((0, 1))
+        parts.append(Part(row["bias"], np.frombuffer(row["terms"], "<i8"), weights, factors))
+    return FactorizationMachine(parts)
 
 
 def score_toxicity(docs: DataFrame, machine: FactorizationMachine, buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
