@@ -2,10 +2,11 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.functions.ids import with_integer_ids
 from tillroll.operators import basket, content, interactions, item_cf, user_cf
-from tillroll.operators.pairs import co_occurrence, nearest_rows
+from tillroll.operators.pairs import _least_blocks, _met_blocks, _paired_blocks, co_occurrence, nearest_rows
 
 SCHEMA = "description string, customer_id bigint, invoice_no string"
 
@@ -220,3 +221,29 @@ def test_dense_and_sparse_products_agree(spark):
     for (a, b), s in got.items():
         assert s == pytest.approx(product[a, b])
     assert len(got) == 40 * 39
+
+
+def test_every_pair_of_rows_meets_in_one_cell_and_rows_are_sent_once_per_block(spark):
+    blocks, n = 6, 60
+    cells = _paired_blocks(spark.range(n).withColumnRenamed("id", "key"), blocks).collect()
+    assert len(cells) == blocks * n  # two copies per block when each side was sent by itself
+    sides = {}
+    for r in cells:
+        cell = sides.setdefault((r.lb, r.rb), (set(), set(), r.both))
+        assert r.both == cell[2] == (r.lb != r.rb)
+        for mark, side in ((r.first, cell[0]), (r.second, cell[1])):
+            if mark:
+                side.add(r.key)
+    met = [frozenset((a, b)) for first, second, _ in sides.values() for a in first for b in second if a < b or (first != second and a != b)]
+    assert len(met) == len(set(met)) == n * (n - 1) // 2
+    assert [_least_blocks(t) for t in (1, 2, 3, 8, 36, 37)] == [1, 2, 2, 4, 8, 9]
+
+
+def test_large_groups_go_to_their_own_blocks_only(spark):
+    rows = [(g, 10 * block + i, block, 1.0) for g, own in ((1, (0, 7)), (2, (3,)), (3, tuple(range(8)))) for block in own for i in range(3)]
+    members = spark.createDataFrame(rows, "grp long, item long, block int, weight double")
+    sent = {}
+    for r in _met_blocks(members, F.lit(1), []).collect():
+        assert sorted(r["items"]) == [10 * r.block + i for i in range(3)]
+        sent.setdefault(r.grp, []).append((r.i, r.j))
+    assert sorted(sent[1]) == [(0, 0), (0, 7), (0, 7), (7, 7)] and sent[2] == [(3, 3)] and len(sent[3]) == 64

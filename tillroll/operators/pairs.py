@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -56,6 +56,22 @@ def _block_counts(cell: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(found, ignore_index=True)
 
 
+def _met_blocks(large_rows: DataFrame, slabs: Column, carried: list[str]) -> DataFrame:
+    """Each group's items of a block, once for every block that the group has items in, with the pair of blocks (i, j)."""
+    packed = large_rows.groupBy("grp", "block").agg(F.collect_list(F.struct("item", "weight", *carried)).alias("m"))
+    present = large_rows.groupBy("grp").agg(F.collect_set("block").alias("present"))
+    sent = packed.join(present, "grp").select(
+        F.pmod(F.xxhash64("grp"), slabs).alias("slab"),
+        "grp",
+        "block",
+        F.col("m.item").alias("items"),
+        F.col("m.weight").alias("weights"),
+        *[F.col(f"m.{c}").alias(f"{c}s") for c in carried],
+        F.explode("present").alias("other"),
+    )
+    return sent.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
+
+
 def co_occurrence(
     members: DataFrame,
     large_group: int = LARGE_GROUP,
@@ -105,24 +121,7 @@ def co_occurrence(
     block = F.floor(F.col("item") / block_items).cast("int")
     large_rows = members.join(large, "grp", "left_semi").withColumn("block", block)
     slabs = F.greatest(F.ceil(large.agg(F.count(F.lit(1))).scalar() / slab_groups), F.lit(1))
-    # a group's rows go to the blocks that it has items in, not to all
-    packed = (
-        large_rows.groupBy("grp", "block")
-        .agg(F.collect_list(F.struct("item", "weight", *carried)).alias("m"))
-        .join(large_rows.groupBy("grp").agg(F.collect_set("block").alias("present")), "grp")
-        .select(
-            F.pmod(F.xxhash64("grp"), slabs).alias("slab"),
-            "grp",
-            "block",
-            F.col("m.item").alias("items"),
-            F.col("m.weight").alias("weights"),
-            *[F.col(f"m.{c}").alias(f"{c}s") for c in carried],
-            F.explode("present").alias("other"),
-        )
-        .withColumn("i", F.least("block", "other"))
-        .withColumn("j", F.greatest("block", "other"))
-        .drop("other")
-    )
+    packed = _met_blocks(large_rows, slabs, carried)
     from_large = packed.groupBy("slab", "i", "j").applyInPandas(
         _block_counts, ", ".join(["a bigint, b bigint, together double", *[f"{e} double" for e in ends]])
     )
@@ -204,6 +203,34 @@ def _best_of_cell(n: int, output_columns: list[str]):
     return run
 
 
+def _own_block(count: int) -> Column:
+    return F.pmod(F.xxhash64("key"), F.lit(count)).cast("int")
+
+
+def _every_block(count: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+
+def _paired_blocks(packed: DataFrame, blocks: int) -> DataFrame:
+    """Cells of two blocks each, every pair of blocks once: a row is sent once per block."""
+    placed = packed.select("*", _own_block(blocks).alias("own"), _every_block(blocks).alias("other"))
+    return placed.select(
+        *packed.columns,
+        F.least("own", "other").alias("lb"),
+        F.greatest("own", "other").alias("rb"),
+        (F.col("own") <= F.col("other")).alias("first"),
+        (F.col("own") >= F.col("other")).alias("second"),
+        (F.col("own") != F.col("other")).alias("both"),
+    )
+
+
+def _crossed_blocks(asking: DataFrame, packed: DataFrame, left_blocks: int, right_blocks: int) -> DataFrame:
+    """Cells of a block of asking rows and a block of all rows."""
+    left = asking.select("*", _own_block(left_blocks).alias("lb"), _every_block(right_blocks).alias("rb"), F.lit(True).alias("first"))
+    right = packed.select("*", _every_block(left_blocks).alias("lb"), _own_block(right_blocks).alias("rb"), F.lit(False).alias("first"))
+    return left.unionByName(right).withColumns({"second": ~F.col("first"), "both": F.lit(False)})
+
+
 def nearest_rows(
     vectors: DataFrame,
     key: str,
@@ -245,29 +272,13 @@ def nearest_rows(
         blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.ceil(F.sum("entries") / block_entries), F.lit(1))
         return int(keys.agg(blocks).first()[0])
 
-    def own(count: int):
-        return F.pmod(F.xxhash64("key"), F.lit(count)).cast("int")
-
-    def other(count: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-
     if targets is None:
         # fewer blocks would leave cores without a cell
-        blocks = max(needed(all_keys), _least_blocks(spark.sparkContext.defaultParallelism))
-        placed = packed.select("*", own(blocks).alias("own"), other(blocks).alias("other"))
-        cells = placed.select(
-            "key", "dims", "weights", F.least("own", "other").alias("lb"), F.greatest("own", "other").alias("rb"),
-            (F.col("own") <= F.col("other")).alias("first"), (F.col("own") >= F.col("other")).alias("second"),
-            (F.col("own") != F.col("other")).alias("both"),
-        )
+        cells = _paired_blocks(packed, max(needed(all_keys), _least_blocks(spark.sparkContext.defaultParallelism)))
     else:
         wanted = targets.select(F.col(key).alias("key")).distinct()
-        right_blocks, left_blocks = needed(all_keys), needed(all_keys.join(wanted, "key", "left_semi"))
-        sides = [
-            packed.join(wanted, "key", "left_semi").select("*", own(left_blocks).alias("lb"), other(right_blocks).alias("rb"), F.lit(True).alias("first")),
-            packed.select("*", other(left_blocks).alias("lb"), own(right_blocks).alias("rb"), F.lit(False).alias("first")),
-        ]
-        cells = sides[0].unionByName(sides[1]).withColumns({"second": ~F.col("first"), "both": F.lit(False)})
+        asking = packed.join(wanted, "key", "left_semi")
+        cells = _crossed_blocks(asking, packed, needed(all_keys.join(wanted, "key", "left_semi")), needed(all_keys))
     kind = packed.schema["key"].dataType.simpleString()
     columns = [key, "neighbor", "similarity"]
     best = cells.groupBy("lb", "rb").applyInPandas(
