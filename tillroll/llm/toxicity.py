@@ -98,9 +98,12 @@ class Part:
     def rows(self, texts: list[np.ndarray]) -> list[np.ndarray]:
         """The places of each text's terms; terms that the part doesn't know are left out."""
         if not len(self.terms):
-            return [np.zeros(0, np.int64)] * len(texts)
-        places = [np.minimum(np.searchsorted(self.terms, x), len(self.terms) - 1) for x in texts]
-        return [place[self.terms[place] == x] for place, x in zip(places, texts)]
+            return [np.zeros(0, np.int32)] * len(texts)
+        out = []
+        for x in texts:
+            place = np.minimum(np.searchsorted(self.terms, x), len(self.terms) - 1).astype(np.int32)
+            out.append(place[self.terms[place] == x])
+        return out
 
     def sums(self, rows: list[np.ndarray]) -> np.ndarray:
         """Bias, weights and products of all pairs, before the logistic."""
@@ -148,9 +151,13 @@ class FactorizationMachine:
         texts: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS,
         evidence: float = EVIDENCE, least_texts: int = LEAST_TEXTS, seed: int = 7,
     ) -> "FactorizationMachine":
-        flat = np.concatenate(texts) if texts else np.zeros(0, np.int64)
-        terms, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
-        positive = np.bincount(inverse, np.repeat(labels, [len(t) for t in texts]), len(terms)) if texts else counts
+        counts = np.zeros(1 + max((int(t[-1]) for t in texts if len(t)), default=0))
+        positive = np.zeros(len(counts))
+        for text, label in zip(texts, labels):  # a text's terms are distinct
+            counts[text] += 1
+            positive[text] += label
+        terms = np.flatnonzero(counts)
+        counts, positive = counts[terms], positive[terms]
         stand_out = likelihood_ratio(counts, positive, len(texts), labels.sum()) >= evidence
         random = np.random.default_rng(seed)
         bias = 0.0
@@ -236,7 +243,7 @@ def fit_toxicity(
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id")
         machine = FactorizationMachine.fit(
-            [np.frombuffer(t, "<i4").astype(np.int64) for t in rows["terms"]], rows["label"].to_numpy(float), **options
+            [np.frombuffer(t, "<i4") for t in rows["terms"]], rows["label"].to_numpy(float), **options
         )
         useful = [np.flatnonzero(part.weights) for part in machine.parts]
         arrays = {"terms": "<i8", "weights": "<f8", "factors": "<f8"}
