@@ -33,7 +33,7 @@ END_ID = 1
 #: Rests that wait in a task before they are packed together.
 WAITING = 4096
 #: Bytes of remembered words in a process, half of what it may hold; words that are encoded as one text.
-WORD_BYTES = 160_000_000
+WORD_BYTES = 60_000_000
 JOINED_WORDS = 64
 #: Tokens of a step group.
 STEP_TOKENS = 64 * WINDOW
