@@ -3,7 +3,6 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
-import pytest
 
 from tillroll.llm import cells, minhash
 from tillroll.llm.common import stored
@@ -90,9 +89,11 @@ def test_large_groups_leave_few_rows(spark, monkeypatch):
     assert made["links"] <= 4 * len(rows) and made["cells"] <= 4 * len(rows)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3, 4, 5])
-def test_components_equal_brute_force(spark, seed):
-    rows = corpus(seed) + list(enumerate(alike(seed, 90), 5000))
+def test_components_equal_brute_force(spark):
+    """Five corpora with a large group of alike texts each, in one run."""
+    rows = []
+    for seed in range(1, 6):
+        rows += [(10_000 * seed + doc, text) for doc, text in corpus(seed) + list(enumerate(alike(seed, 90), 5000))]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs).collect()}
     assert got == brute(rows)
