@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return durable(df, name)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of jobs whose DataFrames are gone, which it does when the driver collects garbage.
+
+    For a step that has written its result and exchanged much for it, before the next one does the same.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.cells import add_overlaps, cells_of, forest, hot_from, posts_of, with_counted
-from tillroll.llm.common import join_groups, stored, text_or_empty
+from tillroll.llm.common import join_groups, release_shuffles, stored, text_or_empty
 from tillroll.llm.memory import groups_of
 from tillroll.llm.minhash import components
 from tillroll.llm.shingles import shingle_sets
@@ -329,7 +329,9 @@ def jaccard_join(docs: DataFrame, percent: int = PERCENT, fragments: int = FRAGM
     )
     named = classes.filter("first_doc IS NOT NULL")
     may_link = stored(open_classes(docs, named, percent), "open-classes")
+    release_shuffles(docs.sparkSession)
     cut = stored(segments(docs, may_link, percent, fragments), "segments")
+    release_shuffles(docs.sparkSession)
     posts = posts_of(cut.select("node", F.explode("prefix").alias("key")), cut.count())
     cells = cells_of(posts, cut.select("node", "entries"))
     carried = cut.join(may_link.select("node", "copies"), "node").select("node", "n_shingles", "copies", "parts")
