@@ -10,7 +10,7 @@ import pytest
 from tillroll.llm.licenses import TEXTS, license_scan
 from tillroll.llm.pii import personal_data
 from tillroll.llm.quality import RULES, quality
-from tillroll.llm.secrets import least_steps, mask_secrets, randomness, scan, secrets
+from tillroll.llm.secrets import least_steps, levels_of, mask_secrets, randomness, scan, secrets
 from tillroll.llm.toxicity import FactorizationMachine, drop_toxic, toxicity
 
 
@@ -104,6 +104,26 @@ def test_random_strings_are_told_from_words(spark):
     assert kept == sum(r.n_random for r in got)
 
 
+def test_keys_are_found_among_many_slugs(spark):
+    rng = random.Random(12)
+    words = ["".join(rng.choices("aeiou", k=1)) + "".join(rng.choices("bdlmnrst", k=1)) + "".join(rng.choices("aeiounrst", k=rng.randrange(2, 6))) for _ in range(400)]
+    slugs = ["-".join(rng.choices(words, k=rng.randrange(5, 12))) + f"-{rng.randrange(100)}" for _ in range(20_000)]
+    keys = ["".join(rng.choices(string.ascii_letters + string.digits, k=rng.randrange(48, 65))) for _ in range(60)]
+    texts = [f"the {' '.join(rng.choices(words, k=10))} {s} end" for s in slugs] + [f"see {k} here" for k in keys]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.n_random for r in secrets(docs).collect()}
+    hits, false = sum(got[20_000 + i] for i in range(60)), sum(got[i] for i in range(20_000))
+    assert hits >= 54 and false <= 0.1 * (hits + false), (hits, false)
+
+
+def test_levels_of_decoys():
+    words = ["alpha", "beta", "gamma", "delta", "omega"]
+    for code, size in ((0, 0), (3, 1), (9, 4)):
+        levels = levels_of(code, size, words)
+        assert levels == levels_of(code, size, words) and levels == sorted(levels) and all(0 < x <= 1 for x in levels)
+    assert len(levels_of(9, 4, words)) > 12  # beyond what as many decoys can show
+
+
 def test_licenses(spark, empty):
     rows = [
         (1, "a/LICENSE", "Licensed under the Apache License, Version 2.0."), (2, "a/b/x", "plain words of prose that say nothing"),

@@ -2,15 +2,16 @@
 
 A long string is read in the smallest encoding that holds its characters and gets p values of three tests of
 randomness: chi-squared for a uniform alphabet, runs about the alphabet's middle, and serial correlation.  Fisher's
-method combines them.  Short strings pass such tests easily, so the result is held against decoys, frequent words and
-numbers joined in the same encoding and range of lengths: the share of decoys that look as random is the string's p
-value.  Benjamini and Hochberg's rule on these, rounded up to steps, controls false discoveries in each range of lengths.
+method combines them.  Short strings pass such tests easily, so the result is held against decoys, the corpus's most
+frequent words and numbers joined in the same encoding and range of lengths: the share of decoys that look as random is
+the string's p value.  Beyond the most random decoys it follows an exponential tail fitted to them, so it has no lower
+bound that a larger corpus would run into.  Benjamini and Hochberg's rule on the p values, rounded up to steps, controls
+false discoveries in each range of lengths.
 """
 
 from __future__ import annotations
 
 import bisect
-import functools
 import math
 import random
 import re
@@ -54,13 +55,18 @@ ENCODINGS = [
 PLACES = [{c: i for i, c in enumerate(alphabet)} for _, alphabet in ENCODINGS]
 #: Lengths at which a new range begins.
 LENGTHS = (20, 24, 32, 48, 96)
-#: Steps of the p value, each a factor of two, and the first one that may ever be reported (a p value of 1/32).
-STEPS, FIRST = 20, 5
+#: Steps of the p value, finer where most strings lie, and the first one that may ever be reported (a p value of 1/32).
+CHANCES = [2.0**-n for n in (*range(15), 17, 21, 28, 40, 64)]
+STEPS, FIRST = len(CHANCES), 5
 #: Least combined p value of the tests of randomness of what is reported.
 FLOOR = 0.001
-#: Decoys of one encoding and range of lengths.
-DECOYS = 20_000
-# fixed values: what decoys are joined from
+#: Decoys of one encoding and range of lengths, and the most random ones among them that the tail is fitted to.
+DECOYS, TAIL = 3_000, 100
+#: Least mean of the tail, in logarithms of the combined p value.
+NARROW = 0.1
+#: Decoys are joined from so many frequent words at most, of which each comes so many times in the corpus at least.
+FREQUENT, TIMES = 1_000, 5
+# fixed values: what decoys are joined from where the corpus has fewer words, and words in hexadecimal digits
 WORDS = """the and that with this from have which their about would there were other people time only into first after
 also over under information service user name file data test value index page image video content default system config
 und der die das nicht eine werden auch sich wurde les des dans pour qui une avec sont plus los las una por para como
@@ -110,7 +116,15 @@ def randomness(text: str, code: int | None = None) -> float:
     return min(1.0, math.exp(-half) * (1 + half + half * half / 2))
 
 
-def decoy(rng: random.Random, code: int, length: int) -> str:
+def frequent_words(docs: DataFrame) -> list[str]:
+    """The most frequent words of 3 to 12 letters a to z of all whole texts, at most FREQUENT; the fixed ones if there are few."""
+    words = docs.select(F.explode(F.split(F.lower(text_or_empty("text")), r"[\s.,;:!?\"()]+")).alias("w")).filter("w RLIKE '^[a-z]{3,12}$'")
+    counts = words.groupBy("w").count().filter(F.col("count") >= TIMES)
+    own = [r["w"] for r in counts.orderBy(F.desc("count"), "w").limit(FREQUENT).collect()]
+    return own if len(own) >= len(WORDS) else own + WORDS
+
+
+def decoy(rng: random.Random, code: int, length: int, words: list[str], hex_words: list[str]) -> str:
     """Words and numbers joined in an encoding."""
     name, alphabet = ENCODINGS[code]
     marks = [c for c in "/+-_" if c in alphabet]
@@ -120,9 +134,9 @@ def decoy(rng: random.Random, code: int, length: int) -> str:
         if name == "decimal" or ("0" in alphabet and rng.random() < 0.3):
             part = number
         elif name.endswith("hex"):
-            part = rng.choice(HEX_WORDS)
+            part = rng.choice(hex_words)
         else:
-            part = rng.choice(WORDS)
+            part = rng.choice(words)
         if "a" not in alphabet:
             part = part.upper()
         elif "A" in alphabet and rng.random() < 0.7:
@@ -131,26 +145,61 @@ def decoy(rng: random.Random, code: int, length: int) -> str:
     return out[:length]
 
 
-@functools.cache
-def decoys(code: int, size: int) -> list[float]:
-    """How random decoys look, in order; the same in every process."""
+def levels_of(code: int, size: int, words: list[str]) -> list[float]:
+    """Item n - 1 is the least combined p value in this encoding and range of lengths whose share of decoys is CHANCES[n].
+
+    Ends before the first step that no string can reach.
+    """
     rng = random.Random(100 * code + size)
+    hex_words = HEX_WORDS + [w for w in words if set(w) <= set("abcdef")]
     low, high = LENGTHS[size], LENGTHS[size + 1] if size + 1 < len(LENGTHS) else LENGTHS[size] + 32
-    return sorted(randomness(decoy(rng, code, rng.randrange(low, high)), code) for _ in range(DECOYS))
+    looks = sorted(randomness(decoy(rng, code, rng.randrange(low, high), words, hex_words), code) for _ in range(DECOYS))
+    tail = [math.log(max(p, 1e-300)) for p in looks[-TAIL:]]
+    mean = max(NARROW, sum(tail) / TAIL - tail[0])
+    out: list[float] = []
+    for chance in CHANCES[1:]:
+        if chance * (1 + DECOYS) >= TAIL:
+            level = math.nextafter(looks[DECOYS - int(chance * (1 + DECOYS))], 2)
+        else:
+            level = math.exp(min(1.0, tail[0] + mean * math.log(TAIL / DECOYS / chance)))
+        if level > 1:
+            break
+        out.append(max([level, *out[-1:]]))
+    return out
+
+
+Levels = dict[tuple[int, int], list[float]]
+#: The levels that were asked for last, with their words.
+_last: list[tuple[list[str], Levels]] = []
 
 
-def tested_step(text: str, size: int) -> int:
-    """The step of a string's p value: 2 ** -step at most; 0 for what isn't random at all."""
+def decoy_levels(docs: DataFrame) -> Levels:
+    """What ``levels_of`` gives for every encoding and range of lengths, a list of at most STEPS numbers each."""
+    words, ranges = frequent_words(docs), len(LENGTHS)
+    if _last and _last[0][0] == words:
+        return _last[0][1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = batch.column(0).to_pylist()
+            told = pa.array([levels_of(*divmod(c, ranges), words) for c in cells], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), told], names=["cell", "levels"])
+
+    n = len(ENCODINGS) * ranges
+    rows = docs.sparkSession.range(0, n, 1, n).mapInArrow(run, "cell long, levels array<double>").collect()
+    _last[:] = [(words, {divmod(r["cell"], ranges): r["levels"] for r in rows})]
+    return _last[0][1]
+
+
+def tested_step(text: str, size: int, levels: Levels) -> int:
+    """The step of a string's p value, CHANCES[step] at most; 0 for what isn't random at all."""
     bare = text.rstrip("=")
     code = encoding(bare)
-    if (own := randomness(bare, code)) < FLOOR:
-        return 0
-    others = decoys(code, size)
-    p = (1 + len(others) - bisect.bisect_left(others, own)) / (1 + len(others))
-    return min(STEPS - 1, int(-math.log2(p)))
+    own = randomness(bare, code)
+    return 0 if own < FLOOR else bisect.bisect_right(levels[code, size], own)
 
 
-def found(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]]]:
+def found(text: str, levels: Levels) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]]]:
     """Spans of the fixed patterns as (start, kind, end), and others that were tested as (start, end, range, step)."""
     spans, tested = [], []
     lower = text.lower()
@@ -165,7 +214,7 @@ def found(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, i
             start, end = at + m.start(), at + m.end()
             if not any([b < end and start < e for b, _, e in spans]):
                 size = sum(len(m[0]) >= n for n in LENGTHS) - 1
-                tested.append((start, end, size, tested_step(m[0], size)))
+                tested.append((start, end, size, tested_step(m[0], size, levels)))
     return sorted(spans), tested
 
 
@@ -176,12 +225,13 @@ _TESTED = pa.list_(
 )
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, spans of the fixed patterns and the strings that were tested, for every row."""
+def scan(docs: DataFrame, levels: Levels | None = None) -> DataFrame:
+    """doc_id, spans of the fixed patterns and the strings that were tested, for every row; levels from ``docs`` if None."""
+    levels = decoy_levels(docs) if levels is None else levels
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            results = [found(text) for text in batch.column(1).to_pylist()]
+            results = [found(text, levels) for text in batch.column(1).to_pylist()]
             base = [[{"start": s, "kind": k, "end": e} for s, k, e in spans] for spans, _ in results]
             tested = [
                 [{"start": s, "end": e, "size": n, "step": p} for s, e, n, p in strings] for _, strings in results
@@ -202,7 +252,7 @@ def least_steps(scanned: DataFrame, share: float = SHARE) -> list[int]:
     out = []
     for size in range(len(LENGTHS)):
         own = {r["step"]: r["count"] for r in counts if r["size"] == size}
-        held = (n for n in range(FIRST, STEPS) if 0 < sum(own.values()) * 2.0**-n <= share * sum(own.get(s, 0) for s in range(n, STEPS)))
+        held = (n for n in range(FIRST, STEPS) if 0 < sum(own.values()) * CHANCES[n] <= share * sum(own.get(s, 0) for s in range(n, STEPS)))
         out.append(next(held, STEPS))
     return out
 
@@ -231,9 +281,9 @@ def secrets(docs: DataFrame, share: float = SHARE) -> DataFrame:
     )
 
 
-def masked(text: str, least: list[int]) -> str:
+def masked(text: str, least: list[int], levels: Levels) -> str:
     """``text`` with each secret replaced by the name of its kind."""
-    spans, tested = found(text)
+    spans, tested = found(text, levels)
     spans = spans + [(s, len(KINDS) - 1, e) for s, e, size, step in tested if step >= least[size]]
     out, at = [], 0
     for start, kind, end in sorted(spans):
@@ -244,12 +294,17 @@ def masked(text: str, least: list[int]) -> str:
 
 
 def mask_secrets(docs: DataFrame, share: float = SHARE) -> DataFrame:
-    """All rows of ``docs`` with secrets masked in text, and n_chars, if there is such a column, counted anew."""
-    least = least_steps(stored(scan(docs), "secrets"), share)
+    """All rows of ``docs`` with secrets masked in text, and n_chars, if there is such a column, counted anew.
+
+    Null texts stay null, repeated rows stay repeated, an empty table stays empty.  Texts are scanned twice, for the
+    counts and to be masked: keeping their spans would take a join on rows that nothing tells apart.
+    """
+    levels = decoy_levels(docs)
+    least = least_steps(stored(scan(docs, levels), "secrets"), share)
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: masked(t, least), na_action="ignore")
+        return texts.map(lambda t: masked(t, least, levels), na_action="ignore")
 
     out = docs.withColumn("text", clean("text"))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
