@@ -4,8 +4,8 @@ A long string is read in the smallest encoding that holds its characters and get
 randomness: chi-squared for a uniform alphabet, runs about the alphabet's middle, and serial correlation.  Fisher's
 method combines them.  Short strings pass such tests easily, so the result is held against decoys, the corpus's most
 frequent words and numbers joined in the same encoding and range of lengths: the share of decoys that look as random is
-the string's p value.  Beyond the most random decoys it follows an exponential tail fitted to them, so it has no lower
-bound that a larger corpus would run into.  Benjamini and Hochberg's rule on the p values, rounded up to steps, controls
+the string's p value.  Beyond the most random decoys it follows a tail fitted to them, a power of the distance to the
+largest value there is (Hill's estimate), so the number of decoys is no lower bound.  Benjamini and Hochberg's rule on the p values, rounded up to steps, controls
 false discoveries in each range of lengths.
 """
 
@@ -62,8 +62,8 @@ STEPS, FIRST = len(CHANCES), 5
 FLOOR = 0.001
 #: Decoys of one encoding and range of lengths, and the most random ones among them that the tail is fitted to.
 DECOYS, TAIL = 3_000, 100
-#: Least mean of the tail, in logarithms of the combined p value.
-NARROW = 0.1
+#: Least distance that counts, in logarithms of the combined p value.
+NARROW = 1e-9
 #: Decoys are joined from so many frequent words at most, of which each comes so many times in the corpus at least.
 FREQUENT, TIMES = 1_000, 5
 # fixed values: what decoys are joined from where the corpus has fewer words, and words in hexadecimal digits
@@ -154,14 +154,14 @@ def levels_of(code: int, size: int, words: list[str]) -> list[float]:
     hex_words = HEX_WORDS + [w for w in words if set(w) <= set("abcdef")]
     low, high = LENGTHS[size], LENGTHS[size + 1] if size + 1 < len(LENGTHS) else LENGTHS[size] + 32
     looks = sorted(randomness(decoy(rng, code, rng.randrange(low, high), words, hex_words), code) for _ in range(DECOYS))
-    tail = [math.log(max(p, 1e-300)) for p in looks[-TAIL:]]
-    mean = max(NARROW, sum(tail) / TAIL - tail[0])
+    tail = [max(NARROW, -math.log(max(p, 1e-300))) for p in looks[-TAIL:]]  # distances from a p value of 1
+    power = max(NARROW, sum(math.log(tail[0] / t) for t in tail) / TAIL)
     out: list[float] = []
     for chance in CHANCES[1:]:
         if chance * (1 + DECOYS) >= TAIL:
             level = math.nextafter(looks[DECOYS - int(chance * (1 + DECOYS))], 2)
         else:
-            level = math.exp(min(1.0, tail[0] + mean * math.log(TAIL / DECOYS / chance)))
+            level = math.exp(-tail[0] * (chance * DECOYS / TAIL) ** power)
         if level > 1:
             break
         out.append(max([level, *out[-1:]]))
