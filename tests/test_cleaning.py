@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.text import parse_mixed_timestamp
 from tillroll.operators import cleaning
-from tillroll.sources.lines import normalize_types, scan_csv, write_csv
+from tillroll.sources.lines import normalize_types, sales_view, scan_csv, write_csv
 
 SCHEMA = (
     "invoice_no string, stock_code string, description string, quantity int, invoice_date string, "
@@ -100,3 +101,26 @@ def test_csv_round_trip_and_missing_texts(spark, tmp_path):
 def test_types_are_rounded_half_to_even(spark):
     df = spark.createDataFrame([(0.5, 1.5, 2.5)], "quantity double, recency double, frequency double")
     assert tuple(normalize_types(df).first()) == (0, 2, 2)
+
+
+def test_lines_are_exchanged_for_parts_and_orders_only(spark, tables):
+    broadcasts = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keyed = cleaning.pre_cancellation(sales_view(tables.source, keyed=True)).drop("order_key")
+        plan = keyed._jdf.queryExecution().executedPlan().toString()
+        rows = keyed.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
+    exchanged = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert sorted(exchanged) == sorted(
+        ["l_partkey", "p_partkey", "l_orderkey", "o_orderkey", "o_custkey", "c_custkey", "c_nationkey", "n_nationkey"]
+    )
+    assert sorted(map(repr, rows)) == sorted(map(repr, cleaning.pre_cancellation(tables.raw).collect()))
+
+
+def test_history_is_stored_once_for_cleaned_lines_and_returns(tables):
+    assert set(tables.cleaned.inputFiles()) == set(tables.before.inputFiles())
+    expected = cleaning.clean_lines(tables.raw)[0]
+    assert tables.cleaned.columns == expected.columns
+    assert sorted(map(repr, tables.cleaned.collect())) == sorted(map(repr, expected.collect()))
