@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.functions.ids import with_integer_ids
-from tillroll.operators import basket, content, interactions, item_cf, user_cf
+from tillroll.operators import basket, content, interactions, item_cf, user_cf, pairs
 from tillroll.operators.pairs import _least_blocks, _met_blocks, _paired_blocks, co_occurrence, nearest_rows
 
 SCHEMA = "description string, customer_id bigint, invoice_no string"
@@ -247,3 +247,41 @@ def test_large_groups_go_to_their_own_blocks_only(spark):
         assert sorted(r["items"]) == [10 * r.block + i for i in range(3)]
         sent.setdefault(r.grp, []).append((r.i, r.j))
     assert sorted(sent[1]) == [(0, 0), (0, 7), (0, 7), (7, 7)] and sent[2] == [(3, 3)] and len(sent[3]) == 64
+
+
+def test_rows_of_few_entries_are_sent_to_few_blocks(spark, monkeypatch):
+    made = []
+
+    def counted(packed, blocks):
+        made.append(blocks)
+        return _paired_blocks(packed, blocks)
+
+    monkeypatch.setattr(pairs, "_paired_blocks", counted)
+    rows = spark.range(40_000).selectExpr("id AS k", "id % 20000 AS d", "1D AS w")
+    nearest_rows(rows, "k", "d", "w", 1)
+    assert made == [_least_blocks(spark.sparkContext.defaultParallelism)]
+
+
+@pytest.mark.parametrize("n_left, n_right, dims, n", [(50, 70, 20, 5), (300, 300, 50, 5), (4, 3, 5, 5), (200, 200, 1000, 3)])
+def test_best_rows_of_two_blocks_are_those_of_the_whole_product(monkeypatch, n_left, n_right, dims, n):
+    monkeypatch.setattr("tillroll.functions.sparseblocks.STRIP_CELLS", 700)
+    random = np.random.default_rng(n_left)
+
+    def block(rows):
+        cells = np.unique(np.stack([np.repeat(np.arange(rows), 6), random.integers(0, dims, rows * 6)], 1), axis=0)
+        return cells[:, 0], cells[:, 1], 1 / np.sqrt(np.bincount(cells[:, 0], minlength=rows)[cells[:, 0]])
+
+    def dense(b, rows):
+        out = np.zeros((rows, dims))
+        out[b[0], b[1]] = b[2]
+        return out
+
+    left, right = block(n_left), block(n_right)
+    l_key, r_key = random.permutation(n_left), random.permutation(n_right) + 2
+    product = dense(left, n_left) @ dense(right, n_right).T
+    found = sorted((int(r), -round(s, 9), int(r_key[c])) for r, c, s in zip(*pairs._best_rows(l_key, left, r_key, right, n)))
+    expected = []
+    for r in range(n_left):
+        others = [(r, -round(s, 9), int(k)) for s, k in zip(product[r].tolist(), r_key) if s > 1e-12 and k != l_key[r]]
+        expected += sorted(others)[:n]
+    assert found == expected

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillroll.operators.interactions import bestsellers, binary_interactions
-from tillroll.operators.pairs import nearest_rows
+from tillroll.operators.pairs import BLOCK_ROWS, nearest_rows
 
 
 def nearest_customers(
@@ -15,7 +15,7 @@ def nearest_customers(
     n: int = 5,
     min_purchases: int = 3,
     targets: DataFrame | None = None,
-    block_rows: int = 4096,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The ``n`` customers whose item sets are most similar (cosine)."""
     bought = binary_interactions(counts, min_purchases)
