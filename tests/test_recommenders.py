@@ -285,3 +285,20 @@ def test_best_rows_of_two_blocks_are_those_of_the_whole_product(monkeypatch, n_l
         others = [(r, -round(s, 9), int(k)) for s, k in zip(product[r].tolist(), r_key) if s > 1e-12 and k != l_key[r]]
         expected += sorted(others)[:n]
     assert found == expected
+
+
+def test_words_of_a_text_are_counted_where_it_lies(spark, monkeypatch):
+    plans = {}
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return df
+
+    monkeypatch.setattr(content, "durable", kept)
+    texts = spark.createDataFrame([(1, "mug red mug"), (2, "red pot"), (3, None)], "k bigint, text string")
+    rows = {(r.k, r.token): (r.tf, r.df, r.weight) for r in content.tfidf(texts, "k", "text", []).collect()}
+    assert "hashpartitioning(k#" in plans["tf"] and plans["tf"].count("Exchange") == 1
+    assert "token" not in plans["tf"].split("hashpartitioning(")[1].split(")")[0]
+    mug, red = 2 * (np.log(3 / 2) + 1), np.log(3 / 3) + 1
+    assert {k: v[:2] for k, v in rows.items()} == {(1, "mug"): (2, 1), (1, "red"): (1, 2), (2, "red"): (1, 2), (2, "pot"): (1, 1)}
+    assert rows[1, "mug"][2] == pytest.approx(mug / np.hypot(mug, red))
