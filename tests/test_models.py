@@ -251,3 +251,29 @@ def test_no_points_and_few_points(spark):
         segments.fit_starts(scaled_rows(spark, []), [segments.Start(2, 1)])
     (cost, centres), = segments.fit_starts(scaled_rows(spark, [[0, 0, 0], [1, 1, 1], [1, 1, 1]]), [segments.Start(4, 1)])
     assert cost == 0 and len(centres) == 2
+
+
+def test_starts_end_after_any_number_of_rounds(spark, monkeypatch):
+    """Many clusters along a line need hundreds of rounds; those are counted here without a job each."""
+    x = np.linspace(0, 1e6, 40_000)
+    rounds = []
+
+    def assigned(kept, centres):
+        rounds.append(len(centres))
+        out = {}
+        for run, own in centres.items():
+            order = np.argsort(own[:, 0], kind="stable")
+            at = own[order, 0]
+            nearest = order[np.searchsorted((at[1:] + at[:-1]) / 2, x)]
+            weights = [np.ones(len(x)), x, x, x, 3 * (x - own[nearest, 0]) ** 2]
+            out[run] = np.array([np.bincount(nearest, w, len(own)) for w in weights]).T
+        return out
+
+    monkeypatch.setattr(segments, "_assigned", assigned)
+    line = spark.range(len(x)).selectExpr(*[f"id * {1e6 / (len(x) - 1)!r}D AS {c}" for c in segments.SCALED])
+    (cost, centres), = segments.fit_starts(line, [segments.Start(30, 1)])
+    assert len(rounds) > 310
+    sums = assigned(None, {0: centres})[0]
+    assert np.abs(sums[:, 1] / sums[:, 0] - centres[:, 0]).max() <= 1e-4
+    with pytest.raises(ArithmeticError):
+        segments.fit_starts(line, [segments.Start(30, 1)], steps=20)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -203,13 +204,15 @@ def _thinned(points: np.ndarray, weight: np.ndarray, run: Start) -> np.ndarray:
 
 
 def fit_starts(
-    scaled: DataFrame, runs: list[Start], steps: int = 300, tolerance: float = 1e-4, rounds: int = 2
+    scaled: DataFrame, runs: list[Start], steps: int | None = None, tolerance: float = 1e-4, rounds: int = 2
 ) -> list[tuple[float, np.ndarray]]:
     """Inertia and centres of every run of K-Means over ``scaled``, all of them together.
 
     Equal rows are merged first.  Each round is one job for all runs that still move: tasks return one row per centre
     with the sums of its points.  A run stops when no centre moves by more than ``tolerance``; a cluster that loses all
-    points keeps its centre.  Raises when ``steps`` rounds don't suffice or there are no points.
+    points keeps its centre.  A centre that moves further lowers the cost by its weight times the square of the way, so
+    every run ends, but the rounds grow with clusters and rows: there is no limit unless ``steps`` sets one, after which
+    runs that still move raise.  No points raise, too.
     """
     kept = durable(_points(scaled), "points").persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -217,7 +220,7 @@ def fit_starts(
         if not centres:
             raise ValueError("there are no points to cluster")
         moving = set(centres)
-        for _ in range(steps):
+        for done in itertools.count(1):
             for run, sums in _assigned(kept, {run: centres[run] for run in sorted(moving)}).items():
                 new = np.where(sums[:, :1] > 0, sums[:, 1:4] / np.maximum(sums[:, :1], 1e-300), centres[run])
                 if ((new - centres[run]) ** 2).sum(1).max() <= tolerance**2:
@@ -225,8 +228,8 @@ def fit_starts(
                 centres[run] = new
             if not moving:
                 break
-        else:
-            raise ArithmeticError(f"{len(moving)} runs of K-Means still move after {steps} rounds")
+            if done == steps:
+                raise ArithmeticError(f"{len(moving)} runs of K-Means still move after {steps} rounds")
         costs = {run: float(sums[:, 4].sum()) for run, sums in _assigned(kept, centres).items()}
         return [(costs[i], centres[i]) for i in range(len(runs))]
     finally:
