@@ -40,6 +40,25 @@ def test_words_encode_as_the_whole():
         assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+def test_words_go_to_the_tokenizer_many_at_a_time():
+    rng = np.random.default_rng(3)
+    letters = list("abcdefgÉñß漢İǅ'’-.,7½") + ["'re", "\u1e9e"]
+    texts = [" ".join("".join(rng.choice(letters, rng.integers(1, 9))) for _ in range(400)) for _ in range(12)] + ["o\u0308 not normal"]
+    encoder = WordEncoder(PATH)
+    of_words, calls = encoder.of_words, []
+    assert of_words is not encoder.tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, some, **how):
+            calls.append(sum(text.count(encoder.between) + 1 for text in some))
+            return of_words.encode_batch_fast(some, **how)
+
+    encoder.of_words = Counting()
+    for text, ids in zip(texts, encoder(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert sum(calls) > 200 and len(calls) <= 1 + sum(calls) // 2048
+
+
 def test_packer_fills_windows():
     rng = np.random.default_rng(5)
     packer, rows, ids_of = Packer(7 << 40, waiting=200), [], {}

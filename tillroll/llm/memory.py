@@ -24,16 +24,13 @@ class Memory:
         """The lookup of ``keys``; what isn't remembered is made in one call."""
         if len(self.now) >= self.most or (self.most_bytes and self.bytes >= self.most_bytes):
             self.old, self.now, self.bytes = self.now, {}, 0
-        missing, found = [], []
-        for key in keys.difference(self.now):
-            if (value := self.old.get(key)) is None:
-                missing.append(key)
-            else:
-                found.append((key, value))
-        new = [*found, *zip(missing, self.make(missing) if missing else ())]
-        self.now.update(new)
-        if self.most_bytes:
-            self.bytes += sum([len(key) + len(value) for key, value in new]) + self.ENTRY_BYTES * len(new)
+        fresh = keys.difference(self.now)
+        known = list(fresh.intersection(self.old))
+        missing = list(fresh.difference(known))
+        for some, values in ((known, list(map(self.old.__getitem__, known))), (missing, list(self.make(missing)) if missing else [])):
+            self.now.update(zip(some, values))
+            if self.most_bytes:
+                self.bytes += sum(map(len, some)) + sum(map(len, values)) + self.ENTRY_BYTES * len(some)
         return self.now.__getitem__
 
 

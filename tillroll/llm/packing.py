@@ -10,12 +10,14 @@ groups of equal tokens.
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 import zlib
 from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +34,15 @@ TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 #: Rests that wait in a task before they are packed together.
 WAITING = 4096
-#: Bytes of remembered words in a process, half of what it may hold; words that are encoded as one text.
+#: Bytes of remembered words in a process, half of what it may hold; words that are encoded as one text, and such texts at a time.
 WORD_BYTES = 60_000_000
-JOINED_WORDS = 64
+JOINED_WORDS = 128
+JOINED_TEXTS = 16
+#: Normalization that does nothing to words in NFC but lower-case them.
+ONLY_LOWERS = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
 #: Tokens of a step group.
 STEP_TOKENS = 64 * WINDOW
 SCHEMA = (
@@ -52,7 +60,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
@@ -63,6 +71,12 @@ class WordEncoder:
         # a special token ends the word before it and starts the next, so many words are encoded as one text
         self.between = next((t for t in self.special if self._separates(t)), None)
         self.between_id = None if self.between is None else self.tokenizer.token_to_id(self.between)
+        self.of_words = self.tokenizer
+        if json.loads(Path(path).read_text(encoding="utf-8")).get("normalizer") == ONLY_LOWERS:
+            self.of_words = Tokenizer.from_file(path)
+            self.of_words.no_truncation()
+            self.of_words.no_padding()
+            self.of_words.normalizer = normalizers.Lowercase()
 
     def _separates(self, token: str) -> bool:
         """Whether words joined by ``token`` get the ids that they get alone, with the token's id between them."""
@@ -80,16 +94,19 @@ class WordEncoder:
         if self.between is None:
             yield from self._encoded(words)
             return
-        for at in range(0, len(words), JOINED_WORDS):
-            some = words[at : at + JOINED_WORDS]
-            ids = np.array(self.tokenizer.encode(self.between.join(some), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == self.between_id)
-            assert len(cuts) == len(some) - 1, "a word holds the token between words"
-            data, start = ids.tobytes(), 0
-            for cut in (4 * cuts).tolist():
-                yield data[start:cut]
-                start = cut + 4
-            yield data[start:]
+        step = JOINED_WORDS * JOINED_TEXTS
+        for first in range(0, len(words), step):
+            parts = [words[at : at + JOINED_WORDS] for at in range(first, min(first + step, len(words)), JOINED_WORDS)]
+            joined = self.of_words.encode_batch_fast([self.between.join(some) for some in parts], add_special_tokens=False)
+            for some, one in zip(parts, joined):
+                ids = np.array(one.ids, "<u4")
+                cuts = np.flatnonzero(ids == self.between_id)
+                assert len(cuts) == len(some) - 1, "a word holds the token between words"
+                data, start = ids.tobytes(), 0
+                for cut in (4 * cuts).tolist():
+                    yield data[start:cut]
+                    start = cut + 4
+                yield data[start:]
 
     def _plain(self, text: str) -> bool:
         return (
@@ -100,7 +117,9 @@ class WordEncoder:
         )
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [text.lower().split() if self._plain(text) else None for text in texts]
+        lowered = [text.lower() if self._plain(text) else None for text in texts]
+        # a text may leave NFC when it is lower-cased
+        words = [text.split() if text is not None and unicodedata.is_normalized("NFC", text) else None for text in lowered]
         lookup = self.words.fill(set().union(*[w for w in words if w]))
         return [
             next(self._encoded([text])) if own is None else b"".join(map(lookup, own)) for text, own in zip(texts, words)
