@@ -2,11 +2,13 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from test_minhash import corpus, words_set
 
-from tillroll.llm import cells
+from tillroll.llm import cells, jaccard
 from tillroll.llm.cells import add_overlaps, cells_of, forest
 from tillroll.llm.jaccard import jaccard_join
+from tillroll.llm.shingles import shingle_sets
 
 
 def brute(rows, percent=80):
@@ -55,6 +57,37 @@ def test_equals_brute_force(spark):
     assert got == brute(rows)
 
 
+def test_packed_groups_are_hashed_in_small_parts(spark, monkeypatch):
+    sizes, texts = [], [" ".join(f"t{i}w{j}" for j in range(60_000)) for i in range(10)]
+
+    class Held:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, columns):
+            return run
+
+    class Task:
+        @staticmethod
+        def get():
+            return Task
+
+        @staticmethod
+        def partitionId():
+            return 0
+
+    def counting(some):
+        sizes.append(sum(map(len, some)))
+        return shingle_sets(some)
+
+    monkeypatch.setattr(jaccard, "TaskContext", Task)
+    monkeypatch.setattr(jaccard, "shingle_sets", counting)
+    run = jaccard._lone_posts(Held(), 16, 1)
+    (rows,) = [b.to_pylist() for b in run(iter([pa.RecordBatch.from_pydict({"text": texts})]))]
+    assert sum(map(len, texts)) < jaccard.CHARACTERS and max(sizes) < 3_000_000
+    assert [len(r["grams"]) // 8 for r in rows] == [10 * (60_000 - 4)] and len(rows[0]["nodes"]) == 80
+
+
 def test_any_fragments_and_percent(spark, monkeypatch):
     monkeypatch.setattr(cells, "BLOCK_NODES", 7)
     rows = list(enumerate(alike(5, 60))) + corpus(9)[:80]

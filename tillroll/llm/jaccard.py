@@ -83,9 +83,11 @@ def _lone_posts(docs: DataFrame, share: int, buckets: int) -> DataFrame:
             for group in groups_of(((None, text) for text in batch.column(0).to_pylist()), CHARACTERS):
                 number += 1
                 parts = {}
-                for hashes in shingle_sets([text for _, text in group]):
-                    if len(hashes):
-                        parts[set_id(hashes)] = hashes if share > 15 else hashes[: np.searchsorted(hashes, _U(share << 60))]
+                for some in groups_of(group):  # hashing needs about fifty bytes a character for a moment
+                    for hashes in shingle_sets([text for _, text in some]):
+                        if len(hashes):
+                            # a copy, as a part would keep the whole set
+                            parts[set_id(hashes)] = hashes if share > 15 else hashes[: np.searchsorted(hashes, _U(share << 60))].copy()
                 nodes = np.array(list(parts), np.int64)
                 grams = np.concatenate([*parts.values(), np.zeros(0, _U)])
                 owner = np.repeat(np.arange(len(nodes)), [len(p) for p in parts.values()])
