@@ -82,10 +82,10 @@ def test_packed_groups_are_hashed_in_small_parts(spark, monkeypatch):
 
     monkeypatch.setattr(jaccard, "TaskContext", Task)
     monkeypatch.setattr(jaccard, "shingle_sets", counting)
-    run = jaccard._lone_posts(Held(), 16, 1)
+    run = jaccard._lone_posts(Held(), 16, 4)
     (rows,) = [b.to_pylist() for b in run(iter([pa.RecordBatch.from_pydict({"text": texts})]))]
     assert sum(map(len, texts)) < jaccard.CHARACTERS and max(sizes) < 3_000_000
-    assert [len(r["grams"]) // 8 for r in rows] == [10 * (60_000 - 4)] and len(rows[0]["nodes"]) == 80
+    assert sum(len(r["grams"]) // 8 for r in rows) == 10 * (60_000 - 4) and [len(r["nodes"]) for r in rows] == 4 * [80]
 
 
 def test_any_fragments_and_percent(spark, monkeypatch):
