@@ -25,7 +25,7 @@ class Memory:
         if len(self.now) >= self.most or (self.most_bytes and self.bytes >= self.most_bytes):
             self.old, self.now, self.bytes = self.now, {}, 0
         fresh = keys.difference(self.now)
-        known = list(fresh.intersection(self.old))
+        known = list(filter(self.old.__contains__, fresh))  # intersection() would walk through a whole dict
         missing = list(fresh.difference(known))
         for some, values in ((known, list(map(self.old.__getitem__, known))), (missing, list(self.make(missing)) if missing else [])):
             self.now.update(zip(some, values))
