@@ -11,6 +11,8 @@ from tillroll.session import durable, ship_package
 
 #: A key with more than this share of all rows counts as hot, so there are at most 1 / HOT_SHARE hot keys.
 HOT_SHARE = 1 / 1000
+#: 64-bit words of a bitmap that is broadcast.
+BITMAP_WORDS = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +39,25 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def maybe_among(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """``rows`` with ``maybe``: whether their number in ``name`` may be in that column of ``keys``.
+
+    True for all that are and for few others, so the rest needn't be exchanged for an exact join. The keys are hashed into
+    a bitmap of bounded size, which is broadcast whatever the tables' sizes; the fuller it is, the more others it marks.
+    """
+    place = F.xxhash64(name)
+    word = F.pmod(F.shiftrightunsigned(place, 6), F.lit(BITMAP_WORDS)).alias("bitmap_word")
+    bit = F.expr(f"shiftleft(1L, cast(xxhash64(`{name}`) & 63 as int))")
+    bits = keys.groupBy(word).agg(F.bit_or(bit).alias("bitmap_bits"))
+    found = F.coalesce(F.col("bitmap_bits").bitwiseAND(bit) != 0, F.lit(False))
+    return rows.withColumn("bitmap_word", word).join(F.broadcast(bits), "bitmap_word", "left").select(*rows.columns, found.alias("maybe"))
+
+
+def narrowed(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """The rows that ``maybe_among`` marks, for an exact join with ``keys``."""
+    return maybe_among(rows, keys, name).filter("maybe").drop("maybe")
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, spread: str) -> DataFrame:
     """``rows`` with the columns of ``groups``, which has one row per string key and its number of rows in ``size``.
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.cells import add_overlaps, cells_of, forest, hot_from, posts_of, with_counted
-from tillroll.llm.common import join_groups, stored, text_or_empty
+from tillroll.llm.common import join_groups, maybe_among, narrowed, release_shuffles, stored, text_or_empty
 from tillroll.llm.memory import groups_of
 from tillroll.llm.shingles import mix, shingle_sets
 
@@ -159,6 +159,15 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def one_set_each(classes: DataFrame) -> DataFrame:
+    """The rows of ``classes`` that have the smallest set_digest of their node; ``classes`` must be stored."""
+    ranked = classes.groupBy("node").agg(F.min("set_digest").alias("least"), F.count("*").alias("rivals"))
+    several = stored(ranked.filter("rivals > 1").select("node", "least"), "rivals")
+    marked = maybe_among(classes, several, "node")  # few, where doc_ids are keys: the others aren't exchanged
+    best = marked.filter("maybe").join(several, "node", "left").filter("least IS NULL OR least = set_digest")
+    return marked.filter("NOT maybe").select(*classes.columns).unionByName(best.select(*classes.columns))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Components of linked documents.
 
@@ -174,11 +183,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    chosen = classes.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("set_digest", "entries", "keys")).alias("set"))
-    known = stored(chosen.select("node", "set.*"), "nodes")
+    release_shuffles(docs.sparkSession)
+    known = one_set_each(classes.filter("node IS NOT NULL"))
     posted = stored(prefixes(known, known.count()), "prefixes")
     posts = posts_of(posted.select("node", F.explode("prefix").alias("key")), known.count())
     wanted = posts.select("node").distinct()
+    release_shuffles(docs.sparkSession)
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,9 +199,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                     names=["node", "set_digest", "hashes"],
                 )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), text_or_empty("text").alias("text")).join(wanted, "node", "left_semi")
+    # only rows that may be wanted are exchanged, once for both joins on node
+    texts = narrowed(docs.select(F.col("doc_id").cast("long").alias("node"), text_or_empty("text").alias("text")), wanted, "node")
     sets = texts.mapInArrow(full_sets, "node long, set_digest string, hashes binary")
-    sets = stored(sets.join(known.select("node", "set_digest", "keys"), ["node", "set_digest"]).dropDuplicates(["node"]), "sets")
+    own = narrowed(known, wanted, "node").select("node", F.col("set_digest").alias("own_digest"), "keys")
+    # of digests of one length; an equality would join, and so exchange, by both columns
+    sets = sets.join(own, "node").filter("startswith(set_digest, own_digest)").dropDuplicates(["node"])
     cells = cells_of(posts, known.select("node", "entries").join(wanted, "node", "left_semi"))
     label = components(stored(compared(cells.join(sets, "node")), "links"))
 
