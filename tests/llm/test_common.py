@@ -1,7 +1,7 @@
 import pyspark.sql.functions as F
 import pytest
 
-from tillroll.llm import minhash
+from tillroll.llm import jaccard, minhash
 from tillroll.llm.common import narrowed
 
 WORDS = [f"w{i}" for i in range(200)]
@@ -41,10 +41,12 @@ def test_texts_that_meet_nothing_are_not_exchanged(spark, tmp_path, monkeypatch,
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
     docs = spark.read.parquet(f"{tmp_path}/docs")
     plans = []
-    compared = minhash.compared
+    compared, stored = minhash.compared, jaccard.stored
     monkeypatch.setattr(minhash, "compared", lambda cells: plans.append(("MapInArrow", cells)) or compared(cells))
     assert {r.component_id for r in minhash.near_duplicates(docs).collect()} == {0, *range(2, 22)}
-    assert len(plans) == 1
+    monkeypatch.setattr(jaccard, "stored", lambda df, name: (plans.append(("SortMergeJoin", df)) if name == "open-sets" else None) or stored(df, name))
+    assert {r.component_id for r in jaccard.jaccard_join(docs).collect()} == {0, *range(2, 22)}
+    assert len(plans) == 2
     for operator, df in plans:
         under = below(df._jdf.queryExecution().executedPlan().toString(), operator)
         scan = next(i for i, line in enumerate(under) if "FileScan parquet" in line and "text#" in line)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.cells import add_overlaps, cells_of, forest, hot_from, posts_of, with_counted
-from tillroll.llm.common import join_groups, release_shuffles, stored, text_or_empty
+from tillroll.llm.common import join_groups, narrowed, release_shuffles, stored, text_or_empty
 from tillroll.llm.memory import groups_of
 from tillroll.llm.minhash import components
 from tillroll.llm.shingles import shingle_sets
@@ -182,7 +182,7 @@ def segments(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, fragme
     ``classes`` has node, n_shingles and first_doc, a document that holds the set.
     """
     wanted = classes.select(F.col("node").alias("wanted"), F.col("first_doc").alias("doc_id"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
+    texts = narrowed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted, "doc_id").join(wanted, "doc_id")
     # a document may hold several sets: each of its rows gives the one that it has
     sets = _sets(texts.select(F.col("wanted").alias("doc_id"), "text"), {"node": "long", "grams": "array<long>"}, lambda node, s: (node, s.view(np.int64)) if set_id(s) == node else None)
     sets = stored(sets, "open-sets")
