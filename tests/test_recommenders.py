@@ -1,3 +1,4 @@
+import re
 from itertools import combinations
 
 import numpy as np
@@ -302,3 +303,13 @@ def test_words_of_a_text_are_counted_where_it_lies(spark, monkeypatch):
     mug, red = 2 * (np.log(3 / 2) + 1), np.log(3 / 3) + 1
     assert {k: v[:2] for k, v in rows.items()} == {(1, "mug"): (2, 1), (1, "red"): (1, 2), (2, "red"): (1, 2), (2, "pot"): (1, 1)}
     assert rows[1, "mug"][2] == pytest.approx(mug / np.hypot(mug, red))
+
+
+def test_pairs_of_a_task_are_bounded(spark):
+    """The map-side sum of a task holds its pairs: with a set number of tasks it grew with the groups."""
+    members = spark.range(200).selectExpr("id % 20 AS grp", "id AS item", "1D AS weight")  # 20 groups of 45 pairs
+    usual, cut = co_occurrence(members), co_occurrence(members, task_pairs=45)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "hashpartitioning(grp" in plan
+    assert re.search(r"hashpartitioning\(grp#\d+L?, 20\), REPARTITION_BY_NUM", plan)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, usual.collect())) and cut.count() == 900
