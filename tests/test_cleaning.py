@@ -124,3 +124,20 @@ def test_history_is_stored_once_for_cleaned_lines_and_returns(tables):
     expected = cleaning.clean_lines(tables.raw)[0]
     assert tables.cleaned.columns == expected.columns
     assert sorted(map(repr, tables.cleaned.collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_a_parts_texts_travel_with_its_lines_as_one_description(spark, tables):
+    broadcasts = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sales_view(tables.source)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
+    (sent,) = re.findall(r"Exchange hashpartitioning\(l_orderkey#.*\n.*Project \[(.*)\]", plan)
+    assert re.findall(r"(?:AS )?(description|p_name|p_brand|p_type)#", sent) == ["description"]
+
+
+def test_stored_history_holds_no_amounts(spark, tables):
+    assert "total_amount" not in spark.read.parquet(*tables.cleaned.inputFiles()).columns
+    amounts = tables.cleaned.selectExpr("total_amount", "quantity * unit_price")
+    assert amounts.count() > 0 and all(a == b for a, b in amounts.collect())

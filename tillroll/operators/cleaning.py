@@ -114,14 +114,20 @@ def clean_lines(
 
 
 def marked_lines(before: DataFrame) -> DataFrame:
-    """The lines of ``pre_cancellation`` with what cleaning adds, and in ``kept`` whether it keeps them.
+    """The lines of ``pre_cancellation`` with tidy descriptions and dates, and in ``kept`` whether cleaning keeps them.
 
-    Stored once, it serves both the cleaned lines and the return ratio.
+    Stored once, it serves both the cleaned lines and the return ratio.  The
+    line's amount follows from two columns, so ``kept_lines`` adds it on reading.
     """
-    tidy = parse_dates(add_line_amount(clean_description(before)))
+    tidy = parse_dates(clean_description(before))
     return tidy.withColumn("kept", ~(is_admin_code() | is_admin_text() | is_cancelled()))
 
 
+def kept_lines(marked: DataFrame) -> DataFrame:
+    """The cleaned lines among ``marked_lines``."""
+    return add_line_amount(marked.filter("kept").drop("kept"))
+
+
 AUDIT_STAGES = ["copies", "no_customer", "admin_code", "admin_text", "cancelled", "not_purchase", "purchase"]
 
 

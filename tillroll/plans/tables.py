@@ -61,7 +61,7 @@ class Tables:
 
     @property
     def cleaned(self) -> DataFrame:
-        return self._marked.filter("kept").drop("kept")
+        return cleaning.kept_lines(self._marked)
 
     @property
     def deduplicated(self) -> DataFrame:

@@ -85,23 +85,28 @@ def sales_view(table: Callable[[str], DataFrame], keyed: bool = False) -> DataFr
     scanned once).
 
     Orders meet their customers before their lines, so lines are exchanged for
-    the parts and for the orders only, and lie by order afterwards.  ``keyed``
-    adds the order's number as ``order_key``: rows grouped by it and any other
-    columns are not exchanged again.
+    the parts and for the orders only, and lie by order afterwards.  A part's
+    texts are joined to its description before they travel with its lines.
+    ``keyed`` adds the order's number as ``order_key``: rows grouped by it and
+    any other columns are not exchanged again.
     """
 
     customers = table("customer").join(table("nation"), F.expr("c_nationkey = n_nationkey")).select("c_custkey", "n_name")
     orders = table("orders").join(customers, F.expr("o_custkey = c_custkey"))
     # a flag instead of two texts travels with the line
     lines = table("lineitem").withColumn("cancelled", F.expr("l_returnflag = 'R' AND l_linestatus = 'F'"))
-    joined = lines.join(table("part"), F.expr("l_partkey = p_partkey")).join(orders, F.expr("l_orderkey = o_orderkey"))
+    parts = table("part").selectExpr(
+        "p_partkey",
+        r"""CASE WHEN p_partkey % 61 = 0 THEN NULL WHEN p_partkey % 67 = 0 THEN concat(p_name, ' damaged??')
+            ELSE concat('  ', p_name, ' ', p_brand, ' ', p_type, '\t') END AS description""",
+    )
+    joined = lines.join(parts, F.expr("l_partkey = p_partkey")).join(orders, F.expr("l_orderkey = o_orderkey"))
     # keys of the table a column comes from, so filters on it reach that table's scan
     return joined.selectExpr(
         "concat(CASE WHEN cancelled THEN 'C' ELSE '' END, CAST(l_orderkey AS STRING)) AS invoice_no",
         """CASE p_partkey % 50 WHEN 0 THEN 'POST' WHEN 1 THEN concat('gift_', CAST(p_partkey AS STRING))
             ELSE CAST(p_partkey AS STRING) END AS stock_code""",
-        r"""CASE WHEN p_partkey % 61 = 0 THEN NULL WHEN p_partkey % 67 = 0 THEN concat(p_name, ' damaged??')
-            ELSE concat('  ', p_name, ' ', p_brand, ' ', p_type, '\t') END AS description""",
+        "description",
         """CAST(CASE WHEN cancelled OR l_orderkey % 97 = 0 THEN -l_quantity ELSE l_quantity END AS INT) AS quantity""",
         """CAST(o_orderdate AS TIMESTAMP) + make_dt_interval(0, CAST(6 + o_orderkey % 14 AS INT), CAST(o_orderkey % 60 AS INT))
             AS invoice_date""",
