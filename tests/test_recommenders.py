@@ -313,3 +313,22 @@ def test_pairs_of_a_task_are_bounded(spark):
     assert "REPARTITION_BY_NUM" in plan and "hashpartitioning(grp" in plan
     assert re.search(r"hashpartitioning\(grp#\d+L?, 20\), REPARTITION_BY_NUM", plan)
     assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, usual.collect())) and cut.count() == 900
+
+
+def test_counts_stay_where_they_lie_to_meet_few_popular_items(spark):
+    lines = spark.range(40_000).selectExpr(
+        "concat('ITEM ', CASE WHEN id < 3 THEN -id - 1 ELSE id % 50 END) AS description", "id * 7919 % 9973 AS customer_id"
+    )
+    counts = interactions.stored_counts(lines)
+    size = int(counts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    broadcasts = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(size // 4))
+    try:
+        bought = interactions.binary_interactions(counts)
+        plan = bought._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(map(tuple, bought.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
+    assert "Exchange hashpartitioning" not in plan
+    seen = {(r.description, r.customer_id) for r in lines.collect()}
+    assert rows == sorted(r for r in seen if "-" not in r[0]) and len(rows) < len(seen)

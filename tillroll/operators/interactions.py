@@ -40,14 +40,18 @@ def popular_items(lines: DataFrame, min_purchases: int = 5) -> DataFrame:
 
 
 def keep_popular(counts: DataFrame, min_purchases: int) -> DataFrame:
-    """The rows of ``purchase_counts`` whose description has enough lines."""
+    """The rows of ``purchase_counts`` whose description has enough lines.
+
+    These descriptions are stored, so their size is known when the join is
+    planned: while they are few, the counts aren't exchanged to meet them.
+    """
     popular = (
         counts.groupBy("description")
         .agg(F.sum("n_lines").alias("total"))
         .filter(F.col("total") >= min_purchases)
         .select("description")
     )
-    return counts.join(popular, "description", "left_semi")
+    return counts.join(durable(popular, "popular"), "description", "left_semi")
 
 
 def binary_interactions(counts: DataFrame, min_purchases: int = 5) -> DataFrame:
