@@ -1,7 +1,9 @@
 import re
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -332,3 +334,50 @@ def test_counts_stay_where_they_lie_to_meet_few_popular_items(spark):
     assert "Exchange hashpartitioning" not in plan
     seen = {(r.description, r.customer_id) for r in lines.collect()}
     assert rows == sorted(r for r in seen if "-" not in r[0]) and len(rows) < len(seen)
+
+
+def _random_rows(random, rows, dims, keys):
+    """Rows of which half share dim 0, dense and as bundles are made of them."""
+    has = random.random((rows, dims)) < np.where(np.arange(dims) == 0, 0.5, 20 / dims)
+    has[:, 1] |= ~has.any(axis=1)
+    weights, (row, dim) = has / np.sqrt(has.sum(1))[:, None], np.nonzero(has)
+    entries = pa.StructArray.from_arrays([pa.array(dim), pa.array(weights[row, dim])], ["dim_id", "w"])
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has.sum(1))]), pa.int32()), entries)
+    return weights, pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.zeros(rows, dtype=bool)), lists], ["key", "asks", "v"])
+
+
+@pytest.mark.parametrize("alone", [False, True])
+def test_cells_that_cannot_be_among_the_best_are_not_multiplied(monkeypatch, alone):
+    """Two blocks of rows, sent as compressed bundles: before, every cell of their product was made and ordered, once for each side."""
+    monkeypatch.setattr(pairs, "TILE_ROWS", 1024)
+    monkeypatch.setattr(pairs, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    whole = []
+
+    def counted(product):
+        for first, strip in strips(product):
+            whole.append(strip.size)
+            yield first, strip
+
+    strips = pairs.Product.strips
+    monkeypatch.setattr(pairs.Product, "strips", counted)
+    random, rows, n = np.random.default_rng(7), 3000, 3
+    keys = [np.sort(random.permutation(10_000)[:rows]) + side * 10_000 for side in (0, 1)]
+    dense, sides = [], []
+    for k in keys:
+        weights, batch = _random_rows(random, rows, 1500, k)
+        shuffled = batch.take(pa.array(random.permutation(rows)))
+        bundles = [r["bundle"] for b in pairs._bundled(100, 5000)([shuffled]) for r in b.to_pylist()]
+        dense.append(weights)
+        sides.append(pairs._Side(bundles))
+        assert len(bundles) >= 30 and sum(map(len, bundles)) < 16 * np.count_nonzero(weights) / 2
+    left, right = (sides[0], None) if alone else sides
+    found = {}
+    for mine, others, similarity in pairs._best_of_sides(left, right, n, not alone):
+        for k, o, s in zip(mine.tolist(), others.tolist(), similarity.tolist()):
+            found.setdefault(k, []).append((-round(s, 9), o))
+    for mine, others in ((0, 0),) if alone else ((0, 1), (1, 0)):
+        product = dense[mine] @ dense[others].T
+        for k, row in zip(keys[mine].tolist(), product):
+            expected = sorted((-round(s, 9), o) for s, o in zip(row.tolist(), keys[others].tolist()) if s > 1e-12 and o != k)[:n]
+            assert sorted(found[k])[:n] == expected
+    assert sum(whole) < (0.5 if alone else 0.7) * rows * rows, sum(whole) / rows**2
