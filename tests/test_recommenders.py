@@ -381,3 +381,22 @@ def test_cells_that_cannot_be_among_the_best_are_not_multiplied(monkeypatch, alo
             expected = sorted((-round(s, 9), o) for s, o in zip(row.tolist(), keys[others].tolist()) if s > 1e-12 and o != k)[:n]
             assert sorted(found[k])[:n] == expected
     assert sum(whole) < (0.5 if alone else 0.7) * rows * rows, sum(whole) / rows**2
+
+
+@pytest.mark.parametrize("carried", [False, True])
+def test_pairs_that_meet_often_are_summed_once(spark, monkeypatch, carried):
+    """Tasks' sums used to be exchanged once per task and pair; now a pair is summed where all its groups come together."""
+    random = np.random.default_rng(11)
+    rows = [(g, i, float(random.integers(1, 4)), i / 7) for g in range(400) for i in random.permutation(37)[: random.integers(0, 30)].tolist()]
+    members = spark.createDataFrame(rows, "grp int, item bigint, weight double, square double").repartition(5)
+    members = members if carried else members.drop("square")
+    usual = pairs.MET_OFTEN
+    found = []
+    for often in (usual, float("inf")):
+        monkeypatch.setattr(pairs, "MET_OFTEN", often)
+        monkeypatch.setattr(pairs, "BLOCK_PRODUCTS", 50)
+        sums = co_occurrence(members)
+        found.append(sorted(map(tuple, sums.collect())))
+        plan = sums._jdf.queryExecution().executedPlan().toString()
+        assert ("SortMergeJoin" in plan or "HashJoin" in plan) == (often != usual)
+    assert found[0] == found[1] and len(found[0]) == 37 * 36 // 2

@@ -27,6 +27,11 @@ TASK_PAIRS = 1 << 23
 # Items per side of a block, and groups per slab, for the large groups.
 BLOCK_ITEMS = 1024
 SLAB_GROUPS = 1024
+# Pairs that groups make, per pair of items there is, from which on pairs of blocks of items are summed in one task each;
+# items of such a block at most, whose table takes 8 bytes a pair; products added at a time.
+MET_OFTEN = 2
+SUMMED_ITEMS = 4096
+BLOCK_PRODUCTS = 1 << 21
 # Rows and entries of a block for nearest rows. A row is sent once per block, in bundles of so many rows and entries at most.
 BLOCK_ROWS = 1 << 18
 BLOCK_ENTRIES = 1 << 23
@@ -84,6 +89,135 @@ def _met_blocks(large_rows: DataFrame, slabs: Column, carried: list[str]) -> Dat
     return sent.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
 
 
+def _as_bundle(columns: dict[str, np.ndarray]) -> bytes:
+    """Arrays of different lengths, compressed."""
+    table = pa.table({name: pa.LargeListArray.from_arrays(pa.array([0, len(v)]), pa.array(v)) for name, v in columns.items()})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _from_bundle(bundle: bytes) -> dict[str, np.ndarray]:
+    table = pa.ipc.open_stream(bundle).read_all()
+    return {name: table.column(name).chunk(0).flatten().to_numpy() for name in table.column_names}
+
+
+def _dealt_to_blocks(n_blocks: int):
+    """For each pair of blocks of items, what the groups of a batch have in both.
+
+    An item's block is the rest of its number, so numbers with gaps fill blocks alike; in its block it has the quotient.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("m")
+            sizes = np.diff(lists.offsets.to_numpy())
+            inside = lists.flatten()
+            grp = np.repeat(np.arange(len(sizes)), sizes)
+            item, *carried = (inside.field(k).to_numpy(zero_copy_only=False) for k in range(inside.type.num_fields))
+            order = np.lexsort((item, grp, item % n_blocks))
+            grp, item, carried = grp[order], item[order], [c[order] for c in carried]
+            blocks, start = np.unique(item % n_blocks, return_index=True)
+            ends = np.append(start[1:], len(item))
+            counts = [np.bincount(grp[s:e], minlength=len(sizes)) for s, e in zip(start, ends)]
+
+            def side(k: int, met: np.ndarray) -> dict[str, np.ndarray]:
+                at = start[k] + np.flatnonzero(met[grp[start[k] : ends[k]]])
+                own = {"sizes": counts[k][met], "items": (item[at] // n_blocks).astype(np.int32), "weights": carried[0][at]}
+                if len(carried) > 1:
+                    own["squared"], first = np.unique(own["items"], return_index=True)
+                    own["squares"] = carried[1][at][first]
+                return own
+
+            for x in range(len(blocks)):
+                for y in range(x, len(blocks)):
+                    met = (counts[x] > 0) & (counts[y] > 0) if x < y else counts[x] > 1
+                    if met.any():
+                        columns = {f"l_{c}": v for c, v in side(x, met).items()}
+                        if x < y:
+                            columns |= {f"r_{c}": v for c, v in side(y, met).items()}
+                        yield pa.RecordBatch.from_pydict({"i": blocks[x : x + 1], "j": blocks[y : y + 1], "bundle": [_as_bundle(columns)]})
+
+    return run
+
+
+def _summed_blocks(n_blocks: int, block_items: int, carried: bool):
+    """The sums of a pair of blocks, from all its bundles: one row per pair of items, however many groups there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = {}
+        for batch in batches:
+            for r in batch.to_pylist():
+                if (r["i"], r["j"]) not in cells:
+                    cells[r["i"], r["j"]] = np.zeros(block_items**2), np.zeros((2, block_items))
+                sums, squares = cells[r["i"], r["j"]]
+                found, same = _from_bundle(r["bundle"]), r["i"] == r["j"]
+                for k, mark in enumerate("ll" if same else "lr"):
+                    if carried:
+                        squares[k][found[f"{mark}_squared"]] = found[f"{mark}_squares"]
+                _add_groups(sums, block_items, found, same)
+        for (i, j), (sums, squares) in cells.items():
+            at = np.flatnonzero(sums)
+            for some in range(0, len(at), 1 << 16):
+                here = at[some : some + (1 << 16)]
+                a, b = np.divmod(here, block_items)
+                ends = [squares[0][a], squares[1][b]] if carried else []
+                a, b = a * n_blocks + i, b * n_blocks + j
+                swap = a > b
+                both = ((a, b), tuple(ends)) if carried else ((a, b),)
+                ordered = [c for x, y in both for c in (np.where(swap, y, x), np.where(swap, x, y))]
+                columns = [*ordered, sums[here]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _sum_names(carried))
+
+    return run
+
+
+def _sum_names(carried: bool) -> list[str]:
+    return ["a", "b", *(["square_a", "square_b"] if carried else []), "together"]
+
+
+def _add_groups(sums: np.ndarray, width: int, found: dict[str, np.ndarray], same: bool) -> None:
+    """Products of each group's items on the left with those on the right; within a block, with the later ones."""
+    sizes, items, weights = found["l_sizes"], found["l_items"], found["l_weights"]
+    r_sizes, r_items, r_weights = (sizes, items, weights) if same else (found["r_sizes"], found["r_items"], found["r_weights"])
+    end = np.repeat(np.cumsum(r_sizes), sizes)
+    start = np.arange(len(items)) + 1 if same else end - np.repeat(r_sizes, sizes)
+    n = end - start
+    reached = np.cumsum(n)
+    at = 0
+    while at < len(items):
+        done = reached[at - 1] if at else 0
+        last = max(at + 1, int(np.searchsorted(reached, done + BLOCK_PRODUCTS, side="right")))
+        part = slice(at, last)
+        hit = _spans(start[part], n[part])
+        cell = np.repeat(items[part].astype(np.int64) * width, n[part])
+        cell += r_items[hit]
+        product = np.repeat(weights[part], n[part])
+        product *= r_weights[hit]
+        np.add.at(sums, cell, product)
+        at = last
+
+
+def _sums_of_blocks(members: DataFrame, items: int) -> DataFrame:
+    """Sums over groups for all pairs of items numbered below ``items``, each pair in one task and once.
+
+    Items are cut in blocks; a group's items go to each pair of blocks that it has items in, in compressed bundles, and a
+    task adds up one pair of blocks as they come, in a table of its items. What is exchanged grows with the members times
+    the blocks, not with the pairs.
+    """
+    spark = members.sparkSession
+    blocks = min(max(-(-items // SUMMED_ITEMS), _least_blocks(2 * spark.sparkContext.defaultParallelism)), items)
+    block_items = -(-items // blocks)
+    carried = "square" in members.columns
+    inside = [F.col("item").cast("bigint").alias("item"), F.col("weight").cast("double").alias("weight")]
+    packed = members.groupBy("grp").agg(F.collect_list(F.struct(*inside, *(["square"] if carried else []))).alias("m"))
+    dealt = packed.select("m").mapInArrow(_dealt_to_blocks(blocks), "i bigint, j bigint, bundle binary")
+    number = F.expr("CAST(j * (j + 1) / 2 + i AS INT)")
+    kinds = ", ".join(f"{c} {'bigint' if c in 'ab' else 'double'}" for c in _sum_names(carried))
+    return dealt.repartitionById(blocks * (blocks + 1) // 2, number).mapInArrow(_summed_blocks(blocks, block_items, carried), kinds)
+
+
 def co_occurrence(
     members: DataFrame,
     large_group: int = LARGE_GROUP,
@@ -95,7 +229,9 @@ def co_occurrence(
 
     ``members`` has one row per ``(grp, item, weight)``; ``item`` is a number
     from ``with_integer_ids``.  The result ``(a, b, together)`` is whole and
-    exact.  Groups are treated by size:
+    exact.  Where the groups make more than ``MET_OFTEN`` times as many pairs as there are items to pair, sums of a task
+    would still be exchanged once per task and pair: there, each pair of blocks of items is summed in one task, see
+    ``_sums_of_blocks``.  Otherwise groups are treated by size:
 
     * A group of up to ``large_group`` members is joined with itself.  Its
       pairs are bounded, and they go straight into the map-side sum.  They are dealt
@@ -113,12 +249,18 @@ def co_occurrence(
     ``members`` is read by several branches, so it is stored first.
     """
     members = durable(members, "members")
-    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.max("item").alias("last"))
     large = sizes.filter(F.col("n") > large_group).select("grp")
 
     # a number of partitions by the pairs: AQE would merge them by the bytes going in, but
     # far more rows come out of the join
-    pairs = sizes.filter(F.col("n") <= large_group).agg(F.sum(F.expr("n * (n - 1) div 2"))).first()[0] or 0
+    made = sizes.agg(
+        F.sum(F.expr(f"IF(n <= {large_group}, n * (n - 1) div 2, 0)")), F.sum(F.expr("n * (n - 1D) / 2")), F.max("last")
+    ).first()
+    pairs, all_pairs, last = made[0] or 0, made[1] or 0.0, made[2] or 0
+    items = members.select("item").distinct().count()
+    if all_pairs > MET_OFTEN * items * (items - 1) / 2:
+        return _sums_of_blocks(members, last + 1)
     partitions = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pairs // task_pairs))
     small_rows = members.join(large, "grp", "left_anti").repartition(partitions, "grp")
     carried = ["square"] if "square" in members.columns else []
