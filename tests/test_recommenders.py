@@ -343,7 +343,9 @@ def _random_rows(random, rows, dims, keys):
     weights, (row, dim) = has / np.sqrt(has.sum(1))[:, None], np.nonzero(has)
     entries = pa.StructArray.from_arrays([pa.array(dim), pa.array(weights[row, dim])], ["dim_id", "w"])
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has.sum(1))]), pa.int32()), entries)
-    return weights, pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.zeros(rows, dtype=bool)), lists], ["key", "asks", "v"])
+    return weights, pa.RecordBatch.from_arrays(
+        [pa.array(keys), pa.array(np.zeros(rows, dtype=bool)), pa.array(np.ones(rows)), lists], ["key", "asks", "length", "v"]
+    )
 
 
 @pytest.mark.parametrize("alone", [False, True])
@@ -400,3 +402,29 @@ def test_pairs_that_meet_often_are_summed_once(spark, monkeypatch, carried):
         plan = sums._jdf.queryExecution().executedPlan().toString()
         assert ("SortMergeJoin" in plan or "HashJoin" in plan) == (often != usual)
     assert found[0] == found[1] and len(found[0]) == 37 * 36 // 2
+
+
+def test_numbered_words_give_the_same_nearest_texts(spark, monkeypatch):
+    """Words used to be exchanged twice more to be numbered, and weights of texts were sent as doubles of their own."""
+    random = np.random.default_rng(3)
+    rows = [(k, " ".join(f"w{min(w, 60)}" for w in random.zipf(1.3, random.integers(0, 40)))) for k in range(150)] + [(150, "only"), (151, None)]
+    texts = spark.createDataFrame(rows, "k bigint, t string")
+    stored, durable = {}, pairs.durable
+
+    def kept(df, name):
+        stored[name] = durable(df, name)
+        stored[name + " plan"] = df._jdf.queryExecution().executedPlan().toString()
+        return stored[name]
+
+    monkeypatch.setattr(pairs, "durable", kept)
+    usual = sorted(map(tuple, content.similar_texts(content.tfidf(texts, "k", "t", []), "k").collect()))
+    stored.clear()
+    numbered = content.tfidf(texts, "k", "t", [], numbered=True)
+    assert sorted(map(tuple, content.similar_texts(numbered, "k").collect())) == usual and len(usual) > 500
+    assert "vectors" not in stored and "hashpartitioning(token_id" not in stored["packed plan"]
+    weights = {(r.k, r.token_id): r.weight for r in numbered.collect()}
+    bundles = stored["packed"].collect()
+    assert sum(r.entries for r in bundles) == len(weights)
+    for r in bundles:
+        keys, sizes, dims, found = pairs._opened(r.bundle)
+        assert [weights[k, d] for k, d in zip(np.repeat(keys, sizes).tolist(), dims.tolist())] == found.tolist()
